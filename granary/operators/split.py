@@ -12,6 +12,23 @@ def seeded(seed: int, *ids: str) -> list[Column]:
     return [F.sha1(F.concat_ws(":", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]).cast("binary")), *[F.col(i) for i in ids]]
 
 
+def placed(rows: DataFrame, groups: list[str], seed: int, id_column: str) -> DataFrame:
+    """rows with ``place`` (from 1) in their group's random order, and ``n``, the group's size.
+
+    Rows are numbered inside ranges of the hash, 4096 a group, and ranges by their counts: no task sorts a whole group.
+    """
+    rows = rows.withColumn("__h", seeded(seed, id_column)[0]).withColumn("__range", F.substr("__h", F.lit(1), F.lit(3)))
+    keys = [*groups, "__range"]
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("c"))
+    w = Window.partitionBy(*groups)
+    before = F.coalesce(F.sum("c").over(w.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], before.alias("__before"), F.sum("c").over(w).alias("n"))
+    inner = rows.withColumn("__in", F.row_number().over(Window.partitionBy(*keys).orderBy("__h", id_column)))
+    same = [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    out = inner.join(starts, same).withColumn("place", F.col("__in") + F.col("__before"))
+    return out.drop("__h", "__range", "__in", "__before", *[f"__{i}" for i in range(len(keys))])
+
+
 def apportioned(n: Column, ratios=RATIOS) -> list[Column]:
     """How many of n go to each split: the whole part of its share, and what is left by the largest remainders.
 
@@ -35,8 +52,7 @@ def apportioned(n: Column, ratios=RATIOS) -> list[Column]:
 
 def assigned(rows: DataFrame, stratum: str, id_column: str, seed: int, ratios=RATIOS) -> DataFrame:
     """rows with ``split``: each stratum in random order, cut by its apportionment."""
-    w = Window.partitionBy(stratum)
-    numbered = rows.withColumns({"place": F.row_number().over(w.orderBy(*seeded(seed, id_column))), "n": F.count("*").over(w)})
+    numbered = placed(rows, [stratum], seed, id_column)
     counts, upto, split = apportioned(F.col("n"), ratios), F.lit(0), F.lit(ratios[-1][0])
     cuts = []
     for c in counts:
@@ -61,9 +77,9 @@ def with_negatives(rows: DataFrame, id_column: str, negative: str, seed: int, ta
     wanted = wanted.withColumns({"quota": negative_quota(F.col("n"), target), "at": order})
     upto = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = wanted.withColumn("high", F.sum("quota").over(upto)).select("split", (F.col("high") - F.col("quota")).alias("low"), "high")
-    place = F.row_number().over(Window.orderBy(*seeded(seed, id_column)))
-    pool = rows.where(F.col(negative)).drop("split").withColumn("place", place)
-    return pool.join(F.broadcast(wanted), (F.col("place") > F.col("low")) & (F.col("place") <= F.col("high"))).drop("place", "low", "high")
+    pool = placed(rows.where(F.col(negative)).drop("split"), [], seed, id_column)
+    # A row a split on the right.
+    return pool.join(F.broadcast(wanted), (F.col("place") > F.col("low")) & (F.col("place") <= F.col("high"))).drop("place", "n", "low", "high")
 
 
 def rebalance_cap(counts: DataFrame, label: str, target: str, factor: float) -> DataFrame:
@@ -74,8 +90,8 @@ def rebalance_cap(counts: DataFrame, label: str, target: str, factor: float) ->
 def rebalanced(rows: DataFrame, label: str, id_column: str, target: str, factor: float, seed: int) -> DataFrame:
     """rows, with a random ``cap`` of those of the target class."""
     cap = rebalance_cap(rows.groupBy(label).agg(F.count("*").alias("n")), label, target, factor)
-    place = F.row_number().over(Window.partitionBy(label).orderBy(*seeded(seed, id_column)))
-    kept = rows.where(F.col(label) == target).withColumn("place", place).crossJoin(F.broadcast(cap)).where("place <= cap").drop("place", "cap")
+    own = placed(rows.where(F.col(label) == target), [label], seed, id_column)
+    kept = own.join(F.broadcast(cap), F.col("place") <= F.col("cap")).drop("place", "n", "cap")  # one row on the right
     return rows.where(F.col(label) != target).unionByName(kept)
 
 
