@@ -34,16 +34,18 @@ class Labelling:
     negatives: tuple[str, ...] = ("negative",)
     review: dict[str, str] = field(default_factory=dict)
     taxonomy: tuple[str, ...] = ()
+    multi_instance: bool = True
 
     def apply(self, label: Column, source: Column) -> Column:
         """struct(mapped, is_negative, status, reason) of a normalized label.
 
-        A negative label wins over review; what is outside the taxonomy becomes negative and keeps its status.
+        A negative label wins over review, which is listed by the label before mapping; what is outside the taxonomy
+        becomes negative and keeps its status.
         """
         component = F.coalesce(lookup(label, self.component_map), F.lit("negative"))
         mapped = F.when(source == self.component_source, component).otherwise(F.coalesce(lookup(label, self.label_map), label))
         negative = mapped.isin(*self.negatives) | (mapped == "negative")
-        reason = lookup(label, self.review)
+        reason = review_reason(lookup(label, self.review), self.multi_instance)
         outside = ~negative & ~mapped.isin(*self.taxonomy) if self.taxonomy else F.lit(False)
         return F.struct(
             F.when(negative | outside, F.lit("negative")).otherwise(mapped).alias("mapped"),

@@ -56,13 +56,18 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-@F.pandas_udf("string")
-def fixed6(x: pd.Series) -> pd.Series:
+def _formatted(x: Column, spec: str) -> Column:
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if pd.isna(v) else format(v, spec))
+
+    return F.pandas_udf(run, "string")(x)
+
+
+def fixed6(x: Column) -> Column:
     """Six decimals, rounding the binary value (the JVM rounds its decimal form)."""
-    return x.map(lambda v: None if pd.isna(v) else f"{v:.6f}")
+    return _formatted(x, ".6f")
 
 
-@F.pandas_udf("string")
-def short12(x: pd.Series) -> pd.Series:
+def short12(x: Column) -> Column:
     """At most twelve significant digits, without trailing zeros."""
-    return x.map(lambda v: None if pd.isna(v) else f"{v:.12g}")
+    return _formatted(x, ".12g")

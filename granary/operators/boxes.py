@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,41 +33,54 @@ def deduplicated(rows: DataFrame, group: list[str], iou: float = 0.85, coverage:
     rows: group columns, box_id, seq, box_source, xc, yc, w, h. A group is an image's boxes of a class.
     """
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["seq", "box_id"], kind="stable").reset_index(drop=True)
-        half_w, half_h = part["w"] / 2, part["h"] / 2
-        x0, x1, y0, y1 = (v.to_numpy() for v in (part["xc"] - half_w, part["xc"] + half_w, part["yc"] - half_h, part["yc"] + half_h))
-        area = (part["w"].clip(lower=0) * part["h"].clip(lower=0)).to_numpy()
-        rank = [(s.startswith("synthetic"), s == "synthetic_missing_label", a, i) for s, a, i in zip(part["box_source"], (part["w"] * part["h"]), part["box_id"], strict=True)]
-
-        def why(i: int, j: int) -> str | None:
-            shared = max(0.0, min(x1[i], x1[j]) - max(x0[i], x0[j])) * max(0.0, min(y1[i], y1[j]) - max(y0[i], y0[j]))
-            union, small = area[i] + area[j] - shared, min(area[i], area[j])
-            if union > 0 and shared / union >= iou:
-                return "iou_threshold"
-            return "coverage_threshold" if small > 0 and shared / small >= coverage else None
-
-        left, lost = list(range(len(part))), {}
-        # After a loss the search starts anew: pairs before the last one looked at are known not to overlap, unless they hold the lost box.
-        start = 0
-        while start < len(left):
-            for other in range(start + 1, len(left)):
-                if reason := why(left[start], left[other]):
-                    stays, goes = sorted((left[start], left[other]), key=lambda k: rank[k])
-                    lost[goes] = (part["box_id"][stays], reason)
-                    left.remove(goes)
-                    start = -1
-                    break
-            start += 1
-        out = part[[*group, "box_id"]].copy()
-        out["kept"] = [i not in lost for i in range(len(part))]
-        out["kept_by"] = [lost.get(i, (None, None))[0] for i in range(len(part))]
-        out["reason"] = [lost.get(i, (None, None))[1] for i in range(len(part))]
-        return out
+    keys, names = list(group), [*group, "box_id", "kept", "kept_by", "reason"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Groups lie together in their order; the last one of a batch may go on in the next.
+        key, part = None, []
+        for rows in batches:
+            out = []
+            columns = [rows[c].tolist() for c in (*keys, "box_id", "box_source", *_BOX)]
+            for values in zip(*columns, strict=True):
+                if values[: len(keys)] != key:
+                    out += _survivors(key, part, iou, coverage)
+                    key, part = values[: len(keys)], []
+                part.append(values[len(keys) :])
+            yield pd.DataFrame(out, columns=names)
+        yield pd.DataFrame(_survivors(key, part, iou, coverage), columns=names)
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"`{g}` {kinds[g]}" for g in group) + f", box_id {kinds['box_id']}, kept boolean, kept_by {kinds['box_id']}, reason string"
-    return rows.select(*group, "box_id", "seq", "box_source", *_BOX).groupBy(*group).applyInPandas(run, schema)
+    ordered = rows.select(*group, "box_id", "seq", "box_source", *_BOX).repartition(*group).sortWithinPartitions(*group, "seq", "box_id")
+    return ordered.select(*group, "box_id", "box_source", *_BOX).mapInPandas(run, schema)
+
+
+def _survivors(key, part: list[tuple], iou: float, coverage: float) -> list[tuple]:
+    """What becomes of the boxes (box_id, box_source, xc, yc, w, h) of one group, in list order."""
+    if len(part) == 1:
+        return [(*key, part[0][0], True, None, None)]
+    edges = [(x - w / 2, y - h / 2, x + w / 2, y + h / 2, max(0.0, w) * max(0.0, h)) for _, _, x, y, w, h in part]
+    rank = [((s or "").startswith("synthetic"), s == "synthetic_missing_label", w * h, i) for i, s, _, _, w, h in part]
+
+    def why(i: int, j: int) -> str | None:
+        a, b = edges[i], edges[j]
+        shared = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+        union, small = a[4] + b[4] - shared, min(a[4], b[4])
+        if union > 0 and shared / union >= iou:
+            return "iou_threshold"
+        return "coverage_threshold" if small > 0 and shared / small >= coverage else None
+
+    left, lost, start = list(range(len(part))), {}, 0
+    while start < len(left):
+        for other in range(start + 1, len(left)):
+            if reason := why(left[start], left[other]):
+                stays, goes = sorted((left[start], left[other]), key=lambda k: rank[k])
+                lost[goes] = (part[stays][0], reason)
+                left.remove(goes)
+                start = -1  # anew
+                break
+        start += 1
+    return [(*key, row[0], i not in lost, *lost.get(i, (None, None))) for i, row in enumerate(part)]
 
 
 def merged_sources(rows: DataFrame, image: str, source_order: tuple[str, ...], loser: str, winner: str) -> DataFrame:

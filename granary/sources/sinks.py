@@ -1,0 +1,141 @@
+"""What operators end in: tables, reports, dataset files and plans of copies, moves and deletions."""
+
+from __future__ import annotations
+
+import json
+import os
+import shutil
+from pathlib import Path
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def write_csv(rows: DataFrame, path: str, fields: list[str], by: str | None = None) -> None:
+    """A folder of CSV parts with the fields in this order; one folder for each value of ``by``, if given."""
+    out = rows.select(*[F.col(f) for f in fields])
+    writer = out.write.mode("overwrite").option("header", True).option("escape", '"')
+    (writer.partitionBy(by) if by else writer).csv(path)
+
+
+def write_single_csv(rows: DataFrame, path: str, fields: list[str], most: int = 1_000_000) -> int:
+    """One CSV file, for reports that people read: at most ``most`` rows, more are an error. Returns how many."""
+    import csv
+
+    found = rows.select(*fields).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows: write a folder of parts")
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(fields)
+        writer.writerows(["" if v is None else v for v in row] for row in found)
+    return len(found)
+
+
+def write_json(report: dict, path: str, sort_keys: bool = False) -> None:
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(report, indent=2, ensure_ascii=False, sort_keys=sort_keys), encoding="utf-8")
+
+
+def counts(rows: DataFrame, *keys: str, by: str = "::") -> dict[str, int]:
+    """An aggregated table (keys, n) as an object of sorted names."""
+    return dict(sorted((by.join(str(r[k]) for k in keys), r["n"]) for r in rows.collect()))
+
+
+def dataset_yaml(names: list[str], root: str = ".") -> str:
+    """The YAML of a dataset that is laid out split first."""
+    lines = [f"path: {root}", *(f"{k}: {v}/images" for k, v in (("train", "train"), ("val", "valid"), ("test", "test"))), "names:"]
+    return "\n".join([*lines, *(f"  {i}: {n}" for i, n in enumerate(names))]) + "\n"
+
+
+def one_class_files(name: str) -> dict[str, str]:
+    """The files that name the only class of a batch."""
+    return {
+        "classes.txt": f"{name}\n", "labels.txt": f"{name}\n", "obj.names": f"{name}\n", "label_map.json": json.dumps({"0": name}, indent=2) + "\n",
+    }
+
+
+def summary(title: str, sections: dict[str, dict[str, int]]) -> str:
+    """Markdown: counts by section, most first."""
+    out = [f"# {title}", ""]
+    for name, values in sections.items():
+        out += [f"## {name}", "", *(f"- {k}: {n}" for k, n in sorted(values.items(), key=lambda x: (-x[1], x[0]))), ""]
+    return "\n".join(out)
+
+
+def write_if_absent(path: str, text: str) -> bool:
+    """Whether the file was written: not if there is one."""
+    if os.path.exists(path):
+        return False
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(text, encoding="utf-8")
+    return True
+
+
+def clean(folder: str, inside: str) -> None:
+    """Remove a folder, if it truly lies below another one (by path, not by the look of its name)."""
+    target, top = Path(folder).resolve(), Path(inside).resolve()
+    if target == top or top not in target.parents:
+        raise ValueError(f"{folder} isn't below {inside}")
+    if target.exists():
+        shutil.rmtree(target)
+
+
+def rename_status(pairs: list[tuple[str, str]]) -> list[tuple[str, str, str]]:
+    """(old, new, status) of folders to rename: planned, done, both_exist or missing."""
+    kind = {(True, False): "planned", (False, True): "done", (True, True): "both_exist", (False, False): "missing"}
+    return [(a, b, kind[os.path.isdir(a), os.path.isdir(b)]) for a, b in pairs]
+
+
+def rename_folders(pairs: list[tuple[str, str]], dry_run: bool = True) -> list[tuple[str, str, str]]:
+    """Rename what can be; if any pair exists on both sides, nothing is renamed and that is an error."""
+    status = rename_status(pairs)
+    if clash := [a for a, _, s in status if s == "both_exist"]:
+        raise ValueError(f"both folders exist: {', '.join(clash)}")
+    if not dry_run:
+        for a, b, s in status:
+            if s == "planned":
+                os.rename(a, b)
+    return status
+
+
+def apply_plan(plan: DataFrame, dry_run: bool = True) -> DataFrame:
+    """A plan (action copy, move, write or delete; source; target; content) carried out, with ``status`` of each row.
+
+    Each task does its rows; the folders have to be mounted on all executors. A dry run only looks.
+    """
+
+    def run(batches):
+        for rows in batches:
+            status = []
+            for row in rows.to_dict("records"):
+                source, target = row.get("source"), row.get("target")
+                if row["action"] != "write" and not os.path.exists(source):
+                    status.append("missing_source")
+                    continue
+                if not dry_run:
+                    if row["action"] != "delete":
+                        os.makedirs(os.path.dirname(target), exist_ok=True)
+                    if row["action"] == "copy":
+                        shutil.copyfile(source, target)
+                    elif row["action"] == "move":
+                        os.replace(source, target)
+                    elif row["action"] == "delete":
+                        os.remove(source)
+                    else:
+                        Path(target).write_text(row["content"] or "", encoding="utf-8")
+                status.append("planned" if dry_run else "ok")
+            yield rows.assign(status=status)
+
+    whole = plan.select("action", *[F.col(c) if c in plan.columns else F.lit(None).cast("string").alias(c) for c in ("source", "target", "content")])
+    return whole.mapInPandas(run, "action string, source string, target string, content string, status string")
+
+
+def prune_plan(files: DataFrame, patterns: list[str], root: str) -> DataFrame:
+    """Deletions of the files (path, length) that match one of the globs, with their size."""
+    regex = [("^" + p.replace(".", r"\.").replace("**/", "(.*/)?").replace("*", "[^/]*") + "$") for p in patterns]
+    hit = F.lit(False)
+    for r in regex:
+        hit = hit | F.col("path").rlike(r)
+    return files.where(hit).select(F.lit("delete").alias("action"), F.concat(F.lit(root.rstrip("/") + "/"), "path").alias("source"), "length")
