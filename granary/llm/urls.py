@@ -117,11 +117,13 @@ def templates(chains: DataFrame) -> DataFrame:
         child = common.cut(child)
         # What follows each branch, against what follows its group: sum of (seen - expected)^2 / expected = sum of seen^2 / expected - n.
         able = child.where(F.col("literal") & ~F.col("variable") & (F.col("n") >= LEAST_ROWS)).select("host", "prefix", own, "state", F.col("n").alias("of"))
-        seen = tree.join(able, ["host", "prefix", own])
+        # Literal names that follow count as one kind: each alone is too rare for the test.
+        kind = F.when(F.col(following).startswith("<") | F.col(following).isin("", _END), F.col(following)).otherwise(F.lit("<s>"))
+        seen = tree.join(able, ["host", "prefix", own]).withColumn("next", kind)
         seen = seen.withColumn(
             "x", F.explode(F.array(F.struct(F.lit("block").alias("l"), F.col("blocked").alias("k")), F.struct(F.lit("allow").alias("l"), F.col("allowed").alias("k")), F.struct(F.lit("none").alias("l"), (F.col("n") - F.col("blocked") - F.col("allowed")).alias("k"))))
         )
-        seen = seen.where("x.k > 0").groupBy("host", "prefix", "state", own, "of", F.col(following).alias("next"), F.col("x.l").alias("l")).agg(F.sum("x.k").alias("k"))
+        seen = seen.where("x.k > 0").groupBy("host", "prefix", "state", own, "of", "next", F.col("x.l").alias("l")).agg(F.sum("x.k").alias("k"))
         pooled = seen.groupBy("host", "prefix", "state", "next", "l").agg(F.sum("k").alias("pk"))
         group = able.groupBy("host", "prefix", "state").agg(F.sum("of").alias("pn"), F.count("*").alias("branches"))
         group = group.join(pooled.groupBy("host", "prefix", "state").agg(F.count("*").alias("cells")), ["host", "prefix", "state"])
