@@ -44,8 +44,8 @@ def test_many_rules_are_joined(spark, monkeypatch):
 
 def test_templates(spark):
     rows = [f"http://shop.org/item/{i}" for i in range(40)] + [f"http://shop.org/user/name{i}x/cart" for i in range(60)] + [f"http://shop.org/spam/{i}" for i in range(40)]
-    rules = [(f"shop.org/spam/{i}", "block") for i in range(2)] + [("shop.org/spam/", "block"), ("shop.org/item/1", "allow")]
-    got = urls.filtered(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), [r for r in rules if r[0] != "shop.org/spam/"] + [(f"shop.org/spam/{i}", "block") for i in range(2, 30)]).collect()
+    rules = [(f"shop.org/spam/{i}", "block") for i in range(10, 30)] + [("shop.org/item/1", "allow")]
+    got = urls.filtered(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()
     found = {r["template"] for r in got}
     assert "/item/<n>" in found and "/user/*/cart" in found and "/spam/<n>" in found and len(found) == 3
     assert {r["verdict"] for r in got if r["template"] == "/spam/<n>"} == {"block"} and any(r["rule"] is None for r in got if r["template"] == "/spam/<n>")
