@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary import ship
+
 #: Rows that go to Python at a time. Texts differ in length, so a batch holds few of them.
 BATCH_ROWS = 1000
 
@@ -33,7 +35,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch to ``rows`` if it is larger, so that long texts don't fill a worker's memory."""
+    """Before Python runs: lower the session's Arrow batch to ``rows`` if it is larger, so that long texts don't fill a
+    worker's memory, and see to it that the executors have this package's code."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
