@@ -240,8 +240,9 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     Rows of one doc_id and size stand for one another; rows with a null doc_id are never taken.
     """
     blocks = mix(docs.where(F.col("doc_id").isNotNull()), whole=True, **how)
-    times = blocks.where("copy is not null").groupBy(F.col("doc_id").alias("__mixed"), F.col("place").alias("__place"), F.col("source").alias("__source")).agg(F.count("*").alias("__times"))
-    times = times.groupBy("__mixed").agg(F.max("__times").cast("int").alias("__times"))
+    mixed, n, copy = (common.fresh(docs, x) for x in ("__mixed", "__times", "__copy"))
+    times = blocks.where("copy is not null").groupBy(F.col("doc_id").alias(mixed), "place", "source").agg(F.count("*").alias(n))
+    times = times.groupBy(mixed).agg(F.max(n).cast("int").alias(n))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(times, docs["doc_id"] == times["__mixed"]).select(*names, "__times")
-    return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy")).select(*names)
+    joined = docs.join(times, F.col("doc_id") == F.col(mixed)).select(*names, n)
+    return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col(n))).alias(copy)).select(*names)

@@ -270,4 +270,9 @@ def accepted(docs: DataFrame, model: Model, at_least: float = 0.7) -> DataFrame:
     """The rows of docs, with all their columns, that score ``at_least`` or more. An unfitted model rejects nothing."""
     if not model.fitted:
         return docs
-    return scored(docs, model, docs.columns).where(F.col("__score") >= at_least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    renamed = docs
+    for c in docs.columns:
+        if c.lower() in ("__text", "__score"):
+            renamed = renamed.withColumnRenamed(c, common.fresh(renamed, c + "_"))
+    kept = scored(renamed, model, renamed.columns).where(F.col("__score") >= at_least).select(*[F.col(f"`{c}`") for c in renamed.columns])
+    return kept.toDF(*docs.columns)

@@ -169,6 +169,8 @@ def test_mix(spark, docs):
     assert len({(r["shard"], r["position"]) for r in placed}) == len(placed)
     again = {r["doc_id"]: (r["taken"], r["shards"]) for r in mixing.taken_words(mixing.mix(docs, shard_words=2000)).collect()}
     assert again == {i: (r["taken"], r["shards"]) for i, r in got.items()}
+    clash = mixing.mixed_documents(docs.withColumns({"__times": F.lit("t"), "place": F.lit("p")}))
+    assert {(r["__times"], r["place"]) for r in clash.collect()} == {("t", "p")}
     whole = mixing.mixed_documents(docs)
     counts = Counter(r["doc_id"] for r in whole.collect())
     assert whole.columns == docs.columns and max(counts.values()) <= 2
@@ -265,6 +267,9 @@ def test_quality(spark):
     assert held and all((r["__score"] >= 0.7) == (r["doc_id"] % 4 > 0) for r in held)
     x = quality.features(__import__("pyarrow").array(["a b", "a b"]))
     assert (model.score(x)[0] == model.score(x)[1]) and quality.features(__import__("pyarrow").array([None, "", " \n"])).shape == (3, len(quality.FEATURES))
+    clash = docs.withColumns({"__text": F.lit("t"), "__score": F.lit("s")})
+    kept = quality.accepted(clash, model)
+    assert kept.columns == clash.columns and 0 < kept.count() < 603 and kept.first()["__score"] == "s"
     none = quality.train(docs, labels.where("false"))
     assert not none.fitted and {r["__score"] for r in quality.scored(docs, none, ["doc_id"]).collect()} == {0.5} and quality.accepted(docs, none).count() == 603
     assert quality.scored(spark.createDataFrame([], DOCS), model, ["doc_id"]).count() == 0
