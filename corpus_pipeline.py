@@ -28,8 +28,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal values replaced, and n_chars counted anew where the text changed."""
-    out = pii.pseudonymised(docs.withColumn("__before", F.col("text")))
-    n_chars = F.when(F.col("text").eqNullSafe(F.col("__before")), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    before = common.fresh(docs, "__before")
+    out = pii.pseudonymised(docs.withColumn(before, F.col("text")))
+    n_chars = F.when(F.col("text").eqNullSafe(F.col(before)), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
     return out.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
