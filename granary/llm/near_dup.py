@@ -8,11 +8,12 @@
    a text with fewer than ``matches`` shared coordinates is skipped, and so are the longest lists.
 4. The posting lists are merged by joining each entry with its list's smallest entry; what hangs together are the
    candidate groups. Lists are never expanded into pairs, so a list of any length costs one row for each entry.
-5. Inside a group the full sets are compared exactly, in tiles of two blocks of bounded size; a tile gives back only
-   the links needed to connect what it found linked, at most one for each row.
-6. Connected links are components.
-
-The comparison of one group grows with the square of its number of different texts; no pair is ever a row.
+5. Inside a group the full sets are compared exactly, in blocks of bounded size, which give back only the links needed
+   to connect what they found linked, at most one for each row. Of what is connected only one row goes on to the next
+   round, so a large group of mutual near-copies costs about one comparison of each of its blocks with itself.
+6. What is left unconnected in a large group, outside its largest part, is compared with the whole group in tiles of
+   two blocks: no link between rows that aren't connected yet is missed, and no pair is ever a row.
+7. Connected links are components.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import common
@@ -31,6 +32,8 @@ from granary.llm import common
 COORDINATES = 64
 #: Rows, and shingles, of a block. A tile holds two blocks.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 400_000
+#: Rounds in which the parts of large groups are brought together, before what is left is compared in full.
+ROUNDS = 5
 
 
 def matches_needed(percent: int, coordinates: int = COORDINATES) -> int:
@@ -118,14 +121,13 @@ def candidate_groups(classes: DataFrame, matches: int, coordinates: int = COORDI
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row with the bytes of its set in place of its text."""
     for batch in batches:
+        others = [c for c in batch.schema.names if c != "text"]
         for at, runs, first in _sets(batch):
             n = len(first) - 1
             blob = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((first * 8).astype(np.int64).tobytes()), pa.py_buffer(runs.tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).slice(at, n) for c in ("component", "rep", "block", "blocks")] + [blob.cast(pa.binary())],
-                ["component", "rep", "block", "blocks", "shingles"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(at, n) for c in others] + [blob.cast(pa.binary())], [*others, "shingles"])
 
 
 def linked_rows(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -164,25 +166,84 @@ def _compare(percent: int):
     return run
 
 
+def _blocks_for(n: Column, of: Column) -> Column:
+    """Blocks that n rows with ``of`` shingles fill."""
+    return F.ceil(F.greatest(n / BLOCK_ROWS, of / BLOCK_SHINGLES)).cast("int")
+
+
+def _dealt(members: DataFrame, seed: int) -> DataFrame:
+    """members (component, rep, n_shingles) of groups of two or more, with their group's number of blocks and their own."""
+    whole = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("of")).where("n > 1")
+    whole = whole.select("component", _blocks_for(F.col("n"), F.col("of")).alias("blocks"))
+    block = F.pmod(F.xxhash64(F.lit(seed), "rep"), F.col("blocks")).cast("int")
+    return members.join(whole, "component").select("component", "rep", "n_shingles", "blocks", block.alias("block"))
+
+
+def _with_sets(docs: DataFrame, rows: DataFrame, schema: str) -> DataFrame:
+    """rows with the sets of their texts; schema: that of rows."""
+    texts = docs.select("doc_id", "text").where("doc_id is not null")
+    return rows.join(texts, F.col("rep") == F.col("doc_id")).select(*rows.columns, "text").mapInArrow(_gather, f"{schema}, shingles binary")
+
+
+def _within(docs: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what is similar within each block."""
+    sets = _with_sets(docs, dealt.select("component", "rep", "block"), "component long, rep long, block int")
+    return sets.groupBy("component", "block").applyInPandas(_compare(percent), "a long, b long")
+
+
+def _across(docs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different parts of a group: all outside its largest part meet everyone in it.
+
+    named: (component, rep, n_shingles, root), root being the part.
+    """
+    parts = named.groupBy("component", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("of"))
+    whole = parts.groupBy("component").agg(F.max(F.struct("n", "of", "root")).alias("top"), F.sum("n").alias("n"), F.sum("of").alias("of"))
+    whole = whole.where("n > top.n").select(
+        "component", F.col("top.root").alias("main"), _blocks_for(F.col("n"), F.col("of")).alias("blocks"),
+        _blocks_for(F.col("n") - F.col("top.n"), F.col("of") - F.col("top.of")).alias("others"),
+    )
+    own = F.when(F.col("root") != F.col("main"), F.pmod(F.xxhash64(F.lit(1), "rep"), F.col("others"))).cast("int")
+    rows = named.join(whole, "component").select(
+        "component", "rep", F.pmod(F.xxhash64(F.lit(0), "rep"), F.col("blocks")).cast("int").alias("block"), "blocks", own.alias("own"), "others"
+    )
+    sets = _with_sets(docs, rows, "component long, rep long, block int, blocks int, own int, others int")
+    asked = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: F.struct(i.alias("own"), F.col("block").alias("block")))
+    asks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("own").alias("own"), j.alias("block")))
+    tiles = sets.withColumn("tile", F.explode(F.when(F.col("own").isNull(), asked).otherwise(F.array_union(asked, asks))))
+    tiles = tiles.select("component", "rep", "shingles", F.col("tile.own").alias("own"), F.col("tile.block").alias("block"))
+    return tiles.groupBy("component", "own", "block").applyInPandas(_compare(percent), "a long, b long")
+
+
 def links(docs: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect what is similar within each candidate group.
 
-    docs: (doc_id, text). groups: (node, component). sizes: (rep, n_shingles).
+    docs: (doc_id, text). groups: (node, component). sizes: (rep, n_shingles). A group is dealt into blocks, and each
+    block compared in itself. In groups of several blocks, what is connected by then counts as one part, whose smallest
+    row is dealt again, for ``ROUNDS`` rounds or until the parts stay as many; last, rows of different parts are compared.
     """
-    members = groups.join(sizes, F.col("node") == F.col("rep")).select("component", "rep", "n_shingles")
-    whole = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("of"))
-    whole = whole.where("n > 1").select(
-        "component", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("of") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    members = members.join(whole, "component").select(
-        "component", "rep", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
-    )
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
-    full = members.join(texts, F.col("rep") == F.col("doc_id")).select("component", "rep", "block", "blocks", "text")
-    full = full.mapInArrow(_gather, "component long, rep long, block int, blocks int, shingles binary")
-    tiles = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    return tiles.groupBy("component", "low", "high").applyInPandas(_compare(percent), "a long, b long")
+    members = common.cut(groups.join(sizes, F.col("node") == F.col("rep")).select("component", "rep", "n_shingles"))
+    first = _dealt(members, 0)
+    found = common.cut(_within(docs, first, percent))
+    large = common.cut(first.where("blocks > 1").select("component", "rep", "n_shingles"))
+    before = large.count()
+    if not before:
+        return found
+
+    def parts() -> DataFrame:
+        near = found.join(large.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
+        part = common.components(near).toDF("node", "part")
+        return common.cut(large.join(part, F.col("rep") == F.col("node"), "left").select("component", "rep", "n_shingles", F.coalesce("part", "rep").alias("root")))
+
+    for i in range(ROUNDS + 1):
+        named = parts()
+        roots = common.cut(_dealt(named.where("rep = root"), i + 1))
+        left = roots.count()
+        if not left:
+            return found
+        if left == before or i == ROUNDS:
+            break
+        before, found = left, common.cut(found.union(_within(docs, roots, percent)))
+    return found.union(_across(docs, named, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = COORDINATES) -> DataFrame:

@@ -94,6 +94,28 @@ def test_near_duplicates(spark, docs, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values()) and links
 
 
+@pytest.mark.parametrize("rounds", [0, 5])
+def test_near_duplicates_of_large_groups(spark, monkeypatch, rounds):
+    """Blocks of three rows, so that groups are dealt into many: mutual near-copies, a chain, and unlike halves that share a part."""
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(near_dup, "ROUNDS", rounds)
+    words = [f"w{i}" for i in range(400)]
+    copies = [" ".join([*words[:200], f"c{i}"]) for i in range(40)]
+    chain = [" ".join(words[200 + 4 * i : 300 + 4 * i]) for i in range(20)]
+    halves = [" ".join([f"h{j}" for j in range(80)] + [f"{i % 7}x{j}" for j in range(24)] + [f"y{i}"]) for i in range(30)]
+    rows = list(enumerate([*copies, *chain, *halves]))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    assert 3 < len(set(root.values())) < 60
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == root
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t u"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f")]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
