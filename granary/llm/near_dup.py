@@ -34,6 +34,8 @@ COORDINATES = 64
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 400_000
 #: Rounds in which the parts of large groups are brought together, before what is left is compared in full.
 ROUNDS = 5
+#: Members of groups up to which they are broadcast to the texts (some 100 MB); beyond, texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 
 
 def matches_needed(percent: int, coordinates: int = COORDINATES) -> int:
@@ -180,9 +182,11 @@ def _dealt(members: DataFrame, seed: int) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, rows: DataFrame, schema: str) -> DataFrame:
-    """rows with the sets of their texts; schema: that of rows."""
+    """rows with the sets of their texts; schema: that of rows. A bounded number of rows goes to where the texts lie."""
+    rows = common.cut(rows)
     texts = docs.select("doc_id", "text").where("doc_id is not null")
-    return rows.join(texts, F.col("rep") == F.col("doc_id")).select(*rows.columns, "text").mapInArrow(_gather, f"{schema}, shingles binary")
+    sent = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    return texts.join(sent, F.col("rep") == F.col("doc_id")).select(*rows.columns, "text").mapInArrow(_gather, f"{schema}, shingles binary")
 
 
 def _within(docs: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:

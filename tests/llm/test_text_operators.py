@@ -94,11 +94,12 @@ def test_near_duplicates(spark, docs, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values()) and links
 
 
-@pytest.mark.parametrize("rounds", [0, 5])
-def test_near_duplicates_of_large_groups(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds,sent", [(0, 1_000_000), (5, 0)])
+def test_near_duplicates_of_large_groups(spark, monkeypatch, rounds, sent):
     """Blocks of three rows, so that groups are dealt into many: mutual near-copies, a chain, and unlike halves that share a part."""
     monkeypatch.setattr(near_dup, "BLOCK_ROWS", 3)
     monkeypatch.setattr(near_dup, "ROUNDS", rounds)
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", sent)
     words = [f"w{i}" for i in range(400)]
     copies = [" ".join([*words[:200], f"c{i}"]) for i in range(40)]
     chain = [" ".join(words[200 + 4 * i : 300 + 4 * i]) for i in range(20)]
