@@ -145,6 +145,32 @@ def test_repeated_passages(spark, docs):
     assert substring_dedup.repeated_passages(nulls).count() == 0
 
 
+def test_repeated_passages_with_edits():
+    """Passages of 50 and 60 words, with a word inserted or changed, in other text: nearly all are candidates."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    text = lambda k: [rng.choice(words) for _ in range(k)]
+    for size, inserted in ((50, True), (50, False), (60, True), (60, False)):
+        found, n = 0, 200
+        for _ in range(n):
+            passage = text(size)
+            at = rng.randrange(5, size - 5)
+            edited = [*passage[:at], "changed", *passage[at + (not inserted) :]]
+            one, two = ([*text(60), *p, *text(60)] for p in (passage, edited))
+            ids = {}
+            windows = []
+            for t in (one, two):
+                runs = common.mix(np.array([ids.setdefault(tuple(t[k : k + 5]), len(ids) + 1) for k in range(len(t) - 4)], dtype=np.uint64))
+                keyed = substring_dedup.keyed_windows(runs, np.array([0, len(runs)]), 46)
+                windows.append([(k, p) for _, keys, places, *_ in keyed for k, p in zip(keys.tolist(), places.tolist(), strict=True)])
+            other = dict(reversed(windows[1]))
+            spans = lambda p: ((p >> 32) & 0x1FFFFFFF, ((p >> 32) & 0x1FFFFFFF) - ((p >> 16) & 0xFFFF), ((p >> 32) & 0x1FFFFFFF) + (p & 0xFFFF))
+            shared = np.array([(p >> 61, *spans(p), *spans(other[k])) for k, p in windows[0] if k in other])
+            found += len(shared) > 1 and len(substring_dedup.agreeing(shared, 46)[0]) > 0
+        print("recall", size, "inserted" if inserted else "changed", found / n)
+        assert found >= 0.95 * n
+
+
 def test_compact_windows_are_all_subsequences_minima():
     rng = np.random.default_rng(5)
     runs = rng.integers(0, 40, 90).astype(np.uint64)
