@@ -171,6 +171,41 @@ def test_repeated_passages_with_edits():
         assert found >= 0.95 * n
 
 
+def test_exact_repeats_whatever_the_heads(spark):
+    """Passages of which parts stand in texts before and after, a text that has one twice, and texts that go round."""
+    rng = random.Random(7)
+    text = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    rows, must = [], {}
+    for i in range(60):
+        size, first = (55, 40) if i % 2 else (52, 40)
+        passage, base = text(size), 10 * i
+        parts = {1: passage[:first], 2: passage, 3: passage, 4: passage[:first]}
+        if not i % 2:
+            parts |= {0: passage[-40:], 5: passage[-40:]}
+        if i % 5 == 0:
+            parts[2] = [*passage, *text(70), *passage]
+        for k, part in parts.items():
+            rows.append((base + k, " ".join([*text(60), *part, *text(60)])))
+        must |= {base + 2: (60, 60 + size), base + 3: (60, 60 + size)}
+    rows += [(900, " ".join(["a"] * 90)), (901, " ".join(["a"] * 70)), (902, " ".join(["a", "b"] * 60)), (903, " ".join(["a", "b"] * 40)), (904, " ".join(text(300)))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    words = {i: t.split() for i, t in rows}
+    covered = defaultdict(set)
+    for r in got:
+        one, two = words[r["doc_id"]][r["start_word"] : r["end_word"]], words[r["head_id"]][r["head_start"] : r["head_end"]]
+        a, b = shingles(" ".join(one)), shingles(" ".join(two))
+        assert 100 * len(a & b) >= 80 * len(a | b) and min(len(one), len(two)) >= 50
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    seen = defaultdict(list)
+    for i, w in words.items():
+        for k in range(len(w) - 49):
+            seen[tuple(w[k : k + 50])].append((i, k))
+    repeats = [x for places in seen.values() if len({i for i, _ in places}) > 1 for x in places]
+    assert {i for i, _ in repeats} == {*must, 900, 901, 902, 903}
+    assert all(set(range(k, k + 50)) <= covered[i] for i, k in repeats)
+    assert not {904, *(i for i in range(600) if i % 10 in (0, 1, 4, 5))} & set(covered)
+
+
 def test_compact_windows_are_all_subsequences_minima():
     rng = np.random.default_rng(5)
     runs = rng.integers(0, 40, 90).astype(np.uint64)
