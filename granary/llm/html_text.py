@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -228,6 +229,10 @@ class Page:
         return "\n".join(kept)
 
 
+def _digest(words: str) -> bytes:
+    return hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each token of each page: how often it occurs, and the letters, link letters and hash of its own words."""
     for rows in batches:
@@ -243,7 +248,7 @@ def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen[2].append(text)
             for token, n in read.tokens.items():
                 letters, links, words = own.get(token, (0, 0, []))
-                out.append((host, token, page, n, letters, links, "\n".join(words)[:4096] if words else None))
+                out.append((host, token, page, n, letters, links, _digest("\n".join(words)) if words else None))
         yield pd.DataFrame(out, columns=["host", "token", "page_id", "n", "letters", "links", "words"])
 
 
@@ -254,7 +259,7 @@ def host_of(url: str) -> F.Column:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, slots): the tokens of the boilerplate slots of each host that has some."""
     common.small_batches(pages.sparkSession)
-    seen = pages.mapInPandas(_observe, "host string, token string, page_id long, n long, letters long, links long, words string")
+    seen = pages.mapInPandas(_observe, "host string, token string, page_id long, n long, letters long, links long, words binary")
     seen = seen.withColumns({"vector": F.xxhash64("page_id", "n"), "said": F.xxhash64("words")})
     tokens = seen.groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.bit_xor("vector").alias("v1"), F.sum(F.shiftrightunsigned("vector", 32)).alias("v2"),

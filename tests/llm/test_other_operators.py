@@ -92,6 +92,17 @@ def unit(v):
     return v / np.linalg.norm(v)
 
 
+def test_html_slots_that_only_start_alike(spark):
+    """The same 9,000 letters on every page, and then words of its own: no boilerplate. The same words to the end are."""
+    notice = "the same notice again " * 410
+    page = lambda i, own: f"<html><body><div class=a><p class=b>{notice}{own}</p><p class=c>page {i}</p><p class=d></p></div></body></html>"
+    rows = [(i, f"http://h/{i}", page(i, f"story {i}")) for i in range(6)] + [(i, f"http://g/{i}", page(i, "")) for i in range(6, 12)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(f"story {i}" in got[i] and f"page {i}" in got[i] for i in range(6))
+    assert all("notice" not in got[i] and f"page {i}" in got[i] for i in range(6, 12))
+
+
+
 def test_near_vectors(spark):
     rows = vectors_with_copies()
     got = embedding_dedup.near_vectors(spark.createDataFrame(rows, VECTORS).withColumn("n", F.lit("clash")), 0.93).collect()
