@@ -219,13 +219,52 @@ def _written(m: Column, kind: Column, symbols: Column) -> Column:
     )
 
 
+def _card_end(m: Column) -> Column:
+    """Where the longest valid card ends that a match starts with and a separator follows; the match's length if it is valid itself or has none."""
+    n = F.length(m)
+
+    def valid(i: Column) -> Column:
+        digits = _digits(F.substr(m, F.lit(1), i))
+        return F.substr(m, i + 1, F.lit(1)).isin(" ", "-") & (F.length(digits) >= 13) & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]")
+
+    ends = F.array_max(F.filter(F.sequence(F.lit(13), n - 1), valid))
+    split = m.rlike("^[0-9](?:[ -]?[0-9]){13,18}$") & m.rlike("[ -]") & (n > 13)
+    return F.when(split, F.when(_kind(m).isNull(), F.coalesce(ends, n)).otherwise(n)).otherwise(n)
+
+
+def _split(text: Column) -> tuple[Column, Column]:
+    """The pieces between matches, and the matches. A card ends where a number that isn't its own follows; what follows is searched again."""
+    hits, gaps = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)), F.split(text, _ANY, -1)
+    ended = F.transform(hits, lambda m, i: F.struct(m.alias("m"), _card_end(m).alias("end"), i.alias("i")))
+
+    def parted(found: Column, between: Column) -> Column:
+        cut = F.transform(
+            found,
+            lambda x: F.struct(
+                F.substr(x["m"], F.lit(1), x["end"]).alias("m"), (x["end"] < F.length(x["m"])).alias("cut"), F.concat(F.substr(x["m"], x["end"] + 1), F.get(between, x["i"] + 1)).alias("rest")
+            ),
+        )
+        again = lambda x: F.when(x["cut"], F.regexp_extract_all(x["rest"], F.lit(_ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+        pieces = lambda x: F.when(x["cut"], F.split(x["rest"], _ANY, -1)).otherwise(F.array(x["rest"]))
+        first = F.array(F.get(between, F.lit(0)))
+        return F.transform(
+            F.array(cut),
+            lambda c: F.struct(
+                F.concat(first, F.flatten(F.transform(c, pieces))).alias("gaps"), F.flatten(F.transform(c, lambda x: F.concat(F.array(x["m"]), again(x)))).alias("hits")
+            ),
+        )[0]
+
+    # An array of one, so that each expression is worked out once.
+    whole = F.transform(F.array(F.struct(ended.alias("ended"), gaps.alias("gaps"))), lambda x: parted(x["ended"], x["gaps"]))[0]
+    return whole["gaps"], whole["hits"]
+
+
 def pseudonyms(text: Column, key: str) -> tuple[Column, Column, Column]:
     """For a text: the pieces between matches, the matches, and (value, kind, pseudonym) of each match.
 
     kind and pseudonym are null for matches that aren't valid.
     """
-    hits = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    gaps = F.split(text, _ANY, -1)
+    gaps, hits = _split(text)
     known = F.transform(hits, lambda m: F.struct(m.alias("value"), _kind(m).alias("kind")))
     coded = F.transform(known, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), _symbols(x["value"], x["kind"]).alias("s")))
     tweak = lambda x: F.concat_ws("|", F.lit(key), x["kind"], _kept(x["value"], x["kind"]), F.size(x["s"]))

@@ -327,6 +327,25 @@ def luhn(digits):
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 
 
+def test_cards_before_other_numbers(spark):
+    """Expiry dates, security numbers, dates and addresses after a card, which its shape would take with it."""
+    card, plain = "4111 1111 1111 1111", "4111111111111111"
+    tails = [" 12/28", " 123", " 12", " 1", "-123", " 01/02/2024.", " 10.0.0.1", " 12/28 and a@b.com", " 12 5500 0000 0000 0004", " 212.555.1234"]
+    rows = [(i, c + t) for i, (c, t) in enumerate((c, t) for c in (card, plain) for t in tails)]
+    rows += [(100, "4111 1111 1111 1112 12/28"), (101, "4111 1111 1111 1112 123 x"), (102, card), (103, "")]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = got[102]
+    assert new != card and luhn(new.replace(" ", ""))
+    for i, text in rows[: 2 * len(tails)]:
+        own = new if text.startswith(card) else new.replace(" ", "")
+        assert got[i].startswith(own) and len(got[i].split(" ")) == len(text.split(" ")), (text, got[i])
+        rest, kept = text[len(own) :], got[i][len(own) :]
+        personal = [x for x in ("01/02/2024", "10.0.0.1", "a@b", "5500 0000 0000 0004", "212.555.1234") if x in rest]
+        assert not any(x in kept for x in personal) and (personal or rest == kept), (text, got[i])
+    assert got[100] == rows[-4][1] and got[101] == rows[-3][1] and got[103] == ""
+
+
+
 def test_pseudonyms_are_permutations(spark):
     days = spark.range(0, 500).select(F.concat(F.lit("on "), F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int") * 37), "yyyy-MM-dd")).alias("text"))
     got = [r["text"] for r in pii.pseudonymised(days).collect()]
