@@ -8,12 +8,16 @@
    a text with fewer than ``matches`` shared coordinates is skipped, and so are the longest lists.
 4. The posting lists are merged by joining each entry with its list's smallest entry; what hangs together are the
    candidate groups. Lists are never expanded into pairs, so a list of any length costs one row for each entry.
-5. Inside a group the full sets are compared exactly, in blocks of bounded size, which give back only the links needed
-   to connect what they found linked, at most one for each row. Of what is connected only one row goes on to the next
-   round, so a large group of mutual near-copies costs about one comparison of each of its blocks with itself.
+5. Inside a group collisions are counted for all pairs of a block of bounded size, by merging the coordinates' lists in
+   the block. Pairs with ``matches`` collisions or more are retained and confirmed on their full sets. A block gives back
+   only the links needed to connect what it found linked, at most one for each row. Of what is connected only one row
+   goes on to the next round, so a large group of mutual near-copies costs about one comparison of each of its blocks
+   with itself.
 6. What is left unconnected in a large group, outside its largest part, is compared with the whole group in tiles of
-   two blocks: no link between rows that aren't connected yet is missed, and no pair is ever a row.
+   two blocks: no retained pair of rows that aren't connected yet is missed, and no pair is ever a row.
 7. Connected links are components.
+
+The sets of the groups' members are made once, written to the shared folder, and read from there in each round.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ COORDINATES = 64
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 400_000
 #: Rounds in which the parts of large groups are brought together, before what is left is compared in full.
 ROUNDS = 5
-#: Members of groups up to which they are broadcast to the texts (some 100 MB); beyond, texts are shuffled to them.
-BROADCAST_ROWS = 1_000_000
+#: Texts with so many equal sets are joined apart from others; there are at most ``HOT_CLASSES`` such sets.
+HOT_ROWS, HOT_CLASSES = 1000, 100_000
 
 
 def matches_needed(percent: int, coordinates: int = COORDINATES) -> int:
@@ -132,6 +136,14 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(c).slice(at, n) for c in others] + [blob.cast(pa.binary())], [*others, "shingles"])
 
 
+def collisions(signs: np.ndarray) -> np.ndarray:
+    """For each pair of rows, how many coordinates hold the same value in both: the lists of each coordinate, merged."""
+    out = np.zeros((len(signs), len(signs)), dtype=np.int16)
+    for values in signs.T:
+        out += values[:, None] == values[None, :]
+    return out
+
+
 def linked_rows(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """The symmetric matrix of which sets reach the similarity, by exact sizes of their intersections."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -156,12 +168,15 @@ def linked_rows(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return linked
 
 
-def _compare(percent: int):
+def _compare(percent: int, matches: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rep = rows["rep"].to_numpy(dtype=np.int64)
-        order = np.argsort(rep)
-        rep = rep[order]
-        root = common.local_components(linked_rows([np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"].iloc[order]], percent))
+        rows = rows.sort_values("rep", kind="stable")
+        retained = collisions(np.array(rows["sign"].tolist(), dtype=np.int32)) >= matches
+        np.fill_diagonal(retained, False)
+        some = np.flatnonzero(retained.any(axis=1))
+        rep = rows["rep"].to_numpy(dtype=np.int64)[some]
+        linked = linked_rows([np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"].iloc[some]], percent) & retained[np.ix_(some, some)]
+        root = common.local_components(linked)
         moved = root != np.arange(len(rep))
         return pd.DataFrame({"a": rep[moved], "b": rep[root[moved]]})
 
@@ -181,21 +196,27 @@ def _dealt(members: DataFrame, seed: int) -> DataFrame:
     return members.join(whole, "component").select("component", "rep", "n_shingles", "blocks", block.alias("block"))
 
 
-def _with_sets(docs: DataFrame, rows: DataFrame, schema: str) -> DataFrame:
-    """rows with the sets of their texts; schema: that of rows. A bounded number of rows goes to where the texts lie."""
-    rows = common.cut(rows)
+_SETS = "component long, rep long, n_shingles long, sign array<int>, blocks int, block int"
+
+
+def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """members (component, rep, n_shingles, sign, blocks, block) with ``shingles``, the bytes of their sets, written out.
+
+    The only time that texts meet members: both are dealt by id, whatever their number. A document with several texts
+    meets its member rows with each of them.
+    """
     texts = docs.select("doc_id", "text").where("doc_id is not null")
-    sent = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-    return texts.join(sent, F.col("rep") == F.col("doc_id")).select(*rows.columns, "text").mapInArrow(_gather, f"{schema}, shingles binary")
+    joined = texts.join(members.hint("shuffle_hash"), F.col("rep") == F.col("doc_id"))
+    return common.cut(joined.select(*members.columns, "text").mapInArrow(_gather, f"{_SETS}, shingles binary"))
 
 
-def _within(docs: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+def _within(sets: DataFrame, percent: int, matches: int) -> DataFrame:
     """(a, b): links that connect what is similar within each block."""
-    sets = _with_sets(docs, dealt.select("component", "rep", "block"), "component long, rep long, block int")
-    return sets.groupBy("component", "block").applyInPandas(_compare(percent), "a long, b long")
+    rows = sets.select("component", "rep", "block", "sign", "shingles")
+    return rows.groupBy("component", "block").applyInPandas(_compare(percent, matches), "a long, b long")
 
 
-def _across(docs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+def _across(sets: DataFrame, named: DataFrame, percent: int, matches: int) -> DataFrame:
     """(a, b): links between different parts of a group: all outside its largest part meet everyone in it.
 
     named: (component, rep, n_shingles, root), root being the part.
@@ -210,28 +231,31 @@ def _across(docs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     rows = named.join(whole, "component").select(
         "component", "rep", F.pmod(F.xxhash64(F.lit(0), "rep"), F.col("blocks")).cast("int").alias("block"), "blocks", own.alias("own"), "others"
     )
-    sets = _with_sets(docs, rows, "component long, rep long, block int, blocks int, own int, others int")
+    rows = rows.join(sets.select("rep", "sign", "shingles"), "rep")
     asked = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: F.struct(i.alias("own"), F.col("block").alias("block")))
     asks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("own").alias("own"), j.alias("block")))
-    tiles = sets.withColumn("tile", F.explode(F.when(F.col("own").isNull(), asked).otherwise(F.array_union(asked, asks))))
-    tiles = tiles.select("component", "rep", "shingles", F.col("tile.own").alias("own"), F.col("tile.block").alias("block"))
-    return tiles.groupBy("component", "own", "block").applyInPandas(_compare(percent), "a long, b long")
+    tiles = rows.withColumn("tile", F.explode(F.when(F.col("own").isNull(), asked).otherwise(F.array_union(asked, asks))))
+    tiles = tiles.select("component", "rep", "sign", "shingles", F.col("tile.own").alias("own"), F.col("tile.block").alias("block"))
+    return tiles.groupBy("component", "own", "block").applyInPandas(_compare(percent, matches), "a long, b long")
 
 
-def links(docs: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def links(docs: DataFrame, groups: DataFrame, signed: DataFrame, percent: int, matches: int) -> DataFrame:
     """(a, b): links that connect what is similar within each candidate group.
 
-    docs: (doc_id, text). groups: (node, component). sizes: (rep, n_shingles). A group is dealt into blocks, and each
-    block compared in itself. In groups of several blocks, what is connected by then counts as one part, whose smallest
-    row is dealt again, for ``ROUNDS`` rounds or until the parts stay as many; last, rows of different parts are compared.
+    docs: (doc_id, text). groups: (node, component). signed: (rep, n_shingles, sign). A group is dealt into blocks, and
+    each block compared in itself. In groups of several blocks, what is connected by then counts as one part, whose
+    smallest row is dealt again, for ``ROUNDS`` rounds or until the parts stay as many; last, rows of different parts
+    are compared.
     """
-    members = common.cut(groups.join(sizes, F.col("node") == F.col("rep")).select("component", "rep", "n_shingles"))
-    first = _dealt(members, 0)
-    found = common.cut(_within(docs, first, percent))
-    large = common.cut(first.where("blocks > 1").select("component", "rep", "n_shingles"))
+    members = groups.join(signed, F.col("node") == F.col("rep")).select("component", "rep", "n_shingles", "sign")
+    dealt = _dealt(members.drop("sign"), 0).join(members.select("rep", "sign"), "rep")
+    sets = member_sets(docs, dealt.select("component", "rep", "n_shingles", "sign", "blocks", "block"))
+    found = common.cut(_within(sets, percent, matches))
+    large = common.cut(sets.where("blocks > 1").select("component", "rep", "n_shingles"))
     before = large.count()
     if not before:
         return found
+    sets = sets.where("blocks > 1").select("rep", "sign", "shingles")
 
     def parts() -> DataFrame:
         near = found.join(large.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
@@ -246,8 +270,8 @@ def links(docs: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int) ->
             return found
         if left == before or i == ROUNDS:
             break
-        before, found = left, common.cut(found.union(_within(docs, roots, percent)))
-    return found.union(_across(docs, named, percent))
+        before, found = left, common.cut(found.union(_within(roots.join(sets, "rep"), percent, matches)))
+    return found.union(_across(sets, named, percent, matches))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = COORDINATES) -> DataFrame:
@@ -263,19 +287,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = COORD
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = common.cut(signatures(docs, coordinates))
     usable = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.any_value("sign").alias("sign"))
+    keys = ["n_shingles", "f1", "f2"]
+    classes = usable.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.any_value("sign").alias("sign"), F.count("*").alias("copies"))
     classes = common.cut(classes)
     groups = candidate_groups(classes, matches, coordinates)
-    of_class = classes.select("n_shingles", "f1", "f2", "rep")
+    of_class = classes.select(*keys, "rep", "copies")
     # A document with several different texts: its classes hang together through it.
     several = usable.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    twice = usable.join(several, "doc_id").join(of_class, ["n_shingles", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = links(docs, groups, classes.select("rep", "n_shingles"), percent).union(twice)
+    twice = usable.join(several, "doc_id").join(of_class, keys).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    found = links(docs, groups, classes.select("rep", "n_shingles", "sign"), percent, matches).union(twice)
     joined = common.components(found)
-    keyed = rows.select("doc_id", "n_shingles", "f1", "f2").join(of_class, ["n_shingles", "f1", "f2"], "left")
-    out = keyed.join(joined, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")
-    )
+    # Components belong to classes, so that copies meet neither here nor below: sets with very many rows are few.
+    named = common.cut(of_class.join(joined, F.col("rep") == F.col("node"), "left").select(*keys, "copies", F.coalesce("component", "rep").alias("component")))
+    hot = F.col("copies") > max(HOT_ROWS, -(-rows.count() // HOT_CLASSES))
+    often = F.broadcast(named.where(hot).drop("copies"))
+    slim = rows.select("doc_id", *keys)
+    out = slim.join(often, keys).unionByName(slim.join(often, keys, "left_anti").join(named.where(~hot).drop("copies"), keys, "left"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
