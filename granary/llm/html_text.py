@@ -2,15 +2,16 @@
 
 1. Every page is read as a tree. Each element is a token, told apart by its path of tags and by its class and id.
 2. For each host, tokens are grouped by their occurrence vector, the number of times that they occur on each of the
-   host's pages. Vectors are never built: a token's vector is summed up as hashes of (page, count), so that a host's
-   pages are added up before they are shuffled, however many there are.
+   host's pages. Pages with the same text are one page. Vectors are never built: a token's vector is summed up as hashes
+   of (page, count), so that a host's pages are added up before they are shuffled, however many there are.
 3. A group is a valid class if it has tokens enough, on pages enough, and its tokens nest: those that lie in one
    another keep their order on all pages, which their paths give. The valid classes are the host's template.
 4. What a template leaves open are slots. A slot is boilerplate if its words are mostly links, or if it holds the same
    words on every page of a host with several pages. Elements that say themselves what they are (navigation, footers,
    forms, adverts, comments, ...) need no deduction.
-5. A page's text is what remains: if it has an article or main element, the blocks inside, and else all blocks outside
-   boilerplate slots.
+5. A page's text is what remains: if it has an article or main element, the blocks inside, and else all blocks, in both
+   cases without boilerplate slots. The template never takes all text of a page, nor more than half of an article that
+   says itself that it is one.
 """
 
 from __future__ import annotations
@@ -222,11 +223,18 @@ class Page:
 
     def text(self, slots: frozenset[str] = frozenset()) -> str:
         """The article. slots: tokens of the host's boilerplate slots."""
-        if self.has_article:
-            kept = (b[0] for b in self.blocks if b[3] and not b[4])
-        else:
-            kept = (b[0] for b in self.blocks if not b[4] and not (slots and any(b[1] == s or b[1].startswith(s + "/") for s in slots)))
-        return "\n".join(kept)
+        own = [b for b in self.blocks if not b[4] and (b[3] or not self.has_article)]
+        if slots:
+            inside = {t: any(t == s or t.startswith(s + "/") for s in slots) for t in {b[1] for b in own}}
+            left = [b for b in own if not inside[b[1]]]
+            letters = sum(len(b[0]) for b in left)
+            if 2 * letters >= sum(len(b[0]) for b in own) if self.has_article else letters:
+                own = left
+        return "\n".join(b[0] for b in own)
+
+    def content(self) -> bytes:
+        """A hash of the text as it is without a template."""
+        return _digest(self.text())
 
 
 def _digest(words: str) -> bytes:
@@ -237,19 +245,19 @@ def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each token of each page: how often it occurs, and the letters, link letters and hash of its own words."""
     for rows in batches:
         out = []
-        for page, host, source in zip(rows["page_id"], rows["host"], rows["html"], strict=True):
+        for host, source in zip(rows["host"], rows["html"], strict=True):
             read = Page(source or "")
+            content = read.content()
             own: dict[str, list] = {}
-            for text, token, links, article, _ in read.blocks:
-                if not article:
-                    seen = own.setdefault(token, [0, 0, []])
-                    seen[0] += len(text)
-                    seen[1] += links
-                    seen[2].append(text)
+            for text, token, links, _, _ in read.blocks:
+                seen = own.setdefault(token, [0, 0, []])
+                seen[0] += len(text)
+                seen[1] += links
+                seen[2].append(text)
             for token, n in read.tokens.items():
                 letters, links, words = own.get(token, (0, 0, []))
-                out.append((host, token, page, n, letters, links, _digest("\n".join(words)) if words else None))
-        yield pd.DataFrame(out, columns=["host", "token", "page_id", "n", "letters", "links", "words"])
+                out.append((host, token, content, n, letters, links, _digest("\n".join(words)) if words else None))
+        yield pd.DataFrame(out, columns=["host", "token", "content", "n", "letters", "links", "words"])
 
 
 def host_of(url: str) -> F.Column:
@@ -257,20 +265,24 @@ def host_of(url: str) -> F.Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slots): the tokens of the boilerplate slots of each host that has some."""
+    """(host, slots): the tokens of the boilerplate slots of each host that has some. pages: (host, html)."""
     common.small_batches(pages.sparkSession)
-    seen = pages.mapInPandas(_observe, "host string, token string, page_id long, n long, letters long, links long, words binary")
-    seen = seen.withColumns({"vector": F.xxhash64("page_id", "n"), "said": F.xxhash64("words")})
-    tokens = seen.groupBy("host", "token").agg(
+    seen = pages.mapInPandas(_observe, "host string, token string, content binary, n long, letters long, links long, words binary")
+    # Pages with one text are one page: their rows are united before they are added up. Where such pages differ in
+    # what isn't text, the smallest figures count.
+    seen = seen.groupBy("host", "token", F.xxhash64("content").alias("page")).agg(F.min(F.struct("n", "letters", "links", F.xxhash64("words").alias("said"), F.col("words").isNotNull().alias("has"))).alias("x"))
+    vector = F.xxhash64("page", "x.n")
+    tokens = seen.select("host", "token", vector.alias("vector"), "x.letters", "x.links", "x.said", "x.has").groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.bit_xor("vector").alias("v1"), F.sum(F.shiftrightunsigned("vector", 32)).alias("v2"),
-        F.sum("letters").alias("letters"), F.sum("links").alias("links"), F.min("said").alias("low"), F.max("said").alias("high"),
+        F.sum("letters").alias("letters"), F.sum("links").alias("links"), F.min("said").alias("low"), F.max("said").alias("high"), F.count_if("has").alias("saying"),
     )
     tokens = common.cut(tokens)  # pages are read once, not for each of the two uses
     of_host = tokens.groupBy("host").agg(F.max("pages").alias("all_pages"))
     tokens = tokens.join(of_host, "host").where((F.col("all_pages") >= LEAST_PAGES) & (F.col("pages") >= F.col("all_pages") * LEAST_SUPPORT))
+    same = (F.col("low") == F.col("high")) & (F.col("saying") == F.col("all_pages"))
     classes = tokens.groupBy("host", "v1", "v2", "pages").agg(
         F.count("*").alias("size"),
-        F.collect_list(F.when((F.col("letters") > 0) & ((F.col("links") * 2 > F.col("letters")) | (F.col("low") == F.col("high"))), F.col("token"))).alias("slots"),
+        F.collect_list(F.when((F.col("letters") > 0) & ((F.col("links") * 2 > F.col("letters")) | same), F.col("token"))).alias("slots"),
     )
     valid = classes.where(F.col("size") >= LEAST_TOKENS)
     return valid.groupBy("host").agg(F.flatten(F.collect_list("slots")).alias("slots")).where(F.size("slots") > 0)
@@ -291,15 +303,15 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     text: the article's blocks in page order, joined by one line feed; character references are decoded and white
     space inside a block is one space. Null and empty html, and pages without an article: empty text, 0 letters. A
-    null url is the empty host; repeated rows are pages like any other. Empty table: no rows. Other columns are not
-    looked at.
+    null url is the empty host. Repeated rows each have a row, and are one page to the template. Pages and blocks may be
+    of any length. Empty table: no rows. Other columns are not looked at.
     """
     spark = pages.sparkSession
     common.small_batches(spark)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host_of("url"))
-    slots = common.cut(templates(rows.select("page_id", "host", "html")))
+    slots = common.cut(templates(rows.select("host", "html")))
     size = slots.agg(F.sum(F.length("host") + F.length(F.array_join("slots", " "))).alias("n")).first()["n"] or 0
     # Far most pages say themselves what they are made of, so that this side is small; if it isn't, Spark joins as it sees fit.
     joined = rows.join(F.broadcast(slots) if size <= BROADCAST_BYTES else slots, "host", "left")
