@@ -5,6 +5,7 @@ keyed permutation of the values of its own format: cards stay valid cards of the
 stay dates of the calendar from 1900 to 2099, separators stay where they are. A value is written as a vector of symbols,
 each with its own radix, which is cut in two; in each round one half is shifted by a keyed hash of the other, so equal
 values get equal pseudonyms in every document, different ones different pseudonyms, and the key alone undoes it.
+Values may be of any length; the work grows with it in proportion.
 """
 
 from __future__ import annotations
@@ -18,11 +19,18 @@ ROUNDS = 8
 #: Days from 1900-01-01 to 2099-12-31, and the two radices whose product is the smallest that holds them.
 DAYS, DAY_HIGH, DAY_LOW = 73_049, 271, 270
 
+#: What says that a secret follows; it is part of the match and stays as it is.
+_GIVEN = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+#: A secret: 8 or more characters up to white space, a quote or an angle bracket, without punctuation at the end, with a letter and a digit.
+_SECRET = r"(?=[^\s\"'<>]*[A-Za-z])(?=[^\s\"'<>]*[0-9])[^\s\"'<>]{7,}[^\s\"'<>.,;:!?)\]}]"
+#: Tokens that say themselves what they are; the part before the last sign of it stays.
+_PREFIX = r"(?:gh[opsur]_|github_pat_|glpat-|xox[abeoprs]-|[rs]k_(?:live|test)_)"
 #: How personal values look. Which of them a match is, and whether it is valid, is decided afterwards.
 SHAPES = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "key": r"(?<![\w])AKIA[0-9A-Z]{16}(?![\w])",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9]{8,128}(?![\w])",
+    "secret": _GIVEN + _SECRET,
+    "token": rf"(?<![\w]){_PREFIX}[A-Za-z0-9_-]{{16,}}",
     "iban": r"(?<![\w])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w])",
     "phone": r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\w])|(?<![\w(])\([2-9][0-9]{2}\) ?[0-9]{3}[ .-][0-9]{4}(?![\w])"
     r"|(?<![\w.-])[2-9][0-9]{2}([-.])[2-9][0-9]{2}\1[0-9]{4}(?![\w-])",
@@ -35,7 +43,12 @@ _ANY = "|".join(SHAPES.values())
 
 
 def _chars(s: Column) -> Column:
-    return F.transform(F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(F.array().cast("array<int>")), lambda i: F.substr(s, i, F.lit(1)))
+    return F.filter(F.split(s, "(?s)(?<=.)(?=.)"), lambda c: c != "")
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with value worked out once wherever the result takes it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _digits(s: Column) -> Column:
@@ -73,7 +86,9 @@ def _kind(m: Column) -> Column:
     iban = F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4)))
     octets = F.split(m, r"\.")
     return (
-        F.when(m.contains("@"), F.lit("email"))
+        F.when(m.rlike(f"^{_GIVEN}"), F.lit("secret"))
+        .when(m.rlike(f"^{_PREFIX}"), F.lit("token"))
+        .when(m.contains("@"), F.lit("email"))
         .when(whole("AKIA[0-9A-Z]{16}"), F.lit("key"))
         .when(whole(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]{8,}") & F.length(plain).between(15, 34) & (_mod97(iban) == 1), F.lit("iban"))
         .when(whole(r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"), F.when(_day(m).isNotNull(), F.lit("date")))
@@ -81,7 +96,6 @@ def _kind(m: Column) -> Column:
         .when(whole(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), F.when(F.forall(octets, lambda o: o.cast("int") <= 255), F.lit("ip")))
         .when(m.rlike(r"^[+(]") | whole(r"[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}"), F.when(F.length(digits).between(8, 15), F.lit("phone")))
         .when(whole("[0-9](?:[ -]?[0-9]){12,18}") & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]"), F.lit("card"))
-        .when(whole("[A-Za-z0-9]{8,128}"), F.when(m.rlike("[A-Za-z]") & m.rlike("[0-9]"), F.lit("secret")))
     )
 
 
@@ -91,7 +105,7 @@ def _symbol(value: Column, radix: Column, base: Column) -> Column:
 
 
 def _letters(s: Column, joint: Column) -> Column:
-    """Symbols of characters, each kept within its kind: digits, small and capital letters, or (joint) base 16."""
+    """Symbols of characters, each kept within its kind: digits, small and capital letters, or (joint) base 16. Others stay."""
     code = F.ascii
     return F.transform(
         _chars(s),
@@ -106,7 +120,9 @@ def _letters(s: Column, joint: Column) -> Column:
 
 def _unletters(symbols: Column) -> Column:
     hexadecimal = lambda v: F.substr(F.lit("0123456789abcdef"), v + 1, F.lit(1))
-    return F.array_join(F.transform(symbols, lambda x: F.when(x["b"] == -1, hexadecimal(x["v"])).otherwise(F.char(x["v"] + x["b"]))), "")
+    beyond = lambda b: F.decode(F.unhex(F.lpad(F.hex(b), 8, "0")), "UTF-32")
+    one = lambda x: F.when(x["b"] == -1, hexadecimal(x["v"])).when(x["b"] > 127, beyond(x["b"])).otherwise(F.char(x["v"] + x["b"]))
+    return F.array_join(F.transform(symbols, one), "")
 
 
 def _kept(m: Column, kind: Column) -> Column:
@@ -115,6 +131,7 @@ def _kept(m: Column, kind: Column) -> Column:
     return (
         F.when(kind == "email", F.regexp_extract(m, "@.*$", 0))
         .when(kind == "key", F.lit("AKIA"))
+        .when(kind == "token", F.regexp_extract(m, f"^{_PREFIX}", 0))
         .when(kind == "iban", F.substr(plain, F.lit(1), F.lit(2)))
         .when(kind == "card", F.substr(digits, F.lit(1), F.lit(1)))
         .when((kind == "phone") & m.startswith("+1"), F.lit("1"))
@@ -123,6 +140,11 @@ def _kept(m: Column, kind: Column) -> Column:
     )
 
 
+def _value(m: Column) -> Column:
+    """A match without what says that a secret follows."""
+    return F.regexp_replace(m, f"^{_GIVEN}", "")
+
+
 def _symbols(m: Column, kind: Column) -> Column:
     """A value as symbols."""
     digits, plain, kept = _digits(m), F.regexp_replace(m, " ", ""), F.length(_kept(m, kind))
@@ -147,11 +169,12 @@ def _symbols(m: Column, kind: Column) -> Column:
         .when(o.cast("int").between(1, 223), _symbol(o.cast("int") - 1, F.lit(223), F.lit(1)))
         .otherwise(_symbol(F.lit(0), F.lit(1), o.cast("int"))),
     )
-    day = _day(m)
+    day, secret = _day(m), _value(m)
     return (
         F.when(kind == "email", _letters(F.regexp_extract(m, "^[^@]*", 0), F.lit(False)))
         .when(kind == "key", _letters(F.substr(m, F.lit(5)), F.lit(False)))
-        .when(kind == "secret", _letters(m, m.rlike("^[0-9a-f]+$")))
+        .when(kind == "secret", _letters(secret, secret.rlike("^[0-9a-f]+$")))
+        .when(kind == "token", _letters(F.regexp_replace(m, f"^{_PREFIX}", ""), F.lit(False)))
         .when(kind == "iban", _letters(F.substr(plain, F.lit(5)), F.lit(False)))
         .when(kind == "card", number(F.substr(digits, F.lit(2), F.length(digits) - 2)))
         .when(kind == "phone", dialled)
@@ -170,10 +193,11 @@ def feistel(symbols: Column, key: Column) -> Column:
     def turn(now: Column, i: Column) -> Column:
         first = i % 2 == 0
         other = F.array_join(F.transform(F.filter(now, lambda x, j: (j < half) != first), lambda x: x["v"].cast("string")), ",")
-        shift = lambda j: F.conv(F.substr(F.sha2(F.concat_ws("|", key, i, j, other), 256), F.lit(1), F.lit(12)), 16, 10).cast("long")
-        return F.transform(
-            now,
-            lambda x, j: F.when(((j < half) == first) & (x["r"] > 1), F.struct(((x["v"] + shift(j)) % x["r"]).cast("int").alias("v"), x["r"].alias("r"), x["b"].alias("b"))).otherwise(x),
+        shift = lambda d, j: F.conv(F.substr(F.sha2(F.concat_ws("|", d, j), 256), F.lit(1), F.lit(12)), 16, 10).cast("long")
+        moved = lambda d, x, j: F.struct(((x["v"] + shift(d, j)) % x["r"]).cast("int").alias("v"), x["r"].alias("r"), x["b"].alias("b"))
+        # The other half is hashed once; a symbol's shift is taken from that and the symbol's place.
+        return _once(
+            F.sha2(F.concat_ws("|", key, i, other), 256), lambda d: F.transform(now, lambda x, j: F.when(((j < half) == first) & (x["r"] > 1), moved(d, x, j)).otherwise(x))
         )
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), symbols, turn)
@@ -208,8 +232,8 @@ def _written(m: Column, kind: Column, symbols: Column) -> Column:
     day = F.date_add(F.lit("1900-01-01").cast("date"), (symbols[0]["v"] * DAY_LOW + symbols[1]["v"]).cast("int"))
     return (
         F.when(kind == "email", F.concat(inner, kept))
-        .when(kind == "key", F.concat(kept, inner))
-        .when(kind == "secret", inner)
+        .when(kind.isin("key", "token"), F.concat(kept, inner))
+        .when(kind == "secret", F.concat(F.regexp_extract(m, f"^{_GIVEN}", 0), inner))
         .when(kind == "iban", _fill(m, "[A-Z0-9]", bank))
         .when(kind == "card", _fill(m, "[0-9]", F.concat(first, check.cast("string"))))
         .when(kind == "phone", _fill(m, "[0-9]", first))
@@ -219,43 +243,63 @@ def _written(m: Column, kind: Column, symbols: Column) -> Column:
     )
 
 
-def _card_end(m: Column) -> Column:
-    """Where the longest valid card ends that a match starts with and a separator follows; the match's length if it is valid itself or has none."""
+#: How a card is written that starts inside a longer run of numbers.
+_GROUPED = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+
+
+def _card_span(m: Column) -> Column:
+    """struct(start, end): the longest valid card between separators in a run of numbers; all of it if it is valid itself or holds none.
+
+    One that doesn't start the run has to be grouped like a card.
+    """
     n = F.length(m)
+    apart = lambda i: F.substr(m, i, F.lit(1)).isin(" ", "-")
 
-    def valid(i: Column) -> Column:
-        digits = _digits(F.substr(m, F.lit(1), i))
-        return F.substr(m, i + 1, F.lit(1)).isin(" ", "-") & (F.length(digits) >= 13) & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]")
+    def valid(i: Column, j: Column) -> Column:
+        own = F.substr(m, i, j - i + 1)
+        digits = _digits(own)
+        return (F.length(digits) >= 13) & ((i == 1) | own.rlike(_GROUPED)) & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]")
 
-    ends = F.array_max(F.filter(F.sequence(F.lit(13), n - 1), valid))
-    split = m.rlike("^[0-9](?:[ -]?[0-9]){13,18}$") & m.rlike("[ -]") & (n > 13)
-    return F.when(split, F.when(_kind(m).isNull(), F.coalesce(ends, n)).otherwise(n)).otherwise(n)
+    starts = F.filter(F.sequence(F.lit(1), n - 12), lambda i: (i == 1) | apart(i - 1))
+    ends = lambda i: F.filter(F.sequence(i + 12, n), lambda j: ((j == n) | apart(j + 1)) & valid(i, j))
+    found = F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda j: F.struct((j - i).alias("long"), (-i).alias("i"), j.alias("j"))))))
+    whole = F.struct(F.lit(1).alias("start"), n.alias("end"))
+    run = m.rlike("^[0-9](?:[ -]?[0-9]){13,18}$") & m.rlike("[ -]") & (n > 13)
+    part = _once(found, lambda x: F.when(x.isNull(), whole).otherwise(F.struct((-x["i"]).alias("start"), x["j"].alias("end"))))
+    return F.when(run, F.when(_kind(m).isNull(), part).otherwise(whole)).otherwise(whole)
 
 
 def _split(text: Column) -> tuple[Column, Column]:
-    """The pieces between matches, and the matches. A card ends where a number that isn't its own follows; what follows is searched again."""
+    """The pieces between matches, and the matches.
+
+    Of a run of numbers that holds a card the card is a match; what stands before it is a match that isn't valid, and
+    what follows is searched again.
+    """
     hits, gaps = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)), F.split(text, _ANY, -1)
-    ended = F.transform(hits, lambda m, i: F.struct(m.alias("m"), _card_end(m).alias("end"), i.alias("i")))
+    spans = F.transform(hits, lambda m, i: F.struct(m.alias("m"), _card_span(m).alias("at"), i.alias("i")))
+    none = F.array().cast("array<string>")
 
     def parted(found: Column, between: Column) -> Column:
         cut = F.transform(
             found,
             lambda x: F.struct(
-                F.substr(x["m"], F.lit(1), x["end"]).alias("m"), (x["end"] < F.length(x["m"])).alias("cut"), F.concat(F.substr(x["m"], x["end"] + 1), F.get(between, x["i"] + 1)).alias("rest")
+                F.substr(x["m"], F.lit(1), x["at"]["start"] - 1).alias("before"), F.substr(x["m"], x["at"]["start"], x["at"]["end"] - x["at"]["start"] + 1).alias("m"),
+                (x["at"]["end"] < F.length(x["m"])).alias("cut"), F.concat(F.substr(x["m"], x["at"]["end"] + 1), F.get(between, x["i"] + 1)).alias("rest"),
             ),
         )
-        again = lambda x: F.when(x["cut"], F.regexp_extract_all(x["rest"], F.lit(_ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+        ahead = lambda x, this: F.when(x["before"] != "", F.array(this)).otherwise(none)
+        again = lambda x: F.when(x["cut"], F.regexp_extract_all(x["rest"], F.lit(_ANY), F.lit(0))).otherwise(none)
         pieces = lambda x: F.when(x["cut"], F.split(x["rest"], _ANY, -1)).otherwise(F.array(x["rest"]))
         first = F.array(F.get(between, F.lit(0)))
-        return F.transform(
-            F.array(cut),
+        return _once(
+            cut,
             lambda c: F.struct(
-                F.concat(first, F.flatten(F.transform(c, pieces))).alias("gaps"), F.flatten(F.transform(c, lambda x: F.concat(F.array(x["m"]), again(x)))).alias("hits")
+                F.concat(first, F.flatten(F.transform(c, lambda x: F.concat(ahead(x, F.lit("")), pieces(x))))).alias("gaps"),
+                F.flatten(F.transform(c, lambda x: F.concat(ahead(x, x["before"]), F.array(x["m"]), again(x)))).alias("hits"),
             ),
-        )[0]
+        )
 
-    # An array of one, so that each expression is worked out once.
-    whole = F.transform(F.array(F.struct(ended.alias("ended"), gaps.alias("gaps"))), lambda x: parted(x["ended"], x["gaps"]))[0]
+    whole = _once(F.struct(spans.alias("spans"), gaps.alias("gaps")), lambda x: parted(x["spans"], x["gaps"]))
     return whole["gaps"], whole["hits"]
 
 
@@ -281,17 +325,20 @@ def pseudonyms(text: Column, key: str) -> tuple[Column, Column, Column]:
     return gaps, hits, written
 
 
-def pseudonymised(docs: DataFrame, key: str = "granary", column: str = "text", found: str | None = None) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, column: str = "text", found: str | None = None) -> DataFrame:
     """``docs`` with the personal values of ``column`` replaced; all columns stay, and no row is added or lost.
 
-    E-mail addresses (the part before the @), phone numbers, payment cards, bank accounts, social security numbers,
-    IPv4 addresses, calendar dates, access keys, and passwords and tokens that are given as such. Equal values get
+    key: what the permutations depend on; keep it secret. E-mail addresses (the part before the @), phone numbers,
+    payment cards, bank accounts, social security numbers, IPv4 addresses, calendar dates, access keys, and passwords and
+    tokens that are given as such, of any length and characters. Equal values get
     equal pseudonyms, whatever separates their digits; a value never becomes one of another format. Texts without valid
     values, null and empty texts are unchanged to the letter. found: the name of a column to add, with an array of
     (kind, pseudonym) of what was replaced, in order (empty for null texts). Empty table: no rows.
     """
     at = common.fresh(docs, "__pii")
     text = F.col(f"`{column}`").cast("string")
+    if not key:
+        raise ValueError("a key is needed")
     seen = text.rlike("[0-9@]")
     gaps, _, written = pseudonyms(text, key)
     whole = docs.withColumn(at, F.when(seen, F.struct(gaps.alias("gaps"), written.alias("hits"))))
@@ -299,6 +346,6 @@ def pseudonymised(docs: DataFrame, key: str = "granary", column: str = "text", f
     rest = F.transform(hits, lambda x, i: F.concat(F.coalesce(x["pseudonym"], x["value"]), F.get(F.col(f"{at}.gaps"), i + 1)))
     replaced = F.when(F.size(hits) > 0, F.concat(F.get(F.col(f"{at}.gaps"), F.lit(0)), F.array_join(rest, ""))).otherwise(text)
     none = F.array().cast("array<struct<kind:string,pseudonym:string>>")
-    valid = F.transform(F.filter(hits, lambda x: x["pseudonym"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym")))
+    valid = F.transform(F.filter(hits, lambda x: x["pseudonym"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), _value(x["pseudonym"]).alias("pseudonym")))
     out = [replaced.alias(c) if c == column else F.col(f"`{c}`") for c in docs.columns]
     return whole.select(*out, *([F.coalesce(valid, none).alias(found)] if found else []))
