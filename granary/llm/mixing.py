@@ -8,7 +8,7 @@
    the end of the target is cut there, or, if only whole documents are asked for, replaced by the nearest fit.
 3. The blocks of all sources are split between the two halves of the output shards, again and again: at each node of
    the tree, how many blocks of each source go left is drawn from the multivariate hypergeometric distribution of
-   what the node has, by inversion. Quotas are exact: nothing is lost or doubled, and siblings differ by a block at most.
+   what the node has, at any size. Quotas are exact: nothing is lost or doubled, and siblings differ by a block at most.
 4. A source's blocks, in their random order, are dealt out by these quotas as disjoint runs, and each shard is put
    into an order of its own.
 """
@@ -29,8 +29,8 @@ SHARD_WORDS = 1 << 20
 RANGES = 512
 #: Sources up to which their table is broadcast (some 5 MB).
 BROADCAST_SOURCES = 50_000
-#: Standard deviations to either side that a draw can reach, and the deviation from which it is drawn as normal.
-REACH, NORMAL_FROM = 8.0, 16.0
+#: The standard deviation from which draws are made by ratio of uniforms, and how often that is tried (each time it succeeds with more than one half).
+WIDE_FROM, TRIES = 16.0, 64
 
 
 def size_of(text: Column) -> Column:
@@ -86,34 +86,39 @@ def _line(rows: DataFrame) -> DataFrame:
     w2 = until(Window.partitionBy("source", "r1").orderBy("r2"))
     fine = parts.select("source", "r1", "r2", F.coalesce(F.sum("w").over(w2), F.lit(0)).alias("w2"), F.coalesce(F.sum("c").over(w2), F.lit(0)).alias("c2"))
     starts = fine.join(coarse, ["source", "r1"]).select("source", "r1", "r2", (F.col("w1") + F.col("w2")).alias("w_"), (F.col("c1") + F.col("c2")).alias("c_"))
-    w3 = Window.partitionBy("source", "r1", "r2").orderBy("h", "doc_id", "size")
+    w3 = Window.partitionBy("source", "r1", "r2").orderBy("h", "doc_id", "size", "uid")
     inner = rows.withColumns({"place": F.row_number().over(w3) - 1, "before": F.coalesce(F.sum("size").over(until(w3)), F.lit(0))})
     out = inner.join(starts, ["source", "r1", "r2"])
     return out.withColumns({"before": F.col("before") + F.col("w_"), "place": F.col("place") + F.col("c_")}).drop("r1", "r2", "w_", "c_")
 
 
-def _normal(u: Column) -> Column:
-    """The quantile function of the normal distribution, within 0.0005 (Abramowitz and Stegun 26.2.23)."""
-    t = F.sqrt(F.lit(-2.0) * F.ln(F.least(u, 1 - u)))
-    x = t - (2.515517 + 0.802853 * t + 0.010328 * t * t) / (1 + 1.432788 * t + 0.189269 * t * t + 0.001308 * t * t * t)
-    return F.when(u < 0.5, -x).otherwise(x)
+def _log_factorial(n: Column) -> Column:
+    """ln n! of a whole double: by table below 16, else by Stirling's series (to 1e-13 of itself)."""
+    small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(16)])
+    x = F.greatest(n, F.lit(16.0))
+    series = (x + 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    return F.when(n < 16, F.get(small, n.cast("int"))).otherwise(series)
+
+
+def _uniform(*seeds: Column) -> Column:
+    return (F.pmod(F.xxhash64(*seeds), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
 def _draw(pool: Column, own: Column, drawn: Column, u: Column) -> Column:
-    """How many of ``drawn`` blocks out of ``pool`` are among ``own`` ones: hypergeometric, at the uniform number u.
+    """How many of ``drawn`` blocks out of ``pool`` are among ``own`` ones: hypergeometric, by the uniform number u.
 
-    Up to a standard deviation of ``NORMAL_FROM`` the probabilities are added up over ``REACH`` deviations (beyond
-    lies less than 1e-14), from the ratios of neighbouring ones; above, the rounded normal quantile is taken. Always
-    a possible number.
+    Up to a standard deviation of ``WIDE_FROM`` by inversion: probabilities are added up, from the ratios of neighbouring
+    ones, over 64 and ten deviations to either side of the mean (beyond lies less than 1e-30). Above, by ratio of uniforms
+    (Stadlober's hat), whose uniform numbers are hashes of u: a point is taken if it lies under the probability of its
+    number, by logarithms of factorials. Both are exact but for the rounding of doubles. Always a possible number.
     """
     n, k, m = pool.cast("double"), own.cast("double"), drawn.cast("double")
     mean = m * k / n
     spread = F.sqrt(F.greatest(F.lit(0.0), m * (k / n) * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0))))
     least, most = F.greatest(F.lit(0.0), m - (n - k)), F.least(k, m)
-    low = F.greatest(least, F.floor(mean - REACH * spread - 2))
-    high = F.least(most, F.ceil(mean + REACH * spread + 2))
-    normal = F.least(most, F.greatest(least, F.round(mean + spread * _normal(u))))
-    # Weights relative to that of ``low`` can be as large as exp(40): well inside a double.
+    reach = 64 + 10 * spread
+    low, high = F.greatest(least, F.floor(mean - reach)), F.least(most, F.ceil(mean + reach))
+    # Weights relative to that of ``low`` can be as large as exp(150): well inside a double.
     ratio = lambda x: (k - x) * (m - x) / ((x + 1) * (n - k - m + x + 1))
     steps = F.sequence(low.cast("long"), high.cast("long"))
     total = F.aggregate(steps, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum")), lambda a, x: F.struct((a["p"] * F.greatest(ratio(x.cast("double")), F.lit(0.0))).alias("p"), (a["sum"] + a["p"]).alias("sum")), lambda a: a["sum"])
@@ -126,8 +131,24 @@ def _draw(pool: Column, own: Column, drawn: Column, u: Column) -> Column:
         ),
         lambda a: a["at"],
     )
-    exact = F.coalesce(found, high.cast("long"))
-    return F.when((own == 0) | (drawn == 0), F.lit(0).cast("long")).when(own == pool, drawn).when(spread < NORMAL_FROM, exact).otherwise(normal.cast("long"))
+    inverted = F.coalesce(found, high.cast("long"))
+    # The logarithm of a number's probability, but for what is the same for all numbers.
+    weight = lambda x: -(_log_factorial(x) + _log_factorial(k - x) + _log_factorial(m - x) + _log_factorial(n - k - m + x))
+    mode = F.least(most, F.greatest(least, F.floor((m + 1) * (k + 1) / (n + 2))))
+    width = 2 * math.sqrt(2 / math.e) * F.sqrt(spread * spread + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
+
+    def tried(a: Column, i: Column) -> Column:
+        x, y = _uniform(u, i, F.lit(0)), _uniform(u, i, F.lit(1))
+        at = F.floor(mean + 0.5 + width * (y - 0.5) / x).cast("double")
+        inside = (at >= least) & (at <= most)
+        under = F.when(inside, 2 * F.ln(x) <= weight(F.least(most, F.greatest(least, at))) - a["top"]).otherwise(F.lit(False))
+        return F.when(a["at"].isNotNull(), a).otherwise(F.struct(F.when(under, at.cast("long")).alias("at"), a["top"].alias("top")))
+
+    wide = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.struct(F.lit(None).cast("long").alias("at"), weight(mode).alias("top")), tried, lambda a: a["at"])
+    return (
+        F.when((own == 0) | (drawn == 0), F.lit(0).cast("long")).when(own == pool, drawn).when(drawn == pool, own)
+        .when(spread < WIDE_FROM, inverted).otherwise(F.coalesce(wide, mode.cast("long")))
+    )
 
 
 def quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -167,20 +188,26 @@ def quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 42, shard_words: int = SHARD_WORDS, whole: bool = False
-) -> DataFrame:
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 42, shard_words: int = SHARD_WORDS, whole: bool = False,
+    row: str | None = None,
+) -> DataFrame:
     """The blocks of the mix: a row for each copy of a row of ``docs`` that is taken, and one without a shard for others.
 
     docs: (doc_id, text, source) and any other columns, which are not looked at. Returns doc_id, source, size,
     source_size, target, place (the row's number in its source's order), copy (0, 1, ...), words (those taken of this
     copy: its first ones), shard and position. A source's words add up to its target, rounded; with ``whole`` a copy
     is taken whole or not at all, and the words come as near to the target as the order and one more document allow.
+    row: a column (long) that tells apart rows whose doc_id doesn't; it is returned as ``row``.
     Null and wordless texts have size 0 and are never taken. Null sources are one source, repeated rows and null
     doc_ids are rows like any other. Equal input gives equal output, but for which of two rows of one doc_id and size
     comes first. Empty table: no rows.
     """
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("source")).alias("source"), size_of(F.col("text").cast("string")).alias("size"))
-    sized = common.cut(sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")))
+    sized = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("source")).alias("source"), size_of(F.col("text").cast("string")).alias("size"),
+        # Rows without an id would all stand at one place.
+        F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("uid") if row is None else F.col(row).cast("long").alias("uid"),
+    )
+    sized = common.cut(sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size", "uid")))
     of_source = common.cut(targets(sized, weights, share, limit))
     # A table with a row a source is sent to all tasks while it is small, and joined like any other beyond.
     small = F.broadcast if of_source.count() <= BROADCAST_SOURCES else lambda df: df
@@ -201,7 +228,7 @@ def mix(
     copies = F.when(F.col("taken") > 0, F.sequence(F.lit(0).cast("long"), F.col("taken") - 1)).otherwise(F.array(F.lit(None).cast("long")))
     blocks = rows.withColumn("copy", F.explode(copies))
     blocks = blocks.withColumn("words", F.when(F.col("copy").isNull(), 0).when(F.col("copy") < F.col("copies"), F.col("size")).otherwise(F.col("part")).cast("long"))
-    blocks = common.cut(blocks.select("doc_id", "source", "size", "source_size", "target", "place", "copy", "words"))
+    blocks = common.cut(blocks.select("doc_id", "uid", "source", "size", "source_size", "target", "place", "copy", "words"))
     taken = blocks.where("copy is not null")
     counts = taken.groupBy("source").agg(F.count("*").alias("blocks"))
     total = blocks.agg(F.sum("words")).first()[0] or 0
@@ -213,17 +240,18 @@ def mix(
     plan = plan.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / F.col("width")), F.floor((F.col("start") + F.col("blocks") - 1) / F.col("width")))))
     plan = plan.select("source", "bin", "shard", "start", "blocks")
     # Blocks get a random order of their own, in which the runs are dealt out.
-    deal = F.xxhash64(F.lit(seed + 1), "doc_id", "size", "copy")
+    deal = F.xxhash64(F.lit(seed + 1), "doc_id", "size", "copy", "place")
     kept = F.struct("size", "source_size", "target", F.col("place").alias("row"), "copy", "words").alias("kept")
-    lined = _line(taken.select("doc_id", "source", kept, F.lit(1).cast("long").alias("size"), deal.alias("h")))
+    lined = _line(taken.select("doc_id", "uid", "source", kept, F.lit(1).cast("long").alias("size"), deal.alias("h")))
     lined = lined.join(small(width), "source").withColumn("bin", F.floor(F.col("place") / F.col("width")))
     dealt = lined.join(plan, ["source", "bin"]).where("place >= start and place < start + blocks")
     inside = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 3), "doc_id", "kept.copy", "kept.row"), "source", "kept.row", "kept.copy")
     dealt = dealt.withColumn("position", (F.row_number().over(inside) - 1).cast("long"))
-    names = ["doc_id", "source", "size", "source_size", "target", "place", "copy", "words", "shard", "position"]
-    dealt = dealt.select("doc_id", "source", "kept.size", "kept.source_size", "kept.target", F.col("kept.row").alias("place"), "kept.copy", "kept.words", "shard", "position")
+    names = ["doc_id", *(["uid"] if row else []), "source", "size", "source_size", "target", "place", "copy", "words", "shard", "position"]
+    dealt = dealt.select("doc_id", "uid", "source", "kept.size", "kept.source_size", "kept.target", F.col("kept.row").alias("place"), "kept.copy", "kept.words", "shard", "position")
     others = blocks.where("copy is null").withColumns({"shard": F.lit(None).cast("long"), "position": F.lit(None).cast("long")})
-    return dealt.unionByName(others).withColumn("source", _source(F.col("source"))).select(*names)
+    out = dealt.unionByName(others).withColumn("source", _source(F.col("source"))).select(*names)
+    return out.withColumnRenamed("uid", "row") if row else out
 
 
 def taken_words(blocks: DataFrame) -> DataFrame:
@@ -237,12 +265,21 @@ def taken_words(blocks: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, as often as the mix takes them, whole documents only.
 
-    Rows of one doc_id and size stand for one another; rows with a null doc_id are never taken.
+    Each row is taken or left on its own: rows with a null doc_id, and those that share one, are numbered for that.
     """
-    blocks = mix(docs.where(F.col("doc_id").isNotNull()), whole=True, **how)
-    mixed, n, copy = (common.fresh(docs, x) for x in ("__mixed", "__times", "__copy"))
-    times = blocks.where("copy is not null").groupBy(F.col("doc_id").alias(mixed), "place", "source").agg(F.count("*").alias(n))
-    times = times.groupBy(mixed).agg(F.max(n).cast("int").alias(n))
+    odd_id, uid, mixed, n, copy = (common.fresh(docs, x) for x in ("__again", "__row", "__mixed", "__times", "__copy"))
+    own = F.col("doc_id").cast("long")
+    again = common.cut(docs.select(own.alias(odd_id)).where(F.col(odd_id).isNotNull()).groupBy(odd_id).agg(F.count("*").alias("n")).where("n > 1").select(odd_id))
+    plain, odd = docs.where(own.isNotNull()), docs.where(own.isNull())
+    if not again.isEmpty():
+        odd = odd.unionByName(docs.join(again, own == F.col(odd_id), "left_semi"))
+        plain = plain.join(again, own == F.col(odd_id), "left_anti")
+    odd = common.cut(odd.withColumn(uid, F.monotonically_increasing_id()))
+    slim = lambda rows, number: rows.select(own.alias("doc_id"), "source", "text", number.alias("row"))
+    blocks = mix(slim(plain, F.lit(None).cast("long")).union(slim(odd, F.col(uid))), whole=True, row="row", **how)
+    times = common.cut(blocks.where("copy is not null").groupBy("doc_id", "row").agg(F.count("*").cast("int").alias(n)))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(times, F.col("doc_id") == F.col(mixed)).select(*names, n)
+    one = plain.join(times.where("row is null").select(F.col("doc_id").alias(mixed), n), own == F.col(mixed))
+    two = odd.join(times.where("row is not null").select(F.col("row").alias(mixed), n), F.col(uid) == F.col(mixed))
+    joined = one.select(*names, n).union(two.select(*names, n))
     return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col(n))).alias(copy)).select(*names)
