@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import common, mixing, near_dup, packing, pii, quality
-from granary.llm.queries import table, tokenizer_file
+from granary.llm.queries import PII_KEY, table, tokenizer_file
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal values replaced, and n_chars counted anew where the text changed."""
     before = common.fresh(docs, "__before")
-    out = pii.pseudonymised(docs.withColumn(before, F.col("text")))
+    out = pii.pseudonymised(docs.withColumn(before, F.col("text")), PII_KEY)
     n_chars = F.when(F.col("text").eqNullSafe(F.col(before)), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
     return out.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
