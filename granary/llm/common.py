@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,15 +14,17 @@ from pyspark.sql import functions as F
 
 from granary import ship
 
-#: Rows that go to Python at a time. Texts differ in length, so a batch holds few of them.
-BATCH_ROWS = 1000
+#: Rows, and bytes, that go to Python at a time, about. Texts differ in length, so a batch holds few of them.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors see. Only where it is unset (tests) is one made."""
+    """The folder of ``spark.checkpoint.dir``, which all executors see. Only where it is unset and the master local (tests) is one made."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="granary-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
@@ -34,10 +37,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder. Unlike a checkpoint it is known to be as small as it is, which
+    matters where tables are joined again and again: estimates of sizes multiply with each join."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Before Python runs: lower the session's Arrow batch to ``rows`` if it is larger, so that long texts don't fill a
+    """Before Python runs: lower the session's Arrow batch to ``rows`` and ``BATCH_BYTES`` if it is larger, so that long texts don't fill a
     worker's memory, and see to it that the executors have this package's code."""
     ship(spark)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(size)) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
