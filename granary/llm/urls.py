@@ -7,7 +7,8 @@
    segment and label) no different from their group's.
 4. A template is rejected if its labelled rows are most of its rows and their smoothed share of blocks is high.
 
-Everything after the first count works on templates, not on urls, and the tables of each level are written out.
+The tree is as deep as the longest path. Everything after the first count works on templates, not on urls, and the tables
+of each level are written out.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from granary.llm import common
 
-#: Levels of the tree; what lies deeper is one tail of segment classes.
-LEVELS = 3
+#: From this level on the rest of a path is one segment, so that a path of thousands of segments isn't as many levels.
+DEEPEST = 16
 #: Children from which a node is wide, and the share of its rows below which a child of a wide node is a wildcard.
 WIDE, SMALL_SHARE = 16, 0.05
 #: Rows from which a branch can be merged, and the normal quantile of the test's level (1 %).
@@ -81,14 +82,19 @@ def _class(segment: Column) -> Column:
     )
 
 
-def _chains(urls: DataFrame) -> DataFrame:
-    """urls with t1, t2, ...: the classes of the first segments, and ``tail``: those of the others."""
-    segments = F.transform(F.filter(F.split("path", "/", -1), lambda _, i: i > 0), lambda s: _class(s))
-    urls = urls.withColumn("segments", segments)
-    for i in range(LEVELS):
-        urls = urls.withColumn(f"t{i + 1}", F.coalesce(F.get("segments", F.lit(i)), F.lit(_END)))
-    deep = F.transform(F.slice("segments", LEVELS + 1, 1 << 30), lambda s: F.when((s == "") | s.startswith("<"), s).otherwise(F.lit("<s>")))
-    return urls.withColumn("tail", F.array_join(deep, "/")).drop("segments")
+def _segments() -> Column:
+    return F.transform(F.filter(F.split("path", "/", -1), lambda _, i: i > 0), lambda s: _class(s))
+
+
+def _chains(urls: DataFrame, depth: int) -> DataFrame:
+    """urls with t1, t2, ...: the classes of their segments; the last one holds all that is left of the path."""
+    urls = urls.withColumn("segments", _segments())
+    for i in range(depth):
+        own = F.get("segments", F.lit(i))
+        if i + 1 == depth:
+            own = F.when(F.size("segments") > i, F.array_join(F.slice("segments", depth, 1 << 30), "/"))
+        urls = urls.withColumn(f"t{i + 1}", F.coalesce(own, F.lit(_END)))
+    return urls.drop("segments")
 
 
 def _critical(df: Column) -> Column:
@@ -97,13 +103,12 @@ def _critical(df: Column) -> Column:
     return df * F.pow(1 - a + QUANTILE * F.sqrt(a), 3)
 
 
-def templates(chains: DataFrame) -> DataFrame:
-    """chains (host, t1.., tail, n, blocked, allowed) with their ``template``."""
+def templates(chains: DataFrame, depth: int) -> DataFrame:
+    """chains (host, t1.., n, blocked, allowed) with their ``template``."""
     tree = chains.withColumn("prefix", F.lit(""))
-    for level in range(1, LEVELS + 1):
+    for level in range(1, depth + 1):
         own = f"t{level}"
-        following = f"t{level + 1}" if level < LEVELS else "tail"
-        tree = common.cut(tree)
+        tree = common.written(tree.withColumn("following", F.col(f"t{level + 1}") if level < depth else F.lit(_END)))
         child = tree.groupBy("host", "prefix", own).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
         literal = ~F.col(own).startswith("<") & ~F.col(own).isin("", _END)
         node = child.groupBy("host", "prefix").agg(F.sum("n").alias("rows"), F.count_if(literal).alias("wide"))
@@ -114,11 +119,11 @@ def templates(chains: DataFrame) -> DataFrame:
             "host", "prefix", own, "n", F.coalesce(state, F.lit("open")).alias("state"), literal.alias("literal"),
             (literal & (F.col("wide") >= WIDE) & (F.col("n") < F.col("rows") * SMALL_SHARE)).alias("variable"),
         )
-        child = common.cut(child)
+        child = common.written(child)
         # What follows each branch, against what follows its group: sum of (seen - expected)^2 / expected = sum of seen^2 / expected - n.
         able = child.where(F.col("literal") & ~F.col("variable") & (F.col("n") >= LEAST_ROWS)).select("host", "prefix", own, "state", F.col("n").alias("of"))
         # Literal names that follow count as one kind: each alone is too rare for the test.
-        kind = F.when(F.col(following).startswith("<") | F.col(following).isin("", _END), F.col(following)).otherwise(F.lit("<s>"))
+        kind = F.when(F.col("following").startswith("<") | F.col("following").isin("", _END), F.col("following")).otherwise(F.lit("<s>"))
         seen = tree.join(able, ["host", "prefix", own]).withColumn("next", kind)
         seen = seen.withColumn(
             "x", F.explode(F.array(F.struct(F.lit("block").alias("l"), F.col("blocked").alias("k")), F.struct(F.lit("allow").alias("l"), F.col("allowed").alias("k")), F.struct(F.lit("none").alias("l"), (F.col("n") - F.col("blocked") - F.col("allowed")).alias("k"))))
@@ -132,9 +137,9 @@ def templates(chains: DataFrame) -> DataFrame:
         similar = F.col("s") * F.col("pn") / F.col("of") - F.col("of") <= _critical(F.greatest(F.col("cells") - 1, F.lit(1)))
         merged = chi.where(similar).select("host", "prefix", own, F.concat(F.lit("<"), "state", F.lit(">")).alias("merged"))
         moves = child.join(merged, ["host", "prefix", own], "left").select("host", "prefix", own, F.when(F.col("variable"), F.lit("*")).otherwise(F.coalesce("merged", own)).alias("now"))
-        tree = tree.join(common.cut(moves), ["host", "prefix", own])
+        tree = tree.join(common.written(moves), ["host", "prefix", own])
         tree = tree.withColumn("prefix", F.when(F.col(own) == _END, F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "now"))).drop("now")
-    return tree.withColumn("template", F.when(F.col("tail") == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "tail"))).drop("prefix")
+    return tree.withColumnRenamed("prefix", "template").drop("following")
 
 
 def filtered(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
@@ -147,10 +152,12 @@ def filtered(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """
     host, path = split_url(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    rows = _chains(judged(rows, rules))
-    keys = ["host", *(f"t{i + 1}" for i in range(LEVELS)), "tail"]
+    rows = judged(rows, rules)
+    depth = min(DEEPEST, max(1, rows.agg(F.max(F.size(F.split("path", "/", -1)))).first()[0] or 1))
+    rows = _chains(rows, depth)
+    keys = ["host", *(f"t{i + 1}" for i in range(depth))]
     chains = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("blocked"), F.count_if(F.col("ruled") == "allow").alias("allowed"))
-    of_chain = common.cut(templates(chains))
+    of_chain = common.written(templates(chains, depth))
     whole = of_chain.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
     labelled = F.col("a") + F.col("b")
     purity = (F.col("b") + PRIOR * STRENGTH) / (labelled + STRENGTH)
