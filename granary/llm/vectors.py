@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def kept_type(rows: DataFrame, vector: str) -> str:
+    """The type that a column of vectors is read as: single precision only where it is given in that."""
+    own = rows.schema[vector].dataType
+    return "array<float>" if isinstance(own, T.ArrayType) and isinstance(own.elementType, T.FloatType) else "array<double>"
 
 
 def usable(vector: str) -> Column:
