@@ -1,7 +1,9 @@
 """Approximate nearest neighbours: a hierarchical k-means tree searched best bin first.
 
-The tree is fitted on the driver from at most ``SAMPLE`` vectors (those with the smallest hash); every row is
-then put into its leaf. A search keeps the tree's nodes in a priority queue by their centre's cosine with the query,
+The tree's upper levels are fitted on the driver from at most ``SAMPLE`` vectors (those with the smallest hash). Leaves
+that would hold more than ``LARGE`` rows of the table are split again, all at a time, each by a task from some ``FIT`` of
+its own rows, until none is left or the tree has ``MOST_LEAVES``; so leaves don't grow with the table before it has
+LARGE * MOST_LEAVES rows. Every row is then put into its leaf. A search keeps the tree's nodes in a priority queue by their centre's cosine with the query,
 always opens the best one, and visits the leaves it meets. How many leaves a search visits is calibrated: it is
 widened until queries of the sample find ``RECALL`` of their true neighbours in the sample, and each search goes on
 until it has seen at least ``LEAST`` rows. Leaves are gathered into bundles of about ``BUNDLE`` rows, a larger leaf is
@@ -22,7 +24,8 @@ from granary.llm import common, vectors
 
 SAMPLE, LEAF, BRANCHES = 16_384, 64, 8
 RECALL, CALIBRATION_QUERIES, LEAST = 0.98, 256, 256
-BUNDLE, QUERY_BLOCK = 8192, 2048
+BUNDLE, QUERY_BLOCK = 2048, 2048
+LARGE, FIT, FAN, MOST_LEAVES = 4096, 2048, 16, 16_384
 
 
 @dataclass
@@ -75,6 +78,64 @@ def fit(x: np.ndarray, leaf: int = LEAF, branches: int = BRANCHES, seed: int = 7
     return tree
 
 
+def _picked(tree: Tree, one_in: dict[int, int]):
+    """Of the rows of those leaves one in so many, by hash: (leaf, v)."""
+
+    def run(batches):
+        for rows in batches:
+            if len(rows):
+                leaf = assign(tree, vectors.normalised(vectors.matrix(rows["v"])))
+                every = np.array([one_in.get(int(x), 0) for x in leaf])
+                some = (every > 0) & (rows["h"].to_numpy() % np.maximum(every, 1) == 0)
+                yield pd.DataFrame({"leaf": leaf[some], "v": rows["v"][some]})
+
+    return run
+
+
+def _parted(rows: pd.DataFrame) -> pd.DataFrame:
+    """The centres of a leaf's parts, and how many of its picked rows each has; one part if they can't be told apart."""
+    x = vectors.normalised(vectors.matrix(rows["v"]))
+    own = k_means(x, min(FAN, len(x)), np.random.default_rng(int(rows["leaf"].iloc[0])))
+    out = []
+    for i in np.unique(own):
+        mean = x[own == i].mean(axis=0)
+        out.append((int(rows["leaf"].iloc[0]), int((own == i).sum()), (mean / max(np.linalg.norm(mean), 1e-300)).tolist()))
+    return pd.DataFrame(out, columns=["leaf", "n", "centre"])
+
+
+def grown(tree: Tree, rows: DataFrame, sample: np.ndarray, total: int) -> Tree:
+    """The tree with leaves split that would hold more than ``LARGE`` of the ``total`` rows (v, h)."""
+    size = np.bincount(assign(tree, sample), minlength=tree.leaves) * (total / max(1, len(sample)))
+    final: set[int] = set()
+    while True:
+        large = [i for i in np.argsort(-size, kind="stable").tolist() if size[i] > LARGE and i not in final]
+        large = large[: max(0, (MOST_LEAVES - tree.leaves) // (FAN - 1))]
+        if not large:
+            return tree
+        one_in = {i: max(1, int(size[i] // FIT)) for i in large}
+        parts = rows.select("v", "h").mapInPandas(_picked(tree, one_in), f"leaf int, v {dict(rows.dtypes)['v']}")
+        parts = parts.groupBy("leaf").applyInPandas(_parted, "leaf int, n long, centre array<double>").orderBy("leaf", "n", "centre").collect()
+        node_of = {leaf: node for node, leaf in enumerate(tree.leaf) if leaf >= 0}
+        by_leaf: dict[int, list] = {}
+        for leaf, n, centre in parts:
+            by_leaf.setdefault(leaf, []).append((n, np.array(centre)))
+        sizes = size.tolist()
+        for leaf in large:
+            found = by_leaf.get(leaf, [])
+            if len(found) < 2:
+                final.add(leaf)  # equal rows: bundles split them
+                continue
+            # The first part takes the leaf's number, so that numbers stay without gaps.
+            node, own = node_of[leaf], [leaf, *range(tree.leaves, tree.leaves + len(found) - 1)]
+            tree.leaf[node], tree.leaves = -1, tree.leaves + len(found) - 1
+            sizes += [0.0] * (len(found) - 1)
+            for number, (n, centre) in zip(own, found, strict=True):
+                child = tree.add(centre)
+                tree.children[node].append(child)
+                tree.leaf[child], sizes[number] = number, float(n * one_in[leaf])
+        size = np.array(sizes)
+
+
 def assign(tree: Tree, x: np.ndarray) -> np.ndarray:
     """The leaf of each row: down the tree, to the nearest child each time."""
     out = np.zeros(len(x), dtype=np.int64)
@@ -178,9 +239,11 @@ def _one_size(rows: DataFrame, k: int, is_query) -> DataFrame:
     spark = rows.sparkSession
     picked = rows.select("v", F.xxhash64("vec_id", "uid").alias("h")).orderBy("h").limit(SAMPLE).toPandas()
     sample = vectors.normalised(vectors.matrix(picked["v"]))
-    tree = fit(sample)
+    kind = dict(rows.dtypes)["v"]
+    hashed = rows.select("v", F.pmod(F.xxhash64("vec_id", "uid"), F.lit(1 << 40)).alias("h"))
+    tree = grown(fit(sample), hashed, sample, rows.count())
     leaves = calibrate(tree, sample, k)
-    index = common.cut(rows.select("vec_id", "v", "uid").mapInPandas(_leaf_of(tree), "vec_id long, v array<float>, uid long, leaf int"))
+    index = common.cut(rows.select("vec_id", "v", "uid").mapInPandas(_leaf_of(tree), f"vec_id long, v {kind}, uid long, leaf int"))
     count = np.zeros(tree.leaves, dtype=np.int64)
     for leaf, n in index.groupBy("leaf").agg(F.count("*")).collect():
         count[leaf] = n
@@ -201,7 +264,7 @@ def _one_size(rows: DataFrame, k: int, is_query) -> DataFrame:
     )
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min_by("v", "uid").alias("v"))
     common.small_batches(spark, 2048)
-    routed = common.cut(asked.mapInPandas(_route(tree, leaves, count, bundles_of), "query_id long, q array<float>, bundle int, leaves array<int>"))
+    routed = common.cut(asked.mapInPandas(_route(tree, leaves, count, bundles_of), f"query_id long, q {kind}, bundle int, leaves array<int>"))
     # A row a bundle: few, and cut so that both sides can be joined with it.
     blocks = common.cut(routed.groupBy("bundle").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks")))
     routed = routed.join(blocks, "bundle").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).drop("blocks")
@@ -220,7 +283,7 @@ def nearest(rows: DataFrame, k: int = 5, is_query=None) -> DataFrame:
     """
     spark = rows.sparkSession
     common.small_batches(spark, 4096)
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(vectors.kept_type(rows, "embedding")).alias("v"))
     rows = rows.where(vectors.usable("v") & F.col("vec_id").isNotNull()).withColumns({"uid": F.monotonically_increasing_id(), "size": F.size("v")})
     rows = common.cut(rows)
     is_query = F.lit(True) if is_query is None else is_query
