@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from granary.functions import numbers
 
-# The line of a box that covers (almost) the whole image, as seed for annotators.
+# The line of a box that covers (almost) the whole image, as seed for annotators, and how it is written.
 SEED_BOX = "0 0.5 0.5 0.95 0.95"
-SEED_LINES = ("0 0.5 0.5 0.95 0.95", "0 0.500000 0.500000 0.950000 0.950000", "0 0.5 0.5 1.0 1.0")
+SEED_LINES = ("0 0.5 0.5 1 1", "0 0.5 0.5 1.0 1.0", "0 0.5 0.5 0.95 0.95")
 
 
 def tokens(line: Column) -> Column:
@@ -21,6 +21,11 @@ def lines(content: Column) -> Column:
     return F.filter(F.transform(F.split(content, r"\r\n|\r|\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
 
 
+def is_seed(line: Column) -> Column:
+    """Whether a line is a seed that no annotator has touched."""
+    return line.isin(*SEED_LINES)
+
+
 def classify(line: Column) -> Column:
     """empty, box (5 finite numbers), polygon (a class and 3 or more points) or malformed."""
     t = tokens(line)
@@ -79,6 +84,25 @@ def overlap(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
     }
 
 
+def covered(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
+    """The shared area of two boxes, and which share of either, and of the smaller one, it is. Areas count as 1e-12 at least."""
+    p, q = corners(**a), corners(**b)
+    side = lambda lo, hi: F.greatest(F.lit(0.0), F.least(p[hi], q[hi]) - F.greatest(p[lo], q[lo]))
+    shared = side("x0", "x1") * side("y0", "y1")
+    one, two = (F.greatest(x["w"] * x["h"], F.lit(1e-12)) for x in (a, b))
+    return {"shared": shared, "a_covered": shared / one, "b_covered": shared / two, "smaller_covered": shared / F.least(one, two)}
+
+
+def written(box: Column) -> Column:
+    """The line of a struct(class_id, xc, yc, w, h), with six decimals."""
+    return F.concat_ws(" ", box["class_id"].cast("string"), *[numbers.fixed6(box[c]) for c in ("xc", "yc", "w", "h")])
+
+
+def written_short(box: Column) -> Column:
+    """The same with at most twelve digits."""
+    return F.concat_ws(" ", box["class_id"].cast("string"), *[numbers.short12(box[c]) for c in ("xc", "yc", "w", "h")])
+
+
 def priority(value: Column, order: tuple[str, ...], otherwise: int = 999) -> Column:
     """The place of a value in a list."""
     out = F.lit(otherwise)

@@ -33,6 +33,11 @@ def hamming(a: Column, b: Column) -> Column:
     return F.when(a.rlike(shape) & b.rlike(shape), bits).when(a == b, F.lit(0)).otherwise(64).cast("int")
 
 
+def bits_of(digits: Column) -> Column:
+    """Hexadecimal digits as text of zeros and ones, four each."""
+    return F.array_join(F.transform(F.filter(F.split(digits, ""), lambda d: d != ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), "")
+
+
 def mean_hash(cells: Column) -> Column:
     """16 hexadecimal digits of 64 grey values: a bit is set where a value is at least their mean."""
     total = F.aggregate(cells, F.lit(0.0), lambda a, x: a + x.cast("double"))

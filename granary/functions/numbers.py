@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,18 +55,21 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def _formatted(x: Column, spec: str) -> Column:
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if pd.isna(v) else format(v, spec))
-
-    return F.pandas_udf(run, "string")(x)
-
-
 def fixed6(x: Column) -> Column:
-    """Six decimals, rounding the binary value (the JVM rounds its decimal form)."""
-    return _formatted(x, ".6f")
+    """Six decimals, rounding the binary value (exact below a thousand million), halves to even; null for what isn't a number."""
+    return F.when(F.abs(x) == float("inf"), _infinite(x)).when(~F.isnan(x), F.call_function("format_number", x, F.lit("0.000000")))
 
 
 def short12(x: Column) -> Column:
-    """At most twelve significant digits, without trailing zeros."""
-    return _formatted(x, ".12g")
+    """At most twelve significant digits, without trailing zeros; very small and very large ones with an exponent."""
+    shown = lambda pattern: F.call_function("format_number", x, F.lit(pattern))
+    size = F.abs(x)
+    out = F.when(F.isnan(x), None).when(size == float("inf"), _infinite(x)).when(size == 0, shown("0"))
+    out = out.when(size < 0.99999999999950e-4, F.lower(shown("0.###########E00")))
+    for digits in range(15, -1, -1):
+        out = out.when(size < min(10.0 ** (12 - digits), 999_999_999_999.5), shown("0." + "#" * digits if digits else "0"))
+    return out.otherwise(F.regexp_replace(F.regexp_replace(shown("0.###########E00"), "E-", "e-"), "E", "e+"))
+
+
+def _infinite(x: Column) -> Column:
+    return F.when(x > 0, F.lit("inf")).otherwise("-inf")

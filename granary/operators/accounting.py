@@ -83,3 +83,10 @@ def by_split_and_total(files: DataFrame) -> DataFrame:
         "select split, count(*) as files, count_if(boxes = 0) as empty_files, count_if(boxes > 1) as multi_box_files, sum(boxes) as boxes "
         "from __files group by grouping sets ((split), ())"
     )
+
+
+def with_total(rows: DataFrame, key: str, name: str = "total") -> DataFrame:
+    """rows and, last, one with the sums of their numbers; other columns of it are null."""
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    sums = [F.sum(c).cast(t).alias(c) if t in numeric else F.lit(None).cast(t).alias(c) for c, t in rows.dtypes if c != key]
+    return rows.unionByName(rows.agg(*sums).withColumn(key, F.lit(name)))

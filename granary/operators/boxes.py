@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import boxes
@@ -31,56 +28,35 @@ def deduplicated(rows: DataFrame, group: list[str], iou: float = 0.85, coverage:
     The first overlapping pair in list order (``seq``) loses its worse box, and the search starts anew: synthetic boxes
     lose, then those made for missing labels, then larger ones, then later ids. So the outcome depends on the order.
     rows: group columns, box_id, seq, box_source, xc, yc, w, h. A group is an image's boxes of a class.
+
+    A loss only takes pairs away, so the pairs that still count are met in one walk over all overlapping ones in list
+    order; that walk is an aggregate over an array of the group's own pairs.
     """
+    measures = lambda a, b: boxes.overlap({c: a[c] for c in _BOX}, {c: b[c] for c in _BOX})
 
-    keys, names = list(group), [*group, "box_id", "kept", "kept_by", "reason"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Groups lie together in their order; the last one of a batch may go on in the next.
-        key, part = None, []
-        for rows in batches:
-            out = []
-            columns = [rows[c].tolist() for c in (*keys, "box_id", "box_source", *_BOX)]
-            for values in zip(*columns, strict=True):
-                if values[: len(keys)] != key:
-                    out += _survivors(key, part, iou, coverage)
-                    key, part = values[: len(keys)], []
-                part.append(values[len(keys) :])
-            yield pd.DataFrame(out, columns=names)
-        yield pd.DataFrame(_survivors(key, part, iou, coverage), columns=names)
-
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"`{g}` {kinds[g]}" for g in group) + f", box_id {kinds['box_id']}, kept boolean, kept_by {kinds['box_id']}, reason string"
-    ordered = rows.select(*group, "box_id", "seq", "box_source", *_BOX).repartition(*group).sortWithinPartitions(*group, "seq", "box_id")
-    return ordered.select(*group, "box_id", "box_source", *_BOX).mapInPandas(run, schema)
-
-
-def _survivors(key, part: list[tuple], iou: float, coverage: float) -> list[tuple]:
-    """What becomes of the boxes (box_id, box_source, xc, yc, w, h) of one group, in list order."""
-    if len(part) == 1:
-        return [(*key, part[0][0], True, None, None)]
-    edges = [(x - w / 2, y - h / 2, x + w / 2, y + h / 2, max(0.0, w) * max(0.0, h)) for _, _, x, y, w, h in part]
-    rank = [((s or "").startswith("synthetic"), s == "synthetic_missing_label", w * h, i) for i, s, _, _, w, h in part]
-
-    def why(i: int, j: int) -> str | None:
-        a, b = edges[i], edges[j]
-        shared = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
-        union, small = a[4] + b[4] - shared, min(a[4], b[4])
-        if union > 0 and shared / union >= iou:
-            return "iou_threshold"
-        return "coverage_threshold" if small > 0 and shared / small >= coverage else None
-
-    left, lost, start = list(range(len(part))), {}, 0
-    while start < len(left):
-        for other in range(start + 1, len(left)):
-            if reason := why(left[start], left[other]):
-                stays, goes = sorted((left[start], left[other]), key=lambda k: rank[k])
-                lost[goes] = (part[stays][0], reason)
-                left.remove(goes)
-                start = -1  # anew
-                break
-        start += 1
-    return [(*key, row[0], i not in lost, *lost.get(i, (None, None))) for i, row in enumerate(part)]
+    def pair(a: Column, b: Column, i: Column, j: Column) -> Column:
+        m = measures(a, b)
+        why = F.when(m["iou"] >= iou, F.lit("iou_threshold")).when(m["of_smaller"] >= coverage, F.lit("coverage_threshold"))
+        loses = a["rank"] > b["rank"]
+        return F.struct(F.when(loses, i).otherwise(j).alias("goes"), F.when(loses, j).otherwise(i).alias("stays"), why.alias("why"))
+
+    rank = F.struct(
+        F.coalesce(F.col("box_source").startswith("synthetic"), F.lit(False)).alias("synthetic"), F.col("box_source").eqNullSafe("synthetic_missing_label").alias("missing"),
+        (F.col("w") * F.col("h")).alias("area"), F.col("box_id").alias("id"),
+    )
+    row = F.struct("seq", "box_id", *_BOX, rank.alias("rank"))
+    groups = rows.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("b"))
+    n = F.size("b")
+    later = lambda i: F.when(i + 1 < n, F.sequence(i + 1, n - 1)).otherwise(F.array().cast("array<int>"))
+    at = lambda i: F.get("b", i)
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.filter(F.transform(later(i), lambda j: pair(at(i), at(j), i, j)), lambda p: p["why"].isNotNull())))
+    lost = F.array().cast("array<struct<goes:int,stays:int,why:string>>")
+    gone = lambda acc, k: F.exists(acc, lambda x: x["goes"] == k)
+    walked = F.aggregate("pairs", lost, lambda acc, p: F.when(gone(acc, p["goes"]) | gone(acc, p["stays"]), acc).otherwise(F.concat(acc, F.array(p))))
+    groups = groups.withColumn("pairs", F.when(n > 1, pairs).otherwise(lost)).withColumn("lost", walked)
+    out = groups.select(*group, "b", "lost", F.posexplode("b").alias("i", "box"))
+    fate = F.get(F.filter("lost", lambda x: x["goes"] == F.col("i")), F.lit(0))
+    return out.withColumn("fate", fate).select(*group, F.col("box.box_id").alias("box_id"), F.col("fate").isNull().alias("kept"), F.get("b", F.col("fate.stays"))["box_id"].alias("kept_by"), F.col("fate.why").alias("reason"))
 
 
 def merged_sources(rows: DataFrame, image: str, source_order: tuple[str, ...], loser: str, winner: str) -> DataFrame:

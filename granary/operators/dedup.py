@@ -42,28 +42,47 @@ def groups_with_keeper(assets: DataFrame, key: str, id_column: str, order: list[
 def merged_payload(assets: DataFrame, key: str, order: list[Column], payload: str, label: str, status: str) -> DataFrame:
     """One row of each content, with the distinct payload entries of all its assets in order.
 
-    payload: an array column. label: ``mixed`` if there are several. status: all of them, sorted, joined by ``|``.
+    payload: an array column. label: ``mixed`` if there are several. status: all of them, sorted, joined by ``|``. Copies
+    are reduced before the shuffle, to the first place of each distinct entry.
     """
-    entry = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(payload).alias("x"))
-    out = assets.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("all"), F.count_distinct(label).alias("labels"), F.min(label).alias("one"), F.array_sort(F.collect_set(status)).alias("statuses"))
-    return out.select(
-        key, F.array_distinct(F.flatten(F.transform("all", lambda e: e["x"]))).alias(payload),
-        F.when(F.col("labels") > 1, F.lit("mixed")).otherwise(F.col("one")).alias(label), F.array_join("statuses", "|").alias(status),
+    placed = assets.select(key, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("o"), F.posexplode(payload).alias("at", "x"))
+    first = placed.groupBy(key, "x").agg(F.min(F.struct("o", "at")).alias("first"))
+    entries = first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "x"))), lambda e: e["x"]).alias("all"))
+    out = assets.groupBy(key).agg(F.min(label).alias("one"), F.max(label).alias("other"), F.array_sort(F.collect_set(status)).alias("statuses"))
+    none = F.array().cast(assets.schema[payload].dataType)
+    return out.join(entries.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")), "left").select(
+        key, F.coalesce("all", none).alias(payload), F.when(F.col("one") != F.col("other"), F.lit("mixed")).otherwise(F.col("one")).alias(label),
+        F.array_join("statuses", "|").alias(status),
     )
 
 
 def first_writer(rows: DataFrame, key: str, order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Of several producers' rows of a key the first stays; the others are returned beside it."""
-    numbered = rows.withColumn("writer_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return numbered.where("writer_rank = 1").drop("writer_rank"), numbered.where("writer_rank > 1")
+    """Of several producers' rows of a key the first stays, by an order that ends in something unique; the others are returned beside it."""
+    place = F.struct(*order)
+    first = rows.groupBy(F.col(key).alias("__key")).agg(F.min(place).alias("__first"))
+    others = rows.join(first, F.col(key).eqNullSafe(F.col("__key"))).where(place != F.col("__first")).drop("__key", "__first")
+    return kept_rows(rows, key, order), others
 
 
 def similar_pairs(hashes: DataFrame, id_column: str, hash_column: str, prefix: int = 4, at_most: int = 5) -> DataFrame:
-    """(a, b, distance): pairs a < b of one hash prefix that differ in so many bits at most."""
-    one = hashes.select(F.col(id_column).alias("a"), F.col(hash_column).alias("ha"), F.substr(F.col(hash_column), F.lit(1), F.lit(prefix)).alias("bucket"))
-    two = one.select(F.col("a").alias("b"), F.col("ha").alias("hb"), "bucket")
-    near = one.join(two, "bucket").where("a < b").withColumn("distance", hashing.hamming(F.col("ha"), F.col("hb")))
-    return near.where(F.col("distance") <= at_most).select("a", "b", "distance")
+    """(a, b, distance): pairs a < b of one hash prefix that differ in so many bits at most.
+
+    What follows the prefix is cut into one band more than bits may differ, so that such a pair agrees in some band:
+    only rows that do meet, not all of a bucket. Where bands would be under four bits wide the whole bucket meets.
+    """
+    bits = 64 - 4 * prefix
+    own = hashes.select(F.col(id_column).alias("a"), F.col(hash_column).alias("ha"), F.substr(F.col(hash_column), F.lit(1), F.lit(prefix)).alias("bucket"))
+    if bits // (at_most + 1) >= 4:
+        cuts = [i * bits // (at_most + 1) for i in range(at_most + 2)]
+        text = hashing.bits_of(F.substr(F.col("ha"), F.lit(prefix + 1), F.lit(16)))
+        bands = [F.concat(F.lit(f"{i}:"), F.substr(text, F.lit(s + 1), F.lit(e - s))) for i, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
+        own = own.withColumn("band", F.explode(F.array(*bands)))
+    else:
+        own = own.withColumn("band", F.lit(""))
+    two = own.select(F.col("a").alias("b"), F.col("ha").alias("hb"), "bucket", "band")
+    near = own.join(two, ["bucket", "band"]).where("a < b").withColumn("distance", hashing.hamming(F.col("ha"), F.col("hb")))
+    # A pair that agrees in several bands was found in each.
+    return near.where(F.col("distance") <= at_most).select("a", "b", "distance").distinct()
 
 
 def leaders(hashes: DataFrame, id_column: str, hash_column: str, prefix: int = 4, at_most: int = 5) -> DataFrame:

@@ -10,11 +10,32 @@ from granary.functions.paths import path_order
 
 
 def digest(files: DataFrame) -> DataFrame:
-    """(sha256): of all paths with their contents' hashes, in path order. files: (path, sha256), a manifest's listing."""
+    """(sha256): of all paths with their contents' hashes, in path order. files: (path, sha256), a manifest's listing.
+
+    One row holds the whole listing, so it is for millions of files at most; ``streamed_digest`` is for any number.
+    """
     entries = F.array_sort(F.collect_list(F.struct(path_order(F.col("path")).alias("order"), "path", "sha256")))
     return files.agg(F.sha2(F.array_join(F.transform(entries, lambda e: F.concat(e["path"], e["sha256"])), "").cast("binary"), 256).alias("sha256"))
 
 
+def folder_digests(files: DataFrame) -> DataFrame:
+    """(folder, files, sha256): the digest of each folder's own files, by name; a folder is one row, the dataset isn't."""
+    folder = F.array_join(F.slice(path_order(F.col("path")), F.lit(1), F.size(path_order(F.col("path"))) - 1), "/")
+    entries = F.array_sort(F.collect_list(F.struct("path", "sha256")))
+    whole = F.sha2(F.array_join(F.transform(entries, lambda e: F.concat(e["path"], e["sha256"])), "").cast("binary"), 256)
+    return files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), whole.alias("sha256"))
+
+
+def streamed_digest(files: DataFrame) -> str:
+    """What ``digest`` gives, for listings of any length: sorted by the cluster, and hashed as rows come in, partition by partition."""
+    import hashlib
+
+    out = hashlib.sha256()
+    for row in files.select("path", "sha256").orderBy(path_order(F.col("path"))).toLocalIterator():
+        out.update((row["path"] + row["sha256"]).encode())
+    return out.hexdigest()
+
+
 def mapped_annotations(annotations: DataFrame, categories: DataFrame, policy: Policy) -> DataFrame:
     """annotations (category_id, ...) with what the policy says of their category's name: ``action`` and ``target``."""
     decided = categories.select(F.col("id").alias("category_id"), policy.apply(F.col("name")).alias("x"))

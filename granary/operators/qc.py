@@ -75,7 +75,7 @@ def box_ratios(files: DataFrame, group: list[str]) -> DataFrame:
 
 
 def low_multi_ratio(ratios: DataFrame, least: float = 0.01, files: int = 100, severity: str = "warn") -> DataFrame:
-    bad = ratios.where((F.col("labelled") >= files) & (F.col("multi_ratio") < least))
+    bad = ratios.where((F.col("files") >= files) & (F.col("multi_ratio") < least))
     return findings(bad, "low_multi_box_ratio", severity, F.col("split"), None, F.col("multi_ratio"), least)
 
 
@@ -85,8 +85,28 @@ def high_empty_ratio(ratios: DataFrame, most: float = 0.40, files: int = 100, se
 
 
 def source_drops(by_source: DataFrame, by_split: DataFrame, factor: float = 0.35, files: int = 30) -> DataFrame:
-    """Sources (split, source, files, multi) whose share of images with several boxes is far below their split's."""
-    whole = by_split.select("split", numbers.ratio(F.col("multi"), F.col("files")).alias("split_ratio"))
+    """Sources (split, source, files, multi) whose share of images with several boxes is far below their split's.
+
+    A split's share is of its labelled images, if by_split counts them, and else of all.
+    """
+    whole = by_split.select("split", numbers.ratio(F.col("multi"), F.col("labelled" if "labelled" in by_split.columns else "files")).alias("split_ratio"))
     own = by_source.withColumn("own_ratio", numbers.ratio(F.col("multi"), F.col("files"))).join(whole, "split")
     bad = own.where((F.col("files") >= files) & (F.col("split_ratio") > 0) & (F.col("own_ratio") < F.col("split_ratio") * factor))
     return bad.select("split", "source", "files", "own_ratio", "split_ratio")
+
+
+def required_classes(present: DataFrame, required: dict[str, tuple[str, ...]], classes: tuple[str, ...]) -> DataFrame:
+    """Errors for classes that a split has to have: names that no class has, and classes without a row in present (split, class)."""
+    spark = present.sparkSession
+    wanted = spark.createDataFrame([(s, c, c in classes) for s, names in required.items() for c in names], "split string, class string, known boolean")
+    return united(
+        findings(wanted.where("not known"), "required_class_unknown", "error", F.col("split"), F.col("class")),
+        absent_classes(present, wanted.where("known").select("split", "class"), "error").withColumn("rule", F.lit("required_class_missing")),
+    )
+
+
+def negative_share(rows: DataFrame, negative: str, target: float, tolerance: float) -> DataFrame:
+    """(split, share, target, tolerance): the share of negatives of each split, beside what was asked for, which nothing enforces."""
+    return rows.groupBy("split").agg(numbers.ratio(F.count_if(F.col(negative)), F.count("*")).alias("share")).withColumns(
+        {"target": F.lit(float(target)), "tolerance": F.lit(float(tolerance))}
+    )

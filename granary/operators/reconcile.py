@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.functions import paths
+
 
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """The keys of left that right lacks."""
@@ -61,24 +63,62 @@ def numbered_on(new: DataFrame, existing: DataFrame, group: list[str], order: li
 
 
 def unique_names(rows: DataFrame, name: str, order: list[Column], taken: DataFrame | None = None) -> DataFrame:
-    """rows with ``unique_name``: a name's second row gets __2 before its ending, the third __3, and so on.
+    """rows with ``unique_name``, as if they were written one by one in that order: a name that is in use gets __2 before
+    its ending, and if that is in use too __3, and so on. taken: names that are in use from the start.
 
-    taken: names that are in use already; they count as earlier rows of their name. A made name that is itself one of
-    the plain names is numbered on until it is free.
+    Whether ``a__2`` is in use when ``a`` comes again depends on whether a row of that very name came before, and the
+    other way round, so names are settled from the plainest on: those without a number, those with one, with two, ...
+    All that a name needs to know of a numbered one is how many of its own rows come before that one's first.
     """
     stem, ending = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 2)
-    number = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    rows = rows.withColumn("__n", number)
-    plain = rows.select(F.col(name).alias("__plain")).distinct()
-    if taken is not None:
-        rows = rows.join(taken.select(F.col(name).alias("__taken"), F.lit(1).alias("__used")).distinct(), F.col(name) == F.col("__taken"), "left")
-        rows = rows.withColumn("__n", F.col("__n") + F.coalesce("__used", F.lit(0))).drop("__taken", "__used")
-        plain = plain.union(taken.select(F.col(name))).distinct()
-    made = F.when(F.col("__n") == 1, F.col(name)).otherwise(F.concat(stem, F.lit("__"), F.col("__n").cast("string"), ending))
-    rows = rows.withColumn("unique_name", made).join(plain, (F.col("unique_name") == F.col("__plain")) & (F.col("__n") > 1), "left")
-    again = F.concat(stem, F.lit("__"), F.col("__n").cast("string"), F.lit("__2"), ending)
-    return rows.withColumn("unique_name", F.when(F.col("__plain").isNotNull(), again).otherwise(F.col("unique_name"))).drop("__n", "__plain")
+    numbered = r"^(?s)(.+)__([1-9][0-9]{0,8})$"
+    rows = rows.withColumns({"__stem": stem, "__ending": ending, "__order": F.struct(*order)})
+    rows = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
+    known = rows.groupBy(F.col(name).alias("__name"), "__stem", "__ending").agg(F.min("__order").alias("first"), F.count("*").alias("n"))
+    used = known.select("__name").limit(0) if taken is None else taken.select(F.col(name).alias("__name")).where(F.col("__name").isNotNull()).distinct()
+    used = used.select("__name", F.regexp_extract("__name", r"^(.*?)(\.[^.]*)?$", 1).alias("__s"), F.regexp_extract("__name", r"^(.*?)(\.[^.]*)?$", 2).alias("__e"), F.lit(True).alias("used"))
+    names = known.join(used, "__name", "full").select("__name", F.coalesce("__stem", "__s").alias("stem"), F.coalesce("__ending", "__e").alias("ending"), "first", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("used", F.lit(False)).alias("used"))
+    number = F.regexp_extract("stem", numbered, 2)
+    names = names.withColumns({"base": F.concat(F.regexp_extract("stem", numbered, 1), "ending"), "k": F.when(number != "", number.cast("int"))})
+    # Of the rows of a base, how many come before the first of a numbered name (none, if that is in use from the start).
+    claims = names.where("k >= 2").select(F.col("base").alias("__name"), "k", "used", "first", F.col("__name").alias("claim"))
+    before = rows.select(F.col(name).alias("__name"), "__order").join(claims, "__name").where(~F.col("used") & (F.col("__order") < F.col("first")))
+    before = before.groupBy("claim").agg(F.count("*").alias("before"))
+    claims = claims.join(before, "claim", "left").select("__name", F.struct("k", F.coalesce("before", F.lit(0)).alias("before"), "used", "claim").alias("x"))
+    claims = claims.groupBy("__name").agg(F.array_sort(F.collect_list("x")).alias("claims"))
+    names = names.join(claims, "__name", "left").withColumn("depth", F.size(F.split(F.regexp_extract("stem", r"((?:__[1-9][0-9]{0,8})*)$", 1), "__")) - 1)
+    names = names.select("__name", "n", "used", "depth", F.coalesce("claims", F.array().cast(names.join(claims, "__name").schema["claims"].dataType)).alias("claims"))
+    settled, lost = None, None
+    for depth in range((names.agg(F.max("depth")).first()[0] or 0) + 1):
+        own = names.where(F.col("depth") == depth)
+        own = own.withColumn("shift", F.col("used").cast("int")) if lost is None else own.join(lost, "__name", "left").withColumn("shift", (F.col("used") | F.coalesce("gone", F.lit(False))).cast("int")).drop("gone")
+        # Numbers that stay with rows of their own name are passed over; the others are taken before their row comes.
+        start = F.struct(F.array().cast("array<int>").alias("passed"), F.array().cast("array<string>").alias("taken"))
+
+        def step(a: Column, x: Column) -> Column:
+            place = x["k"] - F.size(a["passed"]) - F.col("shift")  # the row that would get this number, counted from 1
+            stays = x["used"] | (x["before"] < place)
+            return F.struct(
+                F.when(stays, F.concat(a["passed"], F.array(x["k"]))).otherwise(a["passed"]).alias("passed"),
+                F.when(~stays & (place <= F.col("n")), F.concat(a["taken"], F.array(x["claim"]))).otherwise(a["taken"]).alias("taken"),
+            )
+
+        own = own.withColumn("x", F.aggregate("claims", start, step)).select("__name", "shift", F.col("x.passed").alias("passed"), F.col("x.taken").alias("taken"))
+        gone = own.select(F.explode("taken").alias("__name"), F.lit(True).alias("gone"))
+        lost = gone if lost is None else lost.unionByName(gone)
+        settled = own if settled is None else settled.unionByName(own)
+    out = rows.join(settled.select(F.col("__name").alias(name), "shift", "passed"), name)
+    place = F.aggregate("passed", F.col("__rank") + F.col("shift"), lambda at, k: F.when(at >= k, at + 1).otherwise(at))
+    made = F.when(place == 1, F.col(name)).otherwise(F.concat("__stem", F.lit("__"), place.cast("string"), "__ending"))
+    return out.withColumn("unique_name", made).drop("__stem", "__ending", "__order", "__rank", "shift", "passed")
 
 
 def orphans(pairs: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of pairs that a manifest doesn't list: by image and label together, or by label alone."""
     return pairs.join(manifest.select(*keys).distinct(), keys, "left_anti")
+
+
+def existing(rows: DataFrame, files: DataFrame, path: str) -> DataFrame:
+    """The rows whose file a listing (path) has: relative paths of images only."""
+    good = paths.is_relative(F.trim(path)) & paths.is_image(F.trim(path))
+    return rows.where(good).join(files.select(F.col("path").alias("__file")).distinct(), F.trim(path) == F.col("__file"), "left_semi")

@@ -22,9 +22,13 @@ def prioritised(queue: DataFrame, batch_size: int = 60) -> DataFrame:
         + F.lit(10.0) * (F.col("by_reason") / F.col("most_by_reason")) + F.lit(5.0) * (log("size") / 5.0) + F.lit(5.0) * (log("pixels") / 6.0)
     )
     queue = queue.withColumn("priority_score", F.round(score, 4)).drop("most_by_source", "most_by_reason", "most_by_group")
-    # A review queue is what people can read: one order over all of it.
-    order = Window.orderBy(F.desc("priority_score"), F.desc("by_group"), "source", "path")
-    queue = queue.withColumn("rank", F.row_number().over(order))
+    # Scores of four decimals up to about a hundred are a million values at most: those are ordered in one task, rows
+    # only among those of their score.
+    scores = queue.groupBy(F.col("priority_score").alias("__score")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(F.desc("__score"))) - F.col("__n")
+    queue = queue.join(scores.select("__score", before.alias("__before")), F.col("priority_score").eqNullSafe(F.col("__score")))
+    order = Window.partitionBy("priority_score").orderBy(F.desc("by_group"), "source", "path")
+    queue = queue.withColumn("rank", (F.row_number().over(order) + F.col("__before")).cast("int")).drop("__score", "__before")
     return queue.withColumns(
         {"batch": F.floor((F.col("rank") - 1) / batch_size).cast("int") + 1, "batch_rank": (F.col("rank") - 1) % batch_size + 1}
     )

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import boxes as fb
-from granary.functions import hashing, labels, numbers, paths
-from granary.operators import accounting, dedup, manifest, metrics, qc, reconcile, review, split
+from granary.functions import hashing, labels, numbers, paths, policy
+from granary.operators import accounting, actions, dedup, manifest, metrics, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,14 +200,19 @@ _HASHES = """h as (select vec_id, label, list_sum(list_transform(range(1, 33), l
 
 
 @query(f"""with {_HASHES} select a.vec_id as a, b.vec_id as b, (bit_count(xor(a.x, b.x)) + bit_count(xor(a.y, b.y)))::int as distance
-    from h a join h b on a.x >> 28 = b.x >> 28 and a.vec_id < b.vec_id where bit_count(xor(a.x, b.x)) + bit_count(xor(a.y, b.y)) <= 20""")
+    from h a join h b on a.x >> 24 = b.x >> 24 and a.vec_id < b.vec_id where bit_count(xor(a.x, b.x)) + bit_count(xor(a.y, b.y)) <= 24""")
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.similar_pairs(_hashes(spark, sf_dir), "vec_id", "hash", prefix=1, at_most=20)
+    return dedup.similar_pairs(_hashes(spark, sf_dir), "vec_id", "hash", prefix=2, at_most=24)
 
 
-@query()
+@query(f"""with recursive {_HASHES}, o as (select vec_id::varchar as id, x, y, x >> 24 as bucket, row_number() over (partition by x >> 24 order by vec_id::varchar) as k from h),
+    r as (select id, bucket, k, [{{'x': x, 'y': y}}] as leaders, 1::bigint as mine from o where k = 1 union all
+      select id, bucket, k, case when mine is null then list_append(leaders, {{'x': x, 'y': y}}) else leaders end, coalesce(mine, len(leaders) + 1) from (
+        select o.id, o.bucket, o.k, o.x, o.y, r.leaders, list_position(list_transform(r.leaders, lambda l: bit_count(xor(l.x, o.x)) + bit_count(xor(l.y, o.y)) <= 24), true)::bigint as mine
+        from r join o on o.bucket = r.bucket and o.k = r.k + 1))
+    select id, 'near_' || lpad(lower(to_hex(leaders[mine].x)), 8, '0') || substr(lpad(lower(to_hex(leaders[mine].y)), 8, '0'), 1, 4) as group_id from r""")
 def near_dup_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.leaders(_hashes(spark, sf_dir), "vec_id", "hash", prefix=1, at_most=20)
+    return dedup.leaders(_hashes(spark, sf_dir), "vec_id", "hash", prefix=2, at_most=24)
 
 
 # --- splits, quotas and samples -------------------------------------------------------------------------------------
@@ -385,10 +390,16 @@ def running_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.numbered_on(docs.where("doc_id % 5 = 4"), existing, ["split", "source"], [F.col("doc_id")]).select("doc_id", "index")
 
 
-@query("""with r as (select doc_id, source || '.txt' as name, source, row_number() over (partition by source order by doc_id) as k from documents)
-    select doc_id, case when k = 1 then name else source || '__' || k || '.txt' end as unique_name from r""")
+_STEM = "source || case doc_id % 5 when 1 then '__2' when 2 then '__2__2' when 3 then '__4' else '' end"
+
+
+@query(f"""with recursive o as (select doc_id, source as family, {_STEM} as stem, row_number() over (partition by source order by doc_id) as k from documents),
+    r as (select doc_id, family, k, stem as made, [stem] as used from o where k = 1 union all select doc_id, family, k, made, list_append(used, made) from (
+      select o.doc_id, o.family, o.k, r.used, list_filter(list_concat([o.stem], list_transform(range(2, o.k + 2), lambda i: o.stem || '__' || i)), lambda c: not list_contains(r.used, c))[1] as made
+      from r join o on o.family = r.family and o.k = r.k + 1))
+    select doc_id, made || '.txt' as unique_name from r""")
 def unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit(".txt")).alias("name"))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", F.concat(F.expr(_STEM), F.lit(".txt")).alias("name"))
     return reconcile.unique_names(rows, "name", [F.col("doc_id")]).select("doc_id", "unique_name")
 
 
@@ -463,7 +474,17 @@ def box_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(f"""with recursive {_BOXES}, t as (select *, concat_ws('/', image, class, l_suppkey, printf('%.6f', xc), printf('%.6f', yc), printf('%.6f', w), printf('%.6f', h)) as id, source_id = 'src0' as made from b),
+    o as (select *, row_number() over (partition by image, class order by id) as k from t),
+    q as (select a.image, a.class, a.k as i, c.k as j, a.id as one, c.id as two, (a.made, a.w * a.h, a.id) > (c.made, c.w * c.h, c.id) as first_goes, a.w * a.h as wa, c.w * c.h as wc,
+      greatest(0, least(a.xc + a.w / 2, c.xc + c.w / 2) - greatest(a.xc - a.w / 2, c.xc - c.w / 2)) * greatest(0, least(a.yc + a.h / 2, c.yc + c.h / 2) - greatest(a.yc - a.h / 2, c.yc - c.h / 2)) as shared
+      from o a join o c on a.image = c.image and a.class = c.class and a.k < c.k),
+    p as (select image, class, list({{'goes': case when first_goes then one else two end, 'stays': case when first_goes then two else one end,
+      'why': case when shared / (wa + wc - shared) >= 0.85 then 'iou_threshold' else 'coverage_threshold' end}} order by i, j) as pairs
+      from q where shared / (wa + wc - shared) >= 0.85 or shared / least(wa, wc) >= 0.9 group by all),
+    r as (select image, class, pairs, pairs[1] as loss from p union all select image, class, pairs, pairs[1] from (
+      select image, class, list_filter(pairs, lambda x: x.goes <> loss.goes and x.stays <> loss.goes) as pairs from r) where len(pairs) > 0)
+    select t.image, t.class, t.id as box_id, loss is null as kept, loss.stays as kept_by, loss.why as reason from t left join r on r.image = t.image and r.class = t.class and r.loss.goes = t.id""")
 def box_dedupe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _boxes(spark, sf_dir).withColumns({"seq": F.col("box_id"), "box_source": F.when(F.col("source_id") == "src0", F.lit("synthetic_full_image")).otherwise("label")})
     return ob.deduplicated(rows, ["image", "class"])
@@ -625,3 +646,250 @@ def numeric_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.when(F.col("turn") % 4 == 0, F.lit("")).when(F.col("turn") % 4 == 1, F.concat("turn", F.lit(".5e1"))).when(F.col("turn") % 4 == 2, F.lit("1d")).otherwise(F.col("turn").cast("string"))
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", t.alias("t"))
     return rows.select("conv_id", "turn", numbers.number_or_zero(F.col("t")).alias("number"), numbers.whole_or_zero(F.col("t")).alias("whole"))
+
+
+# --- validation, rewritten labels and plans -------------------------------------------------------------------------
+
+_FILE_SQL = f"""l as (select l_orderkey, {_LINE} as line, l_suppkey % 6 as kind, l_linenumber as c, l_discount as d, l_tax as t from lineitem where l_orderkey % 7 < 3),
+    lf as (select 'train/labels/' || l_orderkey || '.txt' as path, l_orderkey::varchar as stem, list_sort(list(line)) as lines from l where line <> '' group by l_orderkey),
+    im as (select 'train/images/' || o_orderkey || '.jpg' as path, o_orderkey::varchar as stem, md5(o_orderkey::varchar) as md5 from orders where o_orderkey % 7 < 4)"""
+
+
+def _label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, stem, lines): a label file for some orders, with their items' lines."""
+    rows = _read(spark, sf_dir, "lineitem").where("l_orderkey % 7 < 3").select("l_orderkey", F.expr(_LINE).alias("line")).where("line <> ''")
+    rows = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return rows.select(F.concat(F.lit("train/labels/"), "l_orderkey", F.lit(".txt")).alias("path"), F.col("l_orderkey").cast("string").alias("stem"), "lines")
+
+
+def _image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, stem, md5): an image for some more orders."""
+    rows = _read(spark, sf_dir, "orders").where("o_orderkey % 7 < 4").select("o_orderkey", F.col("o_orderkey").cast("string").alias("stem"))
+    return rows.select(F.concat(F.lit("train/images/"), "o_orderkey", F.lit(".jpg")).alias("path"), "stem", F.md5(F.col("stem").cast("binary")).alias("md5"))
+
+
+_FINDING = "select '{0}' as rule, '{1}' as severity, null::varchar as split, {2} as subject, {3}::double as observed, {4}::double as threshold"
+
+
+def _counted(rule: str, rows: str, severity: str = "error") -> str:
+    return f"select * from ({_FINDING.format(rule, severity, 'null::varchar', 'count(*)', 'null')} from ({rows})) where observed > 0"
+
+
+_SIDES = " union all ".join((_counted("images_without_labels", "select stem from im except select stem from lf"), _counted("labels_without_images", "select stem from lf except select stem from im")))
+_COPIES = """cp as (select md5(doc_id::varchar) as md5, case when doc_id % 90 = 0 then '/' else '' end || 'in/' || doc_id as source_path, 'm.csv' as source_manifest, case when doc_id % 70 = 0 then '' else 'o' end as output_image, 'l' as output_label from documents
+    union all select md5(doc_id::varchar), 'in', 'm.csv', 'o', 'http://l' from documents where doc_id % 100 = 0)"""
+
+
+@query(f"""with {_FILE_SQL}, {_COPIES}
+    {_FINDING.format('excluded_class', 'error', "'thing'", 'null', 'null')} union all
+    {_FINDING.format('image_count', 'error', 'null::varchar', 'count(*)', '5')} from im union all {_FINDING.format('label_count', 'error', 'null::varchar', 'count(*)', '5')} from lf union all {_SIDES} union all
+    {_counted('duplicate_md5s', 'select md5 from cp group by md5 having count(*) > 1')} union all
+    {_FINDING.format('unexpected_label', 'error', 'path', 'null', 'null')} from lf where lines <> ['0 0.5 0.5 0.95 0.95'] union all
+    {_FINDING.format('non_relative_manifest_path', 'error', "'source_path:' || source_path", 'null', 'null')} from cp where source_path like '/%' union all
+    {_FINDING.format('non_relative_manifest_path', 'error', "'output_image:'", 'null', 'null')} from cp where output_image = '' union all
+    {_FINDING.format('non_relative_manifest_path', 'error', "'output_label:' || output_label", 'null', 'null')} from cp where output_label like 'http%'""")
+def batch_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    digest = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    source = F.concat(F.when(F.col("doc_id") % 90 == 0, F.lit("/")).otherwise(""), F.lit("in/"), "doc_id")
+    one = docs.select(digest.alias("md5"), source.alias("source_path"), F.lit("m.csv").alias("source_manifest"), F.when(F.col("doc_id") % 70 == 0, F.lit("")).otherwise("o").alias("output_image"), F.lit("l").alias("output_label"))
+    two = docs.where("doc_id % 100 = 0").select(digest, F.lit("in"), F.lit("m.csv"), F.lit("o"), F.lit("http://l"))
+    return validation.batch_findings(_image_files(spark, sf_dir), _label_files(spark, sf_dir), one.union(two), 5, "thing", excluded=("thing",))
+
+
+@query(f"""with {_FILE_SQL}, sent as (select md5(o_orderkey::varchar) as md5 from orders where o_orderkey % 7 in (0, 5)), back as (select md5 from im), none as (select md5 from sent where false),
+    w as (select * from l where line <> '') {_SIDES} union all
+    {_counted('original_md5s_missing_from_images', 'select * from sent except select * from back')} union all {_counted('unexpected_image_md5s', 'select * from back except select * from sent')} union all
+    {_counted('original_md5s_missing_from_labels', 'select * from sent')} union all {_counted('malformed_rows', 'select 1 from w where kind in (0, 3)')} union all
+    {_counted('out_of_range_rows', 'select 1 from w where kind = 4')} union all {_counted('nonzero_class_rows', 'select 1 from w where kind in (4, 5) and c <> 0')}""")
+def roundtrip_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = _image_files(spark, sf_dir).withColumn("path", F.concat(F.lit("train/images/"), "md5", F.lit(".jpg")))
+    sent = _read(spark, sf_dir, "orders").where("o_orderkey % 7 in (0, 5)").select(F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("md5"))
+    labels_ = _label_files(spark, sf_dir).withColumn("lines", F.filter("lines", lambda x: ~x.startswith("nan")))
+    return validation.roundtrip(images, labels_, sent)["findings"]
+
+
+@query(f"""with {_FILE_SQL}, w as (select l_orderkey, line, kind, c, 'train/labels/' || l_orderkey || '.txt' as path from l where line <> ''),
+    ln as (select md5(doc_id::varchar) as md5 from documents union all select md5('3')), f as (
+    {_FINDING.format('malformed_label', 'error', "path || ':' || line", 'null', 'null').replace('null::varchar as split', "'train' as split")} from w where kind in (0, 3) union all
+    {_FINDING.format('non_numeric_label', 'error', "path || ':' || line", 'null', 'null').replace('null::varchar as split', "'train' as split")} from w where kind = 2 union all
+    {_FINDING.format('invalid_class_id', 'error', "path || ':' || c", 'c', '3').replace('null::varchar as split', "'train' as split")} from w where kind in (4, 5) and c > 3 union all
+    {_FINDING.format('out_of_range_label', 'error', "path || ':' || line", 'null', 'null').replace('null::varchar as split', "'train' as split")} from w where kind = 4 union all {_SIDES} union all
+    {_counted('duplicate_md5s', 'select md5 from ln group by md5 having count(*) > 1')}) select * from f""")
+def frozen_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select(F.md5(F.col("doc_id").cast("string").cast("binary")).alias("md5"))
+    lineage = docs.union(spark.range(1).select(F.md5(F.lit("3").cast("binary"))))
+    train = lambda rows: rows.withColumn("split", F.lit("train"))
+    return validation.frozen_findings(train(_image_files(spark, sf_dir)), train(_label_files(spark, sf_dir).withColumn("lines", F.transform("lines", lambda x: F.regexp_replace(x, "^nan", "x")))), lineage, 4).withColumn(
+        "subject", F.when(F.col("rule") == "non_numeric_label", F.regexp_replace("subject", ":x ", ":nan ")).otherwise(F.col("subject"))
+    )
+
+
+@query(f"""with {_FILE_SQL}, w as (select l_orderkey, line, case when kind in (4, 5) then 'kept' when kind = 3 and t < 0.9 and d <> 0.5 then 'converted' when kind = 3 then 'invalid' else 'malformed' end as fate,
+      case when kind in (4, 5) then line when kind = 3 then concat_ws(' ', c, printf('%.6f', (least(d, 0.5) + greatest(d, 0.5)) / 2), printf('%.6f', (least(t, 0.9) + 0.9) / 2), printf('%.6f', greatest(d, 0.5) - least(d, 0.5)), printf('%.6f', 0.9 - least(t, 0.9))) end as new
+      from l where line <> ''),
+    g as (select l_orderkey, coalesce(string_agg(new, chr(10) order by line, new) || chr(10), '') as content, string_agg(line, chr(10) order by line) || chr(10) as old, count(*) filter (fate = 'kept') as box_rows_unchanged,
+      count(*) filter (fate = 'converted') as polygon_rows_converted, count(*) filter (fate = 'malformed') as malformed_rows_dropped, count(*) filter (fate = 'invalid') as invalid_polygon_rows_dropped from w group by l_orderkey)
+    select 'train/labels/' || l_orderkey || '.txt' as path, 'train' as split, content, content <> old as changed, box_rows_unchanged::int as box_rows_unchanged, polygon_rows_converted::int as polygon_rows_converted,
+      malformed_rows_dropped::int as malformed_rows_dropped, invalid_polygon_rows_dropped::int as invalid_polygon_rows_dropped from g""")
+def polygon_row_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _label_files(spark, sf_dir).select("path", F.concat(F.array_join("lines", "\n"), F.lit("\n")).alias("content"))
+    return validation.normalised_labels(files)
+
+
+@query("""with l as (select l_orderkey, l_linenumber as c, l_discount as d, l_tax as t, concat_ws(' ', l_linenumber, l_discount, l_tax, '0.5', '0.25') as line from lineitem where l_suppkey % 6 = 5)
+    select l_orderkey::varchar as path, case when bool_and(c = 1) then string_agg(concat_ws(' ', '7', printf('%.12g', d), printf('%.12g', t), '0.5', '0.25'), '|' order by line) end as lines from l group by l_orderkey""")
+def strict_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "lineitem").where("l_suppkey % 6 = 5").select(F.col("l_orderkey").cast("string").alias("path"), F.expr("concat_ws(' ', l_linenumber, l_discount, l_tax, '0.5', '0.25')").alias("line"))
+    files = rows.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("content"))
+    return validation.strict_files(files, 1, 7).withColumn("lines", F.array_join("lines", "|"))
+
+
+@query(f"""with {_BOXES}, n as (select *, row_number() over (partition by image order by box_id) - 1 as k from b), p as (select a.image as path, a.k as a, c.k as b, greatest(a.w * a.h, 1e-12) as one, greatest(c.w * c.h, 1e-12) as two,
+      greatest(0, least(a.xc + a.w / 2, c.xc + c.w / 2) - greatest(a.xc - a.w / 2, c.xc - c.w / 2)) * greatest(0, least(a.yc + a.h / 2, c.yc + c.h / 2) - greatest(a.yc - a.h / 2, c.yc - c.h / 2)) as shared
+      from n a join n c on a.image = c.image and a.k < c.k)
+    select path, count(*) as pairs, sum(round(shared / one * 1000000)::bigint)::bigint as a_covered, sum(round(shared / two * 1000000)::bigint)::bigint as b_covered, sum(round(shared / least(one, two) * 1000000)::bigint)::bigint as smaller_covered
+    from p where shared > 0 and greatest(shared / one, shared / two) >= 0.9 group by path""")
+def label_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.struct("class", "l_suppkey", "xc", "yc", "w", "h")
+    rows = _boxes(spark, sf_dir).withColumn("l_suppkey", F.split("box_id", "/")[2].cast("long")).select(F.col("image").alias("path"), order.alias("at"), "xc", "yc", "w", "h")
+    pairs = validation.label_overlaps(rows)
+    return pairs.groupBy("path").agg(F.count("*").alias("pairs"), *[F.sum(F.round(F.col(c) * 1_000_000).cast("long")).alias(c) for c in ("a_covered", "b_covered", "smaller_covered")])
+
+
+@query("select doc_id, source_path from (select doc_id, case doc_id % 4 when 0 then 'a/' || doc_id || '.JPG' when 1 then '/a/' || doc_id || '.jpg' when 2 then 'a/' || doc_id || '.txt' else 'a/' || doc_id || '.png' end as source_path from documents) where doc_id % 4 in (0, 3) and doc_id in (select doc_id from labels)")
+def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    path = F.when(k == 0, F.concat(F.lit("a/"), "doc_id", F.lit(".JPG"))).when(k == 1, F.concat(F.lit("/a/"), "doc_id", F.lit(".jpg"))).when(k == 2, F.concat(F.lit("a/"), "doc_id", F.lit(".txt"))).otherwise(F.concat(F.lit("a/"), "doc_id", F.lit(".png")))
+    there = _read(spark, sf_dir, "labels").select(path.alias("path"))
+    return reconcile.existing(_read(spark, sf_dir, "documents").select("doc_id", path.alias("source_path")), there, "source_path")
+
+
+@query("""with m as (select doc_id, 'i/' || doc_id as image, 'l/' || case when quality = 0 then 'x' else '' end || doc_id as label from labels), p as (select doc_id, 'i/' || doc_id as image, 'l/' || doc_id as label from documents)
+    select doc_id, 'pair' as side from p where (image, label) not in (select (image, label) from m) union all select doc_id, 'label' from p where label not in (select label from m)""")
+def orphan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.concat(F.lit("l/"), F.when(F.col("quality") == 0, F.lit("x")).otherwise(""), "doc_id")
+    seed = _read(spark, sf_dir, "labels").select(F.concat(F.lit("i/"), "doc_id").alias("image"), label.alias("label"))
+    pairs = _read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("i/"), "doc_id").alias("image"), F.concat(F.lit("l/"), "doc_id").alias("label"))
+    by_pair = reconcile.orphans(pairs, seed, ["image", "label"]).select("doc_id", F.lit("pair").alias("side"))
+    return by_pair.union(reconcile.orphans(pairs, seed, ["label"]).select("doc_id", F.lit("label")))
+
+
+@query("select 'delete' as action, 'out/train/' || source || '/' || doc_id || '.JPG' as source, null::varchar as target, null::varchar as content from documents where doc_id not in (select doc_id from labels)")
+def keep_set_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = lambda slash: F.concat(F.lit(f"train{slash}"), "source", F.lit(slash), "doc_id")
+    docs = _read(spark, sf_dir, "documents")
+    kept = docs.join(_read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select(F.concat(path("\\"), F.lit(".jpg")).alias("path"))
+    return actions.keep_only(docs.select(F.concat(path("/"), F.lit(".JPG")).alias("path")), kept, "out")
+
+
+@query(f"""with {_DOCS}, r as (select *, row_number() over (partition by md5 order by doc_id) as k from docs), g as (select doc_id from r where k > 1)
+    select 'delete' as action, 'd/train/images/' || doc_id || '.png' as source, null::varchar as target, null::varchar as content from g union all select 'delete', 'd/train/labels/' || doc_id || '.txt', null, null from g""")
+def duplicate_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).withColumn("path", F.concat(F.lit("train/images/"), "doc_id", F.lit(".png")))
+    return actions.drop_duplicates(dedup.groups_with_keeper(docs, "md5", "path", [F.col("doc_id")]), "d")
+
+
+@query("""select 'move' as action, 'old/' || case doc_id % 3 when 0 then 'images/val/' when 1 then 'labels/train/' else 'test/images/' end || doc_id as source,
+    'new/' || case doc_id % 3 when 0 then 'valid/images/' when 1 then 'train/labels/' else 'test/images/' end || doc_id as target, null::varchar as content from documents""")
+def layout_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    old = F.concat(F.when(k == 0, F.lit("images/val/")).when(k == 1, F.lit("labels/train/")).otherwise("test/images/"), "doc_id")
+    return actions.to_split_first(_read(spark, sf_dir, "documents").select(old.alias("path")), "old", "new")
+
+
+@query("""select doc_id::varchar as priority_rank, '1' as batch_rank, lang as decision, '' as notes, 'why' as reason, lang as current_label, source as source_dataset, 'x.' || case when doc_id % 2 = 0 then 'PNG' else 'webp' end as original_filename,
+    'raw/' || doc_id || '.bmp' as source_relpath, 'images/' || case when length(doc_id::varchar) < 4 then lpad(doc_id::varchar, 4, '0') else doc_id::varchar end || '__' || source || '__u' || doc_id || case when doc_id % 2 = 0 then '.png' else '.webp' end as copied_image,
+    case when doc_id in (select doc_id from labels) then 'ok' else 'missing_source' end as copy_status, 'u' || doc_id as unique_id from documents""")
+def review_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("priority_rank"), F.lit("1").alias("batch_rank"), F.concat(F.lit("u"), "doc_id").alias("unique_id"), F.col("source").alias("source_dataset"),
+        F.when(F.col("doc_id") % 2 == 0, F.lit("x.PNG")).otherwise("x.webp").alias("original_filename"), F.concat(F.lit("raw/"), "doc_id", F.lit(".bmp")).alias("source_relpath"),
+        F.col("lang").alias("mapped_label"), F.lit("why").alias("reason"),
+    )
+    files = _read(spark, sf_dir, "labels").select(F.concat(F.lit("raw/"), "doc_id", F.lit(".bmp")).alias("path"))
+    return actions.review_package(rows, files, "in", "out")[0]
+
+
+# --- configuration, reports -----------------------------------------------------------------------------------------
+
+
+@query("""select case lang when 'en' then 'en' else lang end as canonical_class, case lang when 'en' then 'Inglês' else arg_min(source, doc_id) filter (trim(source) <> '' and doc_id % 3 > 0) end as display_label from documents group by lang""")
+def class_display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit(" "), "source")).otherwise(" ")
+    rows = _read(spark, sf_dir, "documents").select(F.concat("lang", F.lit(" ")).alias("canonical_class"), shown.alias("portuguese_display_label"), "doc_id")
+    return policy.display_labels(rows, {"en": "Inglês"}, "doc_id")
+
+
+@query("select p_partkey from part where p_name like '%batery%' or p_partkey % 50 in (3, 7)")
+def misspelt_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey") % 50
+    name = F.concat("p_name", F.when(k == 3, F.lit(" tonner")).when(k == 7, F.lit("cartdrige x")).otherwise(" toner"))
+    return _read(spark, sf_dir, "part").where(policy.misspelt(name)).select("p_partkey")
+
+
+@query("""select id, type, root, canonical_class, action, source_family, source_trust, case when action = 'exclude_for_now' then 'excluded' when action = 'manual_separation_required' then 'manual' when type = 'direct_yolo' then type else 'unsupported_type:' || type end as route,
+    mapped_class, case when action = 'active' and mapped_class is not null and files > 50 then files else coalesce(files, 0) end as files, case when action <> 'active' then action when mapped_class is null then 'unmapped_class' when files is null then 'missing' else 'active' end as status from (
+    select source as id, case when n % 2 = 0 then 'direct_yolo' else 'odd' end as type, 'r/' || source as root, '' as canonical_class, case n % 5 when 0 then 'exclude_for_now' when 1 then 'manual_separation_required' else 'active' end as action, '' as source_family, '' as source_trust,
+      case when n % 3 > 0 then 'c' || n end as mapped_class, case when n % 7 > 0 then files end as files from (select source, length(source) + ascii(right(source, 1)) as n, count(*) as files from documents group by source))""")
+def source_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from granary.sources import tables
+
+    n = F.length("source") + F.ascii(F.substr("source", F.length("source"), F.lit(1)))
+    rows = _read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("files")).withColumn("n", n)
+    action = F.when(F.col("n") % 5 == 0, F.lit("exclude_for_now")).when(F.col("n") % 5 == 1, F.lit("manual_separation_required")).otherwise("active")
+    sources = rows.select(
+        F.col("source").alias("id"), F.when(F.col("n") % 2 == 0, F.lit("direct_yolo")).otherwise("odd").alias("type"), F.concat(F.lit("r/"), "source").alias("root"),
+        F.lit("").alias("canonical_class"), action.alias("action"), F.lit("").alias("source_family"), F.lit("").alias("source_trust"),
+    )
+    class_map = rows.where("n % 3 > 0").select(F.col("source").alias("source_folder"), F.concat(F.lit("c"), "n").alias("canonical_class"))
+    return tables.source_status(tables.dispatched(sources, ("direct_yolo",)), class_map, rows.where("n % 7 > 0").select(F.col("source").alias("id"), "files"))
+
+
+@query(f"""with {_FILES}, present as (select distinct split, l_returnflag as class from f join lineitem on l_orderkey = o_orderkey)
+    select 'required_class_unknown' as rule, 'error' as severity, 'valid' as split, 'Q' as subject, null::double as observed, null::double as threshold
+    union all select 'required_class_missing', 'error', s, 'X', null, null from (select unnest(['valid', 'test']) as s) where (s, 'X') not in (select (split, class) from present)""")
+def qc_required_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("class"))
+    present = _files(spark, sf_dir).join(lines, "o_orderkey").select("split", "class").distinct()
+    return qc.required_classes(present, {"valid": ("A", "X", "Q"), "test": ("X", "R")}, ("A", "N", "R", "X"))
+
+
+@query(f"with l as (select quality, {_split_sql('md5(doc_id::varchar)')} as split from labels) select split, avg((quality = 0)::int) as share, 0.2::double as target, 0.02::double as tolerance from l group by split")
+def qc_negative_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "labels").select((F.col("quality") == 0).alias("negative"), hashing.split_by_hash(F.md5(F.col("doc_id").cast("string").cast("binary"))).alias("split"))
+    return qc.negative_share(rows, "negative", 0.2, 0.02)
+
+
+@query("""with c as (select lang, count(*) as n, sum(n_chars)::bigint as letters from documents group by lang) select * from c union all select 'total', sum(n)::bigint, sum(letters)::bigint from c""")
+def class_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _read(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("letters"))
+    return accounting.with_total(counts, "lang")
+
+
+@query("select doc_id, (select count(*) from documents where lang <> 'en') as total from documents where lang <> 'en' order by doc_id limit 50")
+def capped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.capped(_read(spark, sf_dir, "documents").where("lang <> 'en'").select("doc_id"), ["doc_id"], 50)
+
+
+@query("select lang || '::' || source as key, count(*) as n, round(count(*) filter (n_chars > 1000) / count(*), 9) as long_share from documents group by lang, source having count(*) > 1")
+def composite_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = _read(spark, sf_dir, "documents").withColumn("key", accounting.joined_key("lang", "source"))
+    long = accounting.counted(keyed.where("n_chars > 1000"), "key", name="long")
+    both = accounting.repeated(keyed, "key").join(long, "key", "left").withColumn("long", F.coalesce("long", F.lit(0)))
+    return accounting.with_ratio(both, "long_share", "long", "n").withColumn("long_share", F.round("long_share", 9)).drop("long")
+
+
+@query("""select doc_id, 'class_batches/' || lang || '/b1/train/images/' || md5(text) || '.jpg' as planned, md5(text) as md5, lang as before from documents""")
+def planned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(_md5("text"), F.lit("_x.jpg"))
+    planned = paths.planned_path(F.col("lang"), F.lit("b1"), "images", _md5("text"), F.lit(".jpg"))
+    return _read(spark, sf_dir, "documents").select("doc_id", planned.alias("planned"), paths.md5_of_name(name).alias("md5"), paths.before_underscore(F.concat("lang", F.lit("_a_b"))).alias("before"))
+
+
+@query("""with f as (select l_returnflag || '/' || l_linestatus as folder, l_returnflag || '/' || l_linestatus || '/' || l_orderkey || '.' || l_linenumber as path, sha256(l_orderkey::varchar) as h from (select distinct l_returnflag, l_linestatus, l_orderkey, l_linenumber from lineitem))
+    select folder, count(*) as files, sha256(string_agg(path || h, '' order by path)) as sha256 from f group by folder""")
+def folder_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _read(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber").distinct()
+    path = F.concat("l_returnflag", F.lit("/"), "l_linestatus", F.lit("/"), "l_orderkey", F.lit("."), "l_linenumber")
+    return manifest.folder_digests(items.select(path.alias("path"), F.sha2(F.col("l_orderkey").cast("string").cast("binary"), 256).alias("sha256")))

@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions import boxes, hashing, paths
+from granary.functions import boxes, hashing, numbers, paths
 from granary.functions.labels import Labelling
-from granary.operators import accounting, dedup, reconcile, review, split
+from granary.operators import accounting, actions, dedup, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
 
 
@@ -114,3 +114,120 @@ def frozen(reviewed: DataFrame, boosts: DataFrame, manual: DataFrame, targets: D
     kept, lost = dedup.first_writer(rows, "md5", [F.col("stage"), F.col("path")])
     kept = kept.withColumn("split", hashing.split_by_key(F.col("class"), F.col("md5")))
     return {"images": kept, "warnings": lost.select("md5", "class", "path", "stage")}
+
+
+@dataclass(frozen=True)
+class QualityLimits:
+    """From when on ratios of boxes are findings, and of which severity (warn, error or off)."""
+
+    severity: str = "warn"
+    least_multi: float = 0.01
+    most_empty: float = 0.40
+    least_files: int = 100
+    drop_factor: float = 0.35
+    least_source_files: int = 30
+
+
+def validated(images: DataFrame, labels: DataFrame, classes: tuple[str, ...], limits: QualityLimits = QualityLimits(), required: dict[str, tuple[str, ...]] | None = None, coverage: bool = True) -> dict[str, DataFrame]:
+    """A dataset of images (split, path) and labels (path, content) held against the quality rules.
+
+    Returns ``findings``, ``queue`` (images that people should look at), ``instances`` (split, class, n) and
+    ``histogram`` (split, size, n: how many images have so many boxes). Lines that can't be read are warnings and count
+    for nothing, class ids out of range are errors.
+    """
+    files = images.withColumns({"label_path": paths.label_path(F.col("path")), "source": paths.source_of_stem(paths.stem(F.col("path")))})
+    content = labels.select(F.col("path").alias("label_path"), "content", F.lit(True).alias("has_label"))
+    files = files.join(content, "label_path", "left").withColumn("has_label", F.coalesce("has_label", F.lit(False)))
+    tokens = lambda line: boxes.tokens(line)
+    class_of = lambda line: F.when(F.size(tokens(line)) == 5, numbers.strict_class(F.get(tokens(line), F.lit(0))))
+    read = F.filter(F.transform(boxes.lines(F.coalesce("content", F.lit(""))), class_of), lambda c: (c >= 0) & (c < len(classes)))
+    files = files.withColumn("ids", read).withColumn("boxes", F.size("ids"))
+    names = F.array(*[F.lit(c) for c in classes]) if classes else F.array().cast("array<string>")
+    instances = files.select("split", F.explode("ids").alias("id")).groupBy("split", F.get(names, F.col("id")).alias("class")).agg(F.count("*").alias("n"))
+    ratios = qc.box_ratios(files, ["split"])
+    counts = lambda *keys: files.groupBy(*keys).agg(F.count("*").alias("files"), F.count_if(F.col("boxes") > 1).alias("multi"))
+    drops = qc.source_drops(counts("split", "source"), ratios, limits.drop_factor, limits.least_source_files)
+    lines = files.select("split", F.col("label_path").alias("path"), F.explode(boxes.lines(F.coalesce("content", F.lit("")))).alias("line"))
+    absent = files.where(~F.col("has_label")).groupBy("split").agg(F.count("*").alias("n"))
+    spark = images.sparkSession
+    expected = spark.createDataFrame([(s, c) for s in ("valid", "test") for c in classes], "split string, class string").join(files.select("split").distinct(), "split", "left_semi")
+    found = [
+        qc.missing_splits(files, paths.SPLITS), qc.bad_lines(lines, len(classes)), qc.findings(absent, "images_without_label", "warn", F.col("split"), observed=F.col("n")),
+        qc.low_multi_ratio(ratios, limits.least_multi, limits.least_files, limits.severity), qc.high_empty_ratio(ratios, limits.most_empty, limits.least_files, limits.severity),
+        qc.findings(drops, "source_multi_box_drop", limits.severity, F.col("split"), F.col("source"), F.col("own_ratio")),
+    ]
+    if coverage:
+        found.append(qc.absent_classes(instances, expected))
+    if required:
+        found.append(qc.required_classes(instances, required, classes))
+    notes = F.when(~F.col("has_label"), F.lit("missing_label_file")).when(F.col("boxes") == 0, F.lit("empty_label_file")).otherwise("high_box_density")
+    queue = qc.queue(files, policy=limits.severity).select("split", "source", "path", "label_path", "reason", "boxes", notes.alias("notes"))
+    return {"findings": qc.united(*found), "queue": queue, "instances": instances, "histogram": files.groupBy("split", F.col("boxes").alias("size")).agg(F.count("*").alias("n"))}
+
+
+def audited(files: DataFrame, limits: QualityLimits = QualityLimits()) -> dict[str, DataFrame]:
+    """Label files (split, path, content) by what their rows are: ``files``, ``splits`` (and, with a null split, all), ``histogram`` and ``findings``."""
+    text = F.regexp_replace("content", r"(\r\n|\r|\n)\z", "")
+    raw = F.when(F.col("content") == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\r\n|\r|\n", -1))
+    rows = files.withColumn("kinds", F.transform(raw, lambda line: boxes.classify(line)))
+    count = lambda kind: F.size(F.filter("kinds", lambda k: k == kind))
+    rows = rows.select("split", "path", count("box").alias("boxes"), *[count(k).alias(f"{k}_rows") for k in ("polygon", "malformed", "empty")])
+    sums = [F.sum(c).alias(n) for c, n in (("boxes", "box_rows"), *((f"{k}_rows",) * 2 for k in ("polygon", "malformed", "empty")))]
+    measures = [F.count("*").alias("files_scanned"), F.count_if(F.col("polygon_rows") > 0).alias("files_with_polygons"), *sums]
+    whole = rows.groupBy("split").agg(*measures)
+    whole = whole.unionByName(rows.agg(*measures).withColumn("split", F.lit(None).cast("string")))
+    ratios = qc.box_ratios(rows, ["split"])
+    found = qc.united(qc.low_multi_ratio(ratios, limits.least_multi, limits.least_files, limits.severity), qc.high_empty_ratio(ratios, limits.most_empty, limits.least_files, limits.severity))
+    return {"files": rows, "splits": whole, "histogram": rows.groupBy("split", F.col("boxes").alias("size")).agg(F.count("*").alias("n")), "findings": found}
+
+
+def accounted(inventory: DataFrame, labelled: DataFrame, taxonomy: DataFrame, targets: DataFrame) -> dict[str, DataFrame]:
+    """Scraped assets (canonical_class, md5, duplicate_role, status) and labelled ones (class, split, md5) by class.
+
+    Returns ``classes`` (all that taxonomy, targets or either table knows), ``total_unique`` (contents of both, once) and
+    ``totals`` (with a row of sums).
+    """
+    scraped = inventory.where(F.coalesce(F.trim("canonical_class"), F.lit("")) != "").withColumn("class", F.trim("canonical_class"))
+    unused = scraped.groupBy("class").agg(F.count_if(F.col("duplicate_role") == "canonical").alias("available"), F.count_if(F.col("status") == "scraped_unused").alias("unused"))
+    have = labelled.groupBy("class").agg(F.count("*").alias("labelled"), *[F.count_if(F.col("split") == s).alias(s) for s in paths.SPLITS])
+    classes = accounting.class_accounting(taxonomy, unused, have, targets)
+    unique = accounting.union_counts(scraped.where("duplicate_role = 'canonical'"), labelled, "class", "md5")
+    return {"classes": classes, "total_unique": unique, "totals": accounting.with_total(classes.select("class", "available", "unused", "labelled", *paths.SPLITS), "class")}
+
+
+def scraped_plan(assets: DataFrame, class_of: DataFrame, targets: DataFrame, batch: str, most: int | None = None) -> dict[str, DataFrame]:
+    """Scraped assets (source_id, source_family, source_path, md5, extension) to an inventory, and the next batch of each class.
+
+    class_of: (source_id, canonical_class). targets: (canonical_class, batch_size as text); a class without a batch size
+    takes ``most``, one that isn't a number nothing. Only a content's first asset, by path and source, can be planned.
+    """
+    rows = dedup.ranked(assets.join(class_of, "source_id"), "md5", [F.col("source_path"), F.col("source_id")])
+    rows = rows.withColumns(
+        {
+            "status": F.when(F.col("duplicate_rank") == 1, F.lit("scraped_unused")).otherwise("duplicate_exact_content"),
+            "future_staged_image": paths.planned_path(F.col("canonical_class"), F.lit(batch), "images", F.col("md5"), F.col("extension")),
+            "future_staged_label": paths.planned_path(F.col("canonical_class"), F.lit(batch), "labels", F.col("md5"), F.lit(".txt")), "full_image_label": F.lit(boxes.SEED_BOX),
+        }
+    )
+    size = F.trim(F.coalesce("batch_size", F.lit("")))
+    limit = F.when(size.rlike("^[+-]?[0-9]{1,9}$"), F.greatest(F.lit(0), size.try_cast("int"))).when(size == "", F.lit(max(0, most or 0))).otherwise(0)
+    limits = rows.select("canonical_class").distinct().join(targets.select("canonical_class", "batch_size"), "canonical_class", "left").select("canonical_class", limit.alias("limit"))
+    preview = split.first_n(rows.where("duplicate_rank = 1"), ["canonical_class"], [F.col("md5"), F.col("source_path")], limits, "limit").withColumnRenamed("place", "batch_order")
+    preview = preview.withColumn("status", F.lit("planned_for_future_staging"))
+    first = F.col("duplicate_rank") == 1
+    assessment = rows.groupBy("canonical_class").agg(
+        F.count_distinct("source_id").alias("source_count"), F.count("*").alias("available_image_count"), F.count_if(first).alias("unique_image_count"),
+        F.count_if(~first).alias("duplicate_image_count"),
+    )
+    for key in ("source_family", "extension"):
+        assessment = assessment.join(accounting.breakdown(rows, "canonical_class", key).withColumnRenamed("breakdown", f"{key}_breakdown"), "canonical_class", "left")
+    order = [F.col("source_path"), F.col("source_id")]
+    return {"inventory": rows, "preview": preview, "assessment": assessment, "duplicates": dedup.duplicates_report(rows, "md5", "source_path", order)}
+
+
+def normalised(files: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Label files (path, content) with polygons made boxes: ``labels``, ``splits`` (counts), and the ``plan`` of writes."""
+    labels = validation.normalised_labels(files)
+    fates = [c for c in labels.columns if c.endswith(("_unchanged", "_converted", "_dropped"))]
+    by_split = labels.groupBy("split").agg(F.count("*").alias("files_targeted"), F.count_if("changed").alias("files_rewritten"), *[F.sum(c).alias(c) for c in fates])
+    return {"labels": labels, "splits": by_split, "plan": actions.rewritten(labels, root)}

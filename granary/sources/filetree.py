@@ -95,3 +95,15 @@ def negatives_of(files: DataFrame, allowed: list[int], blocked: list[int]) -> Da
     ids = F.transform(boxes.lines(F.col("content")), lambda line: numbers.truncated_class(F.get(boxes.tokens(line), F.lit(0))))
     inside = F.forall(ids, lambda x: x.isin(*allowed)) & ~F.exists(ids, lambda x: x.isin(*blocked)) if blocked else F.forall(ids, lambda x: x.isin(*allowed))
     return files.where((F.size(ids) > 0) & F.coalesce(inside, F.lit(False)))
+
+
+def with_images(labels: DataFrame, images: DataFrame) -> DataFrame:
+    """Label files (split, stem, ...) with the ``image`` (path) of their split and stem: a .jpg, else the first by name; only images count."""
+    place = F.struct((F.lower(paths.suffix(F.col("path"))) != ".jpg").alias("other"), "path")
+    first = images.groupBy("split", "stem").agg(F.min(place)["path"].alias("image"))
+    return labels.join(first, ["split", "stem"]).where(paths.is_image(F.col("image")))
+
+
+def in_order(files: DataFrame) -> DataFrame:
+    """Files by path, whatever the letters' case; equal ones by their letters."""
+    return files.orderBy(F.lower("path"), "path")

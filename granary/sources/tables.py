@@ -39,11 +39,49 @@ def read_runs(spark: SparkSession, files: dict[str, str], metrics: dict[str, str
         raw = read_csv(spark, path)
         raw = raw.toDF(*[c.strip() for c in raw.columns])
         number = lambda c: F.trim(F.col(f"`{c}`")).try_cast("double")
-        own = raw.select(F.lit(run).alias("run"), number("epoch").alias("epoch"), *[number(old).alias(new) for new, old in metrics.items()])
+        own = raw.select(F.lit(run).alias("run"), number("epoch").alias("epoch"), *[number(old).alias(new) for new, old in metrics.items()], F.monotonically_increasing_id().alias("line"))
         out = own if out is None else out.unionByName(own)
     return out
 
 
+def last_epochs(runs: DataFrame) -> DataFrame:
+    """runs (run, epoch, line, ...) with whole epochs, of each the last line of its file."""
+    whole = runs.where(F.col("epoch").isNotNull()).withColumn("epoch", F.floor("epoch").cast("int"))
+    row = F.struct(*[F.col(c) for c in whole.columns if c != "line"])
+    return whole.groupBy("run", "epoch").agg(F.max_by(row, "line").alias("x")).select("x.*")
+
+
+def decisions(spark: SparkSession, root: str, name: str = "review_reduced.csv") -> DataFrame:
+    """(unique_id, decision, file, line) of all decision files below a folder; ``sequence`` orders them by path and line.
+
+    Files that can't be read, and rows without an id or a decision, are left out. No folder: no rows.
+    """
+    import csv
+    import io
+
+    import pandas as pd
+
+    from granary.sources.filetree import listing
+
+    def read(batches):
+        for files in batches:
+            out = []
+            for path, content in zip(files["path"], files["content"], strict=True):
+                try:
+                    rows = list(csv.DictReader(io.StringIO(bytes(content).decode("utf-8-sig"), newline="")))
+                except (UnicodeDecodeError, csv.Error):
+                    continue
+                for line, row in enumerate(rows):
+                    uid, decision = (row.get("unique_id") or "").strip(), (row.get("decision") or "").strip()
+                    if uid and decision:
+                        out.append((uid, decision, path, line))
+            yield pd.DataFrame(out, columns=["unique_id", "decision", "file", "line"])
+
+    files = listing(spark, root, content=True, endings=(name,)).where(F.element_at(F.split("path", "/"), -1) == name)
+    found = files.select("path", "content").mapInPandas(read, "unique_id string, decision string, file string, line long")
+    return found.withColumn("sequence", F.struct(F.split("file", "/").alias("file"), "line"))
+
+
 def class_names(text: str, strict: bool = False) -> dict[int, str]:
     """The ``names`` of a dataset's YAML: a list in one line, a list, or lines of ``id: name``. strict: raise if there are none."""
     unquoted = lambda s: s.strip().strip("'\"")
@@ -110,7 +148,10 @@ def source_status(sources: DataFrame, class_map: DataFrame, found: DataFrame) ->
 
 
 def class_map_rows(rows: DataFrame, keep: str = "active") -> DataFrame:
-    """Class-map rows that are active, or (not_excluded) anything but excluded; of a folder's rows the last one counts."""
+    """Class-map rows that are active, or (not_excluded) anything but excluded; of a folder's rows the last one counts.
+
+    rows come from ``read_csv``, which never splits a file, so that their numbers are in the file's order.
+    """
     status = F.lower(F.trim("status"))
     some = rows.where(status == "active") if keep == "active" else rows.where(status != "exclude")
     whole = F.struct(*[F.col(c) for c in some.columns])

@@ -102,7 +102,7 @@ def test_first_writer_and_names(spark):
     assert {r["path"] for r in kept.collect()} == {"c", "a"} and [r["path"] for r in lost.collect()] == ["b"]
     names = spark.createDataFrame([(1, "a.png"), (2, "a.png"), (3, "a__2.png")], "id int, name string")
     got = [r["unique_name"] for r in reconcile.unique_names(names, "name", [F.col("id")]).orderBy("id").collect()]
-    assert len(set(got)) == 3 and got[0] == "a.png" and got[2] == "a__2.png"
+    assert got == ["a.png", "a__2.png", "a__2__2.png"]
 
 
 def test_overrides_with_empty_text(spark):
