@@ -27,27 +27,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url, judged by the rules and else by its host's templates. Null and odd urls have an empty host and path."""
     return urls.filtered(table(spark, sf_dir, "pages"), RULES)
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it. Null texts have no words and are never taken."""
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
 
 
 def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values replaced, and what was replaced. Null and empty texts stay as they are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymised(docs, PII_KEY, found="replaced")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passages of 50 or more words that repeat across documents. Null and shorter texts have none; texts may be of any length."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set's size and component, at a similarity of 0.85. Null and wordless texts link with nothing."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score; rows that are held out, like all others, are scored by their text alone, empty ones too."""
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     out = quality.scored(docs, model, ["doc_id"])
@@ -57,18 +63,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text. Null html and pages without text: empty; pages and blocks may be of any length."""
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and component, at a cosine of 0.93. Vectors that can't be compared link with nothing."""
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), at_least=0.93)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence. Null texts are the end mark alone."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048, end=0)
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for each vector whose id is divisible by 50. Vectors that can't be compared take no part."""
     return nearest.nearest(table(spark, sf_dir, "embeddings"), k=5, is_query=F.col("vec_id") % 50 == 0)
 
 
@@ -79,3 +89,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_nearest,
     )
 }
+
+
+_OP5 = r"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+    s as (select doc_id, case when len(words) >= 5 then list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) when len(words) > 0 then [array_to_string(words, ' ')] else [] end as shingles from w),
+    one as (select doc_id, unnest(shingles) as shingle from s), n as (select doc_id, len(shingles) as n from s),
+    shared as (select a.doc_id as a, b.doc_id as b, count(*) as k from one a join one b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+    linked as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)), both_ways as (select a, b from linked union all select b, a from linked),
+    reached as (select doc_id, doc_id as node from n union select r.doc_id, l.b from reached r join both_ways l on l.a = r.node)
+    select doc_id, n::bigint as n_shingles, component_id, doc_id = component_id as kept from n join (select doc_id, min(node) as component_id from reached group by doc_id) using (doc_id)"""
+
+_OP8 = """with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings where label is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    u as (select *, sqrt(list_dot_product(e, e)) as size from v),
+    linked as (select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+    reached as (select vec_id, vec_id as node from embeddings union select r.vec_id, l.b from reached r join linked l on l.a = r.node),
+    counts as (select a as vec_id, count(*) as n from linked group by a)
+    select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept from (select vec_id, min(node) as component_id from reached group by vec_id) left join counts using (vec_id)"""
+
+#: SQL of the queries whose whole result follows from their contract. It looks at all pairs, so it is for small tables.
+SQL: dict[str, str] = {"op5_near_duplicates": _OP5, "op8_embedding_dedup": _OP8}
