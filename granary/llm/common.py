@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import ship
@@ -58,6 +58,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out, and written into the plan, once wherever the result takes it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

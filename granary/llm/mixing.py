@@ -112,43 +112,68 @@ def _draw(pool: Column, own: Column, drawn: Column, u: Column) -> Column:
     (Stadlober's hat), whose uniform numbers are hashes of u: a point is taken if it lies under the probability of its
     number, by logarithms of factorials. Both are exact but for the rounding of doubles. Always a possible number.
     """
-    n, k, m = pool.cast("double"), own.cast("double"), drawn.cast("double")
-    mean = m * k / n
-    spread = F.sqrt(F.greatest(F.lit(0.0), m * (k / n) * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0))))
-    least, most = F.greatest(F.lit(0.0), m - (n - k)), F.least(k, m)
-    reach = 64 + 10 * spread
-    low, high = F.greatest(least, F.floor(mean - reach)), F.least(most, F.ceil(mean + reach))
-    # Weights relative to that of ``low`` can be as large as exp(150): well inside a double.
-    ratio = lambda x: (k - x) * (m - x) / ((x + 1) * (n - k - m + x + 1))
-    steps = F.sequence(low.cast("long"), high.cast("long"))
-    total = F.aggregate(steps, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum")), lambda a, x: F.struct((a["p"] * F.greatest(ratio(x.cast("double")), F.lit(0.0))).alias("p"), (a["sum"] + a["p"]).alias("sum")), lambda a: a["sum"])
-    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("at"), total.alias("total"))
+    given = F.struct(pool.cast("double").alias("n"), own.cast("double").alias("k"), drawn.cast("double").alias("m"), u.alias("u"))
+    number = common.once(common.once(common.once(given, _moments), _window), lambda d: F.when(d["spread"] < WIDE_FROM, _inverted(d)).otherwise(_tried(d)))
+    return F.when((own == 0) | (drawn == 0), F.lit(0).cast("long")).when(own == pool, drawn).when(drawn == pool, own).otherwise(number)
+
+
+def _moments(g: Column) -> Column:
+    """n, k, m and u with mean, standard deviation and the smallest and largest number there is."""
+    n, k, m = g["n"], g["k"], g["m"]
+    variance = m * (k / n) * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0))
+    return F.struct(
+        n.alias("n"), k.alias("k"), m.alias("m"), g["u"].alias("u"), (m * k / n).alias("mean"), F.sqrt(F.greatest(F.lit(0.0), variance)).alias("spread"),
+        F.greatest(F.lit(0.0), m - (n - k)).alias("least"), F.least(k, m).alias("most"),
+    )
+
+
+def _window(d: Column) -> Column:
+    """The same with the ends of the window of the inversion, the mode, and the width of the hat."""
+    reach = 64 + 10 * d["spread"]
+    width = 2 * math.sqrt(2 / math.e) * F.sqrt(d["spread"] * d["spread"] + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
+    return F.struct(
+        *[d[x].alias(x) for x in ("n", "k", "m", "u", "mean", "spread", "least", "most")], F.greatest(d["least"], F.floor(d["mean"] - reach)).alias("low"),
+        F.least(d["most"], F.ceil(d["mean"] + reach)).alias("high"), F.least(d["most"], F.greatest(d["least"], F.floor((d["m"] + 1) * (d["k"] + 1) / (d["n"] + 2)))).alias("mode"),
+        width.alias("width"),
+    )
+
+
+def _inverted(d: Column) -> Column:
+    """The first number up to which the probabilities reach u. Weights are relative to that of the window's first number,
+    and as large as exp(150) at most: well inside a double."""
+    ratio = lambda x: F.greatest((d["k"] - x) * (d["m"] - x) / ((x + 1) * (d["n"] - d["k"] - d["m"] + x + 1)), F.lit(0.0))
+    steps = F.sequence(d["low"].cast("long"), d["high"].cast("long"))
+    added = F.aggregate(
+        steps, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum")), lambda a, x: F.struct((a["p"] * ratio(x.cast("double"))).alias("p"), (a["sum"] + a["p"]).alias("sum")), lambda a: a["sum"]
+    )
+    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("at"), (d["u"] * added).alias("goal"))
     found = F.aggregate(
         steps, start,
         lambda a, x: F.struct(
-            (a["p"] * F.greatest(ratio(x.cast("double")), F.lit(0.0))).alias("p"), (a["sum"] + a["p"]).alias("sum"),
-            F.coalesce(a["at"], F.when(a["sum"] + a["p"] >= u * a["total"], x)).alias("at"), a["total"].alias("total"),
+            (a["p"] * ratio(x.cast("double"))).alias("p"), (a["sum"] + a["p"]).alias("sum"), F.coalesce(a["at"], F.when(a["sum"] + a["p"] >= a["goal"], x)).alias("at"), a["goal"].alias("goal")
         ),
         lambda a: a["at"],
     )
-    inverted = F.coalesce(found, high.cast("long"))
+    return F.coalesce(found, d["high"].cast("long"))
+
+
+def _tried(d: Column) -> Column:
+    """The number of the first random point under its probability; the mode, should there be none among ``TRIES`` points."""
     # The logarithm of a number's probability, but for what is the same for all numbers.
-    weight = lambda x: -(_log_factorial(x) + _log_factorial(k - x) + _log_factorial(m - x) + _log_factorial(n - k - m + x))
-    mode = F.least(most, F.greatest(least, F.floor((m + 1) * (k + 1) / (n + 2))))
-    width = 2 * math.sqrt(2 / math.e) * F.sqrt(spread * spread + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
-
-    def tried(a: Column, i: Column) -> Column:
-        x, y = _uniform(u, i, F.lit(0)), _uniform(u, i, F.lit(1))
-        at = F.floor(mean + 0.5 + width * (y - 0.5) / x).cast("double")
-        inside = (at >= least) & (at <= most)
-        under = F.when(inside, 2 * F.ln(x) <= weight(F.least(most, F.greatest(least, at))) - a["top"]).otherwise(F.lit(False))
-        return F.when(a["at"].isNotNull(), a).otherwise(F.struct(F.when(under, at.cast("long")).alias("at"), a["top"].alias("top")))
-
-    wide = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.struct(F.lit(None).cast("long").alias("at"), weight(mode).alias("top")), tried, lambda a: a["at"])
-    return (
-        F.when((own == 0) | (drawn == 0), F.lit(0).cast("long")).when(own == pool, drawn).when(drawn == pool, own)
-        .when(spread < WIDE_FROM, inverted).otherwise(F.coalesce(wide, mode.cast("long")))
-    )
+    weight = lambda x: -(_log_factorial(x) + _log_factorial(d["k"] - x) + _log_factorial(d["m"] - x) + _log_factorial(d["n"] - d["k"] - d["m"] + x))
+
+    def point(a: Column, i: Column) -> Column:
+        x, y = _uniform(d["u"], i, F.lit(0)), _uniform(d["u"], i, F.lit(1))
+        return F.struct(x.alias("x"), F.floor(d["mean"] + 0.5 + d["width"] * (y - 0.5) / x).cast("double").alias("at"), a["top"].alias("top"))
+
+    def judged(p: Column) -> Column:
+        inside = (p["at"] >= d["least"]) & (p["at"] <= d["most"])
+        under = F.when(inside, 2 * F.ln(p["x"]) <= weight(F.least(d["most"], F.greatest(d["least"], p["at"]))) - p["top"]).otherwise(F.lit(False))
+        return F.struct(F.when(under, p["at"].cast("long")).alias("at"), p["top"].alias("top"))
+
+    start = F.struct(F.lit(None).cast("long").alias("at"), weight(d["mode"]).alias("top"))
+    step = lambda a, i: F.when(a["at"].isNotNull(), a).otherwise(common.once(point(a, i), judged))
+    return F.coalesce(F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), start, step, lambda a: a["at"]), d["mode"].cast("long"))
 
 
 def quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -175,7 +200,7 @@ def quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
             F.concat(a["got"], F.array(_draw(a["pool"], x["blocks"], a["drawn"], u(F.size(a["got"]))))).alias("got"),
         )
         two = lambda a: F.struct(a["pool"].alias("pool"), (a["drawn"] - F.element_at(a["got"], -1)).alias("drawn"), a["got"].alias("got"))
-        nodes = nodes.withColumn("left", F.aggregate("own", begin, lambda a, x: two(one(a, x)), lambda a: a["got"]))
+        nodes = nodes.withColumn("left", F.aggregate("own", begin, lambda a, x: common.once(one(a, x), two), lambda a: a["got"]))
         sides = F.array(
             F.struct((F.col("shard") * 2).alias("shard"), F.zip_with("own", "left", lambda x, n: F.struct(x["source"].alias("source"), x["start"].alias("start"), n.alias("blocks"))).alias("own")),
             F.struct(

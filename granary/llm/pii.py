@@ -46,11 +46,6 @@ def _chars(s: Column) -> Column:
     return F.filter(F.split(s, "(?s)(?<=.)(?=.)"), lambda c: c != "")
 
 
-def _once(value: Column, use) -> Column:
-    """use(value), with value worked out once wherever the result takes it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
@@ -196,7 +191,7 @@ def feistel(symbols: Column, key: Column) -> Column:
         shift = lambda d, j: F.conv(F.substr(F.sha2(F.concat_ws("|", d, j), 256), F.lit(1), F.lit(12)), 16, 10).cast("long")
         moved = lambda d, x, j: F.struct(((x["v"] + shift(d, j)) % x["r"]).cast("int").alias("v"), x["r"].alias("r"), x["b"].alias("b"))
         # The other half is hashed once; a symbol's shift is taken from that and the symbol's place.
-        return _once(
+        return common.once(
             F.sha2(F.concat_ws("|", key, i, other), 256), lambda d: F.transform(now, lambda x, j: F.when(((j < half) == first) & (x["r"] > 1), moved(d, x, j)).otherwise(x))
         )
 
@@ -265,7 +260,7 @@ def _card_span(m: Column) -> Column:
     found = F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda j: F.struct((j - i).alias("long"), (-i).alias("i"), j.alias("j"))))))
     whole = F.struct(F.lit(1).alias("start"), n.alias("end"))
     run = m.rlike("^[0-9](?:[ -]?[0-9]){13,18}$") & m.rlike("[ -]") & (n > 13)
-    part = _once(found, lambda x: F.when(x.isNull(), whole).otherwise(F.struct((-x["i"]).alias("start"), x["j"].alias("end"))))
+    part = common.once(found, lambda x: F.when(x.isNull(), whole).otherwise(F.struct((-x["i"]).alias("start"), x["j"].alias("end"))))
     return F.when(run, F.when(_kind(m).isNull(), part).otherwise(whole)).otherwise(whole)
 
 
@@ -291,7 +286,7 @@ def _split(text: Column) -> tuple[Column, Column]:
         again = lambda x: F.when(x["cut"], F.regexp_extract_all(x["rest"], F.lit(_ANY), F.lit(0))).otherwise(none)
         pieces = lambda x: F.when(x["cut"], F.split(x["rest"], _ANY, -1)).otherwise(F.array(x["rest"]))
         first = F.array(F.get(between, F.lit(0)))
-        return _once(
+        return common.once(
             cut,
             lambda c: F.struct(
                 F.concat(first, F.flatten(F.transform(c, lambda x: F.concat(ahead(x, F.lit("")), pieces(x))))).alias("gaps"),
@@ -299,7 +294,7 @@ def _split(text: Column) -> tuple[Column, Column]:
             ),
         )
 
-    whole = _once(F.struct(spans.alias("spans"), gaps.alias("gaps")), lambda x: parted(x["spans"], x["gaps"]))
+    whole = common.once(F.struct(spans.alias("spans"), gaps.alias("gaps")), lambda x: parted(x["spans"], x["gaps"]))
     return whole["gaps"], whole["hits"]
 
 
