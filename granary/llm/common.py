@@ -46,6 +46,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table in the shared folder that nothing reads any more, on whatever file system that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Before Python runs: lower the session's Arrow batch to ``rows`` and ``BATCH_BYTES`` if it is larger, so that long texts don't fill a
     worker's memory, and see to it that the executors have this package's code."""

@@ -225,14 +225,16 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 0) -> Dat
     docs: (doc_id, text) and any other columns, which are not looked at. tokenizer: the path of a tokenizer file whose
     pre-tokenizer drops white space, readable on every executor. A text's ids are followed by ``end``; null and empty
     texts are ``end`` alone. Only texts of more than ``size`` ids are cut, into pieces of ``size``. Repeated rows and
-    null doc_ids are rows like any other, each with its own pieces. In a sequence pieces follow one another without
+    null doc_ids are rows like any other, each with its own pieces, and texts may be of any length. In a sequence pieces follow one another without
     gaps from offset 0. Empty table: no rows.
     """
     common.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     islands = max(1, round(docs.select("doc_id").count() / ISLAND))
     pieces = docs.mapInArrow(_cut(tokenizer, size, end), _PIECES)
-    pieces = pieces.withColumn("island", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(islands)).cast("long"))
+    # Equal rows without an id are told apart by their place, or all of them would be one island.
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    pieces = pieces.withColumn("island", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", place), F.lit(islands)).cast("long"))
     schema = f"{_PIECES}, bin long, offset long, stays boolean"
     packed = common.cut(pieces.groupBy("island").applyInPandas(_island(size, 0, islands == 1), schema))
     if islands > 1:

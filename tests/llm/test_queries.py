@@ -83,15 +83,25 @@ def test_quality_of_repeated_and_long_texts(spark):
     assert whole[0] > cut[0]
 
 
-def test_packing_of_clashing_columns_and_equal_rows(spark):
+def test_packing_of_clashing_columns_and_equal_rows(spark, monkeypatch):
     """Columns with names used inside; rows that are equal, without ids, and so many that they fill several islands."""
+    sizes = []
+    monkeypatch.setattr(packing, "ISLAND", 30)
+    shuffled = type(spark.range(1)).groupBy
+
+    def grouped(df, *keys):
+        if keys == ("island",) and "stays" not in df.columns:
+            sizes.extend(r["count"] for r in shuffled(df, "island").count().collect())
+        return shuffled(df, *keys)
+
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", grouped)
     docs = spark.range(0, 300).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one two three four five").alias("text")).withColumns({"island": F.lit("clash"), "bin": F.lit(1), "length": F.lit(0)})
     rows = packing.pack(docs, queries.tokenizer_file(), size=64).collect()
     assert len(rows) == 300 and len({(r["length"], r["ids_crc32"]) for r in rows}) == 1
     held = Counter()
     for r in rows:
         held[r["sequence_id"]] += r["length"]
-    assert max(held.values()) <= 64 and len(held) == -(-300 // (64 // rows[0]["length"]))
+    assert max(held.values()) <= 64 and len(held) <= -(-300 // (64 // rows[0]["length"])) + 2 and len(sizes) == 10 and max(sizes) < 60
 
 
 def test_pseudonyms_of_repeated_and_long_rows(spark):
