@@ -51,12 +51,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of ``sf_dir``. Each stage's result is a table in the shared folder."""
+    """The last stage's rows for the documents of ``sf_dir``.
+
+    Each stage's result is a table in the shared folder, which goes when the next one's is written; that before the
+    last stage stays, as the rows returned are read from it.
+    """
     folder = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs.write.parquet(f"{folder}/{i}-{name}")
-            docs = spark.read.parquet(f"{folder}/{i}-{name}")
+            path = f"{folder}/{i}-{name}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                common.remove(spark, before)
+            before = path
     return docs
