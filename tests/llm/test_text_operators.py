@@ -183,6 +183,33 @@ def test_repeated_passages_with_edits():
         assert found >= 0.95 * n
 
 
+def test_near_repeats_are_found(spark):
+    """Pairs of passages of 50 to 150 words, 0.8 to 1 similar, in other text: nearly all are found, whole or for the most part."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    text = lambda k: [word() for _ in range(k)]
+    rows, where = [], {}
+    for i in range(150):
+        while True:
+            passage = text(rng.randint(50, 150))
+            edited = list(passage)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.randrange(len(edited))
+                kind = rng.randrange(3)
+                edited[at : at + (kind < 2)] = [] if kind == 1 else [word()]
+            a, b = shingles(" ".join(passage)), shingles(" ".join(edited))
+            if 100 * len(a & b) >= 80 * len(a | b) and len(edited) >= 50:
+                break
+        for k, p in enumerate((passage, edited)):
+            before = text(rng.randint(0, 80))
+            rows.append((2 * i + k, " ".join([*before, *p, *text(rng.randint(0, 80))])))
+            where[2 * i + k] = (len(before), len(before) + len(p))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hit = {r["doc_id"] for r in got if min(r["end_word"], where[r["doc_id"]][1]) - max(r["start_word"], where[r["doc_id"]][0]) >= 40}
+    print("near repeats found", len(hit) / 300)
+    assert len(hit) >= 0.9 * 300
+
+
 def test_spans_of_many_groups_are_merged():
     rng = np.random.default_rng(1)
     group, low = np.sort(rng.integers(0, 40, 500)), rng.integers(0, 300, 500)
