@@ -893,3 +893,146 @@ def folder_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _read(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber").distinct()
     path = F.concat("l_returnflag", F.lit("/"), "l_linestatus", F.lit("/"), "l_orderkey", F.lit("."), "l_linenumber")
     return manifest.folder_digests(items.select(path.alias("path"), F.sha2(F.col("l_orderkey").cast("string").cast("binary"), 256).alias("sha256")))
+
+
+# --- scans, label lines and listings --------------------------------------------------------------------------------
+
+_FOLDERS = "case doc_id % 4 when 0 then 'dismissed_dark' when 1 then 'Dismissed_old' when 2 then '__pycache__' else 'kept' end"
+
+
+@query(f"select doc_id, doc_id % 4 in (0, 2) as by_name, doc_id % 4 <> 3 as by_part, true as image, trim(lower({_FOLDERS}), '_') as label from documents")
+def blocked_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat(F.expr(_FOLDERS), F.lit("/"), "doc_id", F.lit(".PNG"))
+    files = _read(spark, sf_dir, "documents").select("doc_id", path.alias("path"))
+    p = F.col("path")
+    return files.select("doc_id", paths.is_blocked(p, exact=True).alias("by_name"), paths.is_blocked(p).alias("by_part"), paths.is_image(p).alias("image"), labels.normalize_label(paths.parent_name(p)).alias("label"))
+
+
+_CONTENT = "case o_orderkey % 3 when 0 then '' when 1 then ' a ' || o_orderkey || chr(13) || chr(10) || chr(10) || 'b' else chr(9) || chr(10) || o_orderkey end"
+
+
+@query("select o_orderkey, case o_orderkey % 3 when 0 then '' when 1 then 'a ' || o_orderkey || '|b' else o_orderkey::varchar end as lines, (case o_orderkey % 3 when 0 then 0 when 1 then 2 else 1 end)::int as n from orders")
+def label_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fb.lines(F.expr(_CONTENT))
+    return _read(spark, sf_dir, "orders").select("o_orderkey", F.array_join(lines, "|").alias("lines"), F.size(lines).alias("n"))
+
+
+_NEGATIVE_LINE = "concat_ws(' ', l_linenumber + case when l_suppkey % 9 = 0 then 0.5 else 0 end, '0.5 0.5 0.1 0.1')"
+
+
+@query("select l_orderkey::varchar as path from lineitem group by l_orderkey having bool_and(l_linenumber in (1, 2, 3)) and not bool_or(l_linenumber = 2) and count(*) > 0")
+def negatives_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from granary.sources import filetree
+
+    rows = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("path"), F.expr(_NEGATIVE_LINE).alias("line"))
+    files = rows.groupBy("path").agg(F.array_join(F.collect_list("line"), "\n").alias("content"))
+    return filetree.negatives_of(files, [1, 2, 3], [2]).select("path")
+
+
+@query(f"""with l as (select distinct {_LINE} as line, l_suppkey % 6 as k, l_linenumber as c from lineitem) select distinct line, case when k in (4, 5) and c = 1 then '0' || substr(line, 2) when k in (4, 5) and c = 2 then '5' || substr(line, 2)
+    when k in (4, 5) and c = 3 then '0' || substr(line, 2) end as remapped from l""")
+def remapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.create_map(*[F.lit(x) for x in (1, "Cat", 2, "dog", 3, "cat", 4, "cow")])
+    ids = F.create_map(*[F.lit(x) for x in ("cat", 0, "dog", 5)])
+    return _label_lines(spark, sf_dir).distinct().select("line", fb.remapped(F.col("line"), names, ids).alias("remapped"))
+
+
+@query("select doc_id, case doc_id % 3 when 0 then source || '__x' when 1 then source else 'folder' end as bucket from documents")
+def source_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    stem = F.when(k == 0, F.concat("lang", F.lit("__"), "source", F.lit("__x__"), "doc_id")).when(k == 1, F.concat("source", F.lit("__"), "doc_id")).otherwise(F.concat(F.lit("plain"), "doc_id"))
+    return _read(spark, sf_dir, "documents").select("doc_id", paths.source_bucket(stem, F.col("lang"), F.lit("folder")).alias("bucket"))
+
+
+_REVIEW_SQL = f"""l as (select l_orderkey, {_LINE} as line, l_suppkey % 6 = 5 and l_linenumber <= 9 as good from lineitem where l_suppkey % 6 <> 3),
+    f as (select l_orderkey, count(*) filter (line <> '') as lines, count(*) filter (good) as boxes from l group by l_orderkey),
+    o as (select o_orderkey, coalesce(lines, 0) as lines, coalesce(boxes, 0) as boxes, lines is null as missing from orders left join f on l_orderkey = o_orderkey)"""
+
+
+@query(f"""with {_REVIEW_SQL}, s as (select *, case when missing then 'missing_label' when lines = 0 then 'empty_label' when boxes = lines then 'ok' when boxes > 0 then 'warning_malformed_ignored' else 'malformed_label' end as status,
+      case when boxes > 0 then 'label' when missing then 'synthetic_missing_label' else 'synthetic_full_image' end as box_source from o)
+    select md5(o_orderkey::varchar) || '__s__box' || lpad(i::varchar, 4, '0') as review_box_id, status, box_source, i::int as box_index from (select *, unnest(range(0, greatest(boxes, 1))) as i from s)""")
+def review_box_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _read(spark, sf_dir, "lineitem").where("l_suppkey % 6 <> 3").select("l_orderkey", F.expr(_LINE).alias("line")).groupBy("l_orderkey").agg(F.array_join(F.collect_list("line"), "\n").alias("content"))
+    files = _read(spark, sf_dir, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    key = F.col("o_orderkey").cast("string")
+    return ob.review_rows(files.select(F.md5(key.cast("binary")).alias("md5"), F.lit("s").alias("source_id"), key.alias("path"), "content")).select("review_box_id", "status", "box_source", "box_index")
+
+
+@query("select l_orderkey, l_linenumber, l_suppkey, l_quantity as xc from lineitem where l_returnflag in ('A', 'R') and l_linestatus = 'F' and l_quantity <= 1 and l_discount between 0 and 1 and l_tax between 0 and 1")
+def accepted_review_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_returnflag").alias("decision_class"), F.when(F.col("l_linestatus") == "F", F.lit("done")).otherwise("pending").alias("review_status"), F.col("l_quantity").alias("xc"), F.lit(0.5).alias("yc"), F.col("l_discount").alias("w"), F.col("l_tax").alias("h"))
+    return ob.accepted_boxes(items, ("A", "R")).select("l_orderkey", "l_linenumber", "l_suppkey", "xc")
+
+
+@query("""with c as (select vec_id, list_transform(embedding, lambda x: floor(x * 100)::bigint) as v from embeddings), m as (select vec_id, v, list_sum(v)::bigint as total from c),
+    h as (select vec_id, list_sum(list_transform(range(1, 33), lambda i: case when v[i] * 64 >= total then 1::bigint << (32 - i)::int else 0::bigint end))::bigint as x,
+      list_sum(list_transform(range(33, 65), lambda i: case when v[i] * 64 >= total then 1::bigint << (64 - i)::int else 0::bigint end))::bigint as y from m)
+    select vec_id, lpad(lower(to_hex(x)), 8, '0') || lpad(lower(to_hex(y)), 8, '0') as hash from h""")
+def mean_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = F.transform("embedding", lambda x: F.floor(x * 100))
+    return _read(spark, sf_dir, "embeddings").select("vec_id", hashing.mean_hash(cells).alias("hash"))
+
+
+@query("select doc_id, quality, quality is not null as has_label from documents left join labels using (doc_id)")
+def attached_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.attached(_read(spark, sf_dir, "documents").select("doc_id"), _read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@query("select count(*) as stale from (select distinct o_custkey as stem from orders where o_custkey not in (select c_custkey from customer where c_custkey % 3 > 0))")
+def stale_label_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = _read(spark, sf_dir, "customer").where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("stem"))
+    return reconcile.missing(_read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("stem")), images, "stem").agg(F.count("*").alias("stale"))
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels where toxic = 0)")
+def fresh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.new_rows(_read(spark, sf_dir, "documents").select("doc_id"), _read(spark, sf_dir, "labels").where("toxic = 0").select("doc_id"), "doc_id")
+
+
+@query(f"""with l as (select {_LINE} as line, l_suppkey % 6 as k, l_linenumber as c, l_returnflag as split, l_orderkey::varchar as path from lineitem)
+    select 'malformed_line' as rule, 'warn' as severity, split, path as subject, null::double as observed, null::double as threshold from l where k in (0, 1, 2, 3)
+    union all select 'class_out_of_range', 'error', split, path, c::double, 3::double from l where k in (4, 5) and c > 3 union all select 'missing_split', 'error', 'X', null, null, null""")
+def bad_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("split"), F.col("l_orderkey").cast("string").alias("path"), F.expr(_LINE).alias("line"))
+    return qc.united(qc.bad_lines(rows, 4), qc.missing_splits(rows, ("A", "N", "R", "X")))
+
+
+@query(f"""with {_DOCS}, r as (select doc_id, split, source, row_number() over (partition by split, source order by sha1('7:' || doc_id), doc_id) as k from docs), t as (select split, source, k, doc_id from r where k <= length(split) + 2)
+    select doc_id, split, source, k::int as place from t""")
+def capped_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "split", "source")
+    caps = docs.select("split", "source", (F.length("split") + 2).alias("cap")).distinct()
+    return split.first_n(docs, ["split", "source"], split.seeded(7, "doc_id"), caps, "cap").select("doc_id", "split", "source", "place")
+
+
+@query("select row_number() over (order by r_regionkey)::int - 1 as class_id, r_name as name, case when r_regionkey < 3 then r_regionkey / 10 end as ap from region")
+def per_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [r["r_name"] for r in _read(spark, sf_dir, "region").orderBy("r_regionkey").collect()]  # a row a class
+    return spark.createDataFrame(metrics.per_class(names, ap=[0.0, 0.1, 0.2]), "class_id int, name string, ap double")
+
+
+@query("select 'delete' as action, 'runs/' || source || '/epoch' || doc_id || '.pt' as source, n_chars as length from documents where doc_id % 3 = 0 union all select 'delete', 'runs/last.pt', n_chars from documents where doc_id % 3 = 1")
+def pruned_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from granary.sources import sinks
+
+    k = F.col("doc_id") % 3
+    path = F.when(k == 0, F.concat("source", F.lit("/epoch"), "doc_id", F.lit(".pt"))).when(k == 1, F.lit("last.pt")).otherwise(F.concat("source", F.lit("/last.pt")))
+    files = _read(spark, sf_dir, "documents").select(path.alias("path"), F.col("n_chars").alias("length"))
+    return sinks.prune_plan(files, ["**/epoch*.pt", "last.pt"], "runs")
+
+
+@query("""select 'copy' as action, 'in/' || doc_id || '.jpg' as source, 'out/' || lang || '/images/' || md5(text) || '.jpg' as target, null::varchar as content from documents
+    union all select 'write', null, 'out/' || lang || '/labels/' || md5(text) || '.txt', case when doc_id % 2 = 0 then '0 0.5 0.5 0.95 0.95' || chr(10) else '' end from documents""")
+def export_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = lambda kind, ending: F.concat("lang", F.lit(f"/{kind}/"), _md5("text"), F.lit(ending))
+    lines = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(fb.SEED_BOX))).otherwise(F.array().cast("array<string>"))
+    rows = _read(spark, sf_dir, "documents").select(F.concat(F.lit("in/"), "doc_id", F.lit(".jpg")).alias("s"), folder("images", ".jpg").alias("i"), folder("labels", ".txt").alias("l"), lines.alias("lines"))
+    return actions.exported(rows, "s", "i", "l", "lines", "out")
+
+
+@query("select doc_id, doc_id % 3 < 2 as seed from documents")
+def seed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    line = F.when(k == 0, F.lit("0 0.5 0.5 1 1")).when(k == 1, F.lit("0 0.5 0.5 0.95 0.95")).otherwise("0 0.5 0.5 0.9 0.95")
+    return _read(spark, sf_dir, "documents").select("doc_id", fb.is_seed(line).alias("seed"))
