@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions import boxes, hashing, numbers, paths
+from granary.functions import boxes, hashing, numbers, paths, policy
 from granary.functions.labels import Labelling
 from granary.operators import accounting, actions, dedup, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
@@ -231,3 +231,78 @@ def normalised(files: DataFrame, root: str) -> dict[str, DataFrame]:
     fates = [c for c in labels.columns if c.endswith(("_unchanged", "_converted", "_dropped"))]
     by_split = labels.groupBy("split").agg(F.count("*").alias("files_targeted"), F.count_if("changed").alias("files_rewritten"), *[F.sum(c).alias(c) for c in fates])
     return {"labels": labels, "splits": by_split, "plan": actions.rewritten(labels, root)}
+
+
+def one_class_batches(inventory: DataFrame, files: DataFrame, targets: DataFrame, in_root: str, out_root: str) -> dict[str, DataFrame]:
+    """The next batch of each class that has a target, from inventory (canonical_class, duplicate_role, md5, source_path).
+
+    files: (path), what there is. targets: (canonical_class, target). Images are named by their content and labelled by
+    one seed box. Returns ``selected`` (with output_image and output_label), the ``plan`` of copies and label files, and
+    ``short`` (classes with fewer images than their target).
+    """
+    usable = reconcile.existing(inventory.where(F.trim("duplicate_role") == "canonical"), files, "source_path")
+    usable = usable.join(targets.where("target > 0").select("canonical_class"), "canonical_class", "left_semi")
+    picked = split.first_n(usable, ["canonical_class"], [F.col("md5"), F.col("source_path")], targets.select("canonical_class", "target"), "target").drop("place")
+    output = lambda kind, ending: F.concat(F.concat_ws("/", F.col("canonical_class"), F.lit("train"), F.lit(kind), F.col("md5")), ending)
+    picked = picked.withColumns(
+        {
+            "output_image": output("images", F.lower(paths.suffix(F.col("source_path")))), "output_label": output("labels", F.lit(".txt")), "lines": F.array(F.lit(boxes.SEED_BOX)),
+            "from": F.concat(F.lit(in_root.rstrip("/") + "/"), F.trim("source_path")),
+        }
+    )
+    plan = actions.exported(picked, "from", "output_image", "output_label", "lines", out_root)
+    return {"selected": picked.drop("lines", "from"), "plan": plan, "short": split.shortfalls(usable, ["canonical_class"], targets.where("target > 0").select("canonical_class", "target"), "target")}
+
+
+def review_queue(files: DataFrame, defaults: dict[str, str]) -> dict[str, DataFrame]:
+    """Files (md5, source_id, path, content or null) as a queue of boxes to review, in the order that people get it.
+
+    defaults: the decision that a source's boxes start with. Returns ``queue`` and ``counts`` (source_id, status, images, boxes).
+    """
+    from granary.functions.labels import lookup
+
+    rows = ob.review_rows(files).withColumns({"decision_class": F.coalesce(lookup(F.col("source_id"), defaults), F.lit("uncertain")), "review_status": F.lit("pending")})
+    counts = rows.groupBy("source_id", "status").agg(F.count_distinct("md5").alias("images"), F.count("*").alias("boxes"))
+    return {"queue": rows.orderBy("source_id", "path", "box_index"), "counts": counts}
+
+
+def merged_datasets(base: DataFrame, incoming: DataFrame, base_names: list[str], names: list[str], base_root: str, in_root: str, out_root: str) -> dict[str, DataFrame]:
+    """Two datasets (path, label_path, content_hash) as one: base as it is, and of incoming what it lacks by content.
+
+    The class order has to extend the base's. Incoming files whose names are in use are numbered on. Returns ``rows``
+    (path, label_path, content_hash, origin, unique_name) and the ``plan`` of copies of images and labels.
+    """
+    policy.extended_order(base_names, names)
+    rows = reconcile.merged(base.select("path", "label_path", "content_hash"), incoming.select("path", "label_path", "content_hash"), "content_hash", [F.col("path")])
+    own = rows.where("origin = 'base'").withColumn("unique_name", F.col("path"))
+    new = reconcile.unique_names(rows.where("origin = 'incremental'"), "path", [F.col("path"), F.col("content_hash")], base.select("path"))
+    rows = own.unionByName(new)
+    root = F.when(F.col("origin") == "base", F.lit(base_root)).otherwise(F.lit(in_root))
+    copies = lambda source, target: rows.select(F.lit("copy").alias("action"), F.concat_ws("/", root, F.col(source)).alias("source"), F.concat_ws("/", F.lit(out_root), target).alias("target"), F.lit(None).cast("string").alias("content"))
+    return {"rows": rows, "plan": copies("path", F.col("unique_name")).union(copies("label_path", paths.label_path(F.col("unique_name"))))}
+
+
+def baseline_report(train: DataFrame, test: DataFrame, side: int = 48, rounds: int = 2000) -> dict[str, DataFrame]:
+    """The baseline classifier, fitted on train and asked about test, both (image, label): its ``classes``, ``overall`` figures,
+    ``confusion`` and ``worst`` confusions."""
+    from granary.functions import pixels
+    from granary.operators import learning, metrics
+
+    model = learning.train_baseline(pixels.features(train.select("image", "label"), side), rounds)
+    said = learning.predicted(model, pixels.features(test.select("image", "label"), side)).select(F.col("label").alias("truth"), "predicted")
+    return {"classes": metrics.class_report(said), "overall": metrics.overall(said), "confusion": metrics.confusion(said), "worst": metrics.top_confusions(said)}
+
+
+def compared_runs(files: dict[str, str], columns: dict[str, str], spark, metric: str, window: int = 0) -> dict[str, DataFrame]:
+    """Results files of training runs, one a run: ``epochs`` (the last line of each, of the latest ``window`` epochs if given),
+    ``summary`` (best and latest of the metric) and ``changes`` from epoch to epoch."""
+    from granary.operators import metrics
+    from granary.sources import tables
+
+    if metric not in columns:
+        raise ValueError(f"no such metric: {metric}")
+    epochs = tables.last_epochs(tables.read_runs(spark, files, columns))
+    if epochs.isEmpty():
+        raise ValueError("no epochs")
+    shown = metrics.latest_epochs(epochs, window, "shared") if window else epochs
+    return {"epochs": shown, "summary": metrics.best_and_latest(epochs, metric), "changes": metrics.step_changes(shown, metric)}

@@ -294,3 +294,54 @@ def test_pairs_by_bands_and_by_buckets(spark):
     for most in (0, 3, 5, 20):
         want = {(i, j, (a ^ b).bit_count()) for i, a in enumerate(bits) for j, b in enumerate(bits) if i < j and (a ^ b).bit_count() <= most}
         assert {tuple(r) for r in dedup.similar_pairs(rows, "id", "h", 4, most).collect()} == want
+
+
+def test_one_class_batches(spark):
+    rows = [("tv", "canonical", "m2", "raw/b.PNG"), ("tv", "canonical", "m1", "raw/a.jpg"), ("tv", "duplicate", "m3", "raw/c.jpg"), ("tv", "canonical", "m4", "/abs/d.jpg"), ("pc", "canonical", "m5", "raw/none.jpg"), ("no", "canonical", "m6", "raw/a.jpg")]
+    inventory = spark.createDataFrame(rows, "canonical_class string, duplicate_role string, md5 string, source_path string")
+    files = spark.createDataFrame([("raw/a.jpg",), ("raw/b.PNG",), ("raw/c.jpg",)], "path string")
+    targets = spark.createDataFrame([("tv", 2), ("pc", 1), ("no", 0)], "canonical_class string, target int")
+    out = pipelines.one_class_batches(inventory, files, targets, "in", "out")
+    assert sorted(r["output_image"] for r in out["selected"].collect()) == ["tv/train/images/m1.jpg", "tv/train/images/m2.png"]
+    plan = {(r["action"], r["source"], r["target"], r["content"]) for r in out["plan"].collect()}
+    assert ("copy", "in/raw/b.PNG", "out/tv/train/images/m2.png", None) in plan and ("write", None, "out/tv/train/labels/m1.txt", "0 0.5 0.5 0.95 0.95\n") in plan and len(plan) == 4
+    assert [(r["canonical_class"], r["available"]) for r in out["short"].collect()] == [("pc", 0)]
+
+
+def test_review_queue_run(spark):
+    files = spark.createDataFrame([("m1", "b", "x", "0 .5 .5 .2 .2\nbad"), ("m2", "a", "y", None)], "md5 string, source_id string, path string, content string")
+    out = pipelines.review_queue(files, {"a": "flat"})
+    assert [(r["source_id"], r["decision_class"], r["status"]) for r in out["queue"].collect()] == [("a", "flat", "missing_label"), ("b", "uncertain", "warning_malformed_ignored")]
+    assert {(r["source_id"], r["images"], r["boxes"]) for r in out["counts"].collect()} == {("a", 1, 1), ("b", 1, 1)}
+
+
+def test_merged_datasets(spark):
+    schema = "path string, label_path string, content_hash string"
+    base = spark.createDataFrame([("train/images/a.jpg", "train/labels/a.txt", "h1")], schema)
+    more = spark.createDataFrame([("train/images/a.jpg", "train/labels/a.txt", "h2"), ("train/images/b.jpg", "train/labels/b.txt", "h1"), ("train/images/c.jpg", "train/labels/c.txt", "h2")], schema)
+    out = pipelines.merged_datasets(base, more, ["x"], ["x", "y"], "base", "in", "out")
+    assert sorted((r["path"], r["origin"], r["unique_name"]) for r in out["rows"].collect()) == [("train/images/a.jpg", "base", "train/images/a.jpg"), ("train/images/a.jpg", "incremental", "train/images/a__2.jpg")]
+    assert {(r["source"], r["target"]) for r in out["plan"].collect()} == {
+        ("base/train/images/a.jpg", "out/train/images/a.jpg"), ("base/train/labels/a.txt", "out/train/labels/a.txt"), ("in/train/images/a.jpg", "out/train/images/a__2.jpg"),
+        ("in/train/labels/a.txt", "out/train/labels/a__2.txt"),
+    }
+    with pytest.raises(ValueError):
+        pipelines.merged_datasets(base, more, ["x"], ["y", "x"], "base", "in", "out")
+
+
+def test_baseline_report_and_runs(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"{i}.png").write_bytes(png(4, 4, [[200 if i % 2 else 10, 50, 10 if i % 2 else 200] * 4] * 4))
+    images = spark.read.format("image").load(str(tmp_path))
+    odd = F.regexp_extract(F.col("image.origin"), r"(\d+)\.png$", 1).cast("int") % 2 == 1
+    images = images.withColumn("label", F.when(odd, F.lit("red")).otherwise("blue"))
+    out = pipelines.baseline_report(images, images, side=2, rounds=20)
+    assert out["overall"].first()["accuracy"] == 1.0 and out["worst"].count() == 0 and {r["class"] for r in out["classes"].collect()} == {"red", "blue"}
+    for run, values in {"one": "1,0.5\n2,0.4\n2,0.7", "two": "1,0.1\n2,0.2\n3,0.3"}.items():
+        (tmp_path / f"{run}.csv").write_text(f"epoch,m\n{values}\n")
+    files = {run: str(tmp_path / f"{run}.csv") for run in ("one", "two")}
+    runs = pipelines.compared_runs(files, {"map": "m"}, spark, "map", window=1)
+    assert {(r["run"], r["best_epoch"], r["best"], r["latest"]) for r in runs["summary"].collect()} == {("one", 2, 0.7, 0.7), ("two", 3, 0.3, 0.3)}
+    assert {(r["run"], r["epoch"]) for r in runs["epochs"].collect()} == {("one", 2), ("two", 2)}
+    with pytest.raises(ValueError):
+        pipelines.compared_runs(files, {"map": "m"}, spark, "other")
