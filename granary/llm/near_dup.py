@@ -312,10 +312,16 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Rows without a doc_id all stay. The columns are those of ``docs``, whatever their names.
     """
-    gone = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    one = common.fresh(docs, "__row")
-    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
-    with_id = left.where(F.col("doc_id").isNotNull()).withColumn(one, F.struct(*[F.col(f"`{c}`") for c in left.columns if c != "doc_id"]))
-    with_id = with_id.groupBy("doc_id").agg(F.max_by(one, F.coalesce(F.col("text"), F.lit(""))).alias(one))
-    with_id = with_id.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"{one}.`{c}`").alias(c) for c in left.columns])
-    return with_id.unionByName(left.where(F.col("doc_id").isNull()))
+    gone = common.cut(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    one, again = common.fresh(docs, "__row"), common.fresh(docs, "__again")
+    own = F.col("doc_id")
+    left = docs.join(gone, own == F.col("__gone"), "left_anti")
+    # Which ids have several rows is found without the texts; rarely is there any, and only those rows are brought together.
+    several = docs.select(own).where(own.isNotNull()).join(gone, own == F.col("__gone"), "left_anti").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    several = common.cut(several.select(own.alias(again)))
+    if several.isEmpty():
+        return left
+    rows = left.join(several, own == F.col(again), "left_semi").withColumn(one, F.struct(*[F.col(f"`{c}`") for c in left.columns if c != "doc_id"]))
+    rows = rows.groupBy("doc_id").agg(F.max_by(one, F.coalesce(F.col("text"), F.lit(""))).alias(one))
+    rows = rows.select(*[own if c == "doc_id" else F.col(f"{one}.`{c}`").alias(c) for c in left.columns])
+    return left.join(several, own == F.col(again), "left_anti").unionByName(rows)
