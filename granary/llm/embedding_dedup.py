@@ -23,6 +23,8 @@ from granary.llm import common, vectors
 BLOCK_NUMBERS, PART = 1 << 20, 1024
 #: Ranges along the first axis, at most.
 RANGES = 256
+#: Labels of several blocks up to which their tables are sent to the rows (some 10 MB), so that no label's rows meet in one task.
+BROADCAST_LABELS = 1000
 #: Axes that are added up between two looks at the bound.
 STEP = 16
 
@@ -130,15 +132,15 @@ def _leading(basis_of):
     return run
 
 
-def _apart(valid: DataFrame, large: DataFrame, basis_of, at_least: float) -> DataFrame:
+def _apart(valid: DataFrame, large: DataFrame, sent, basis_of, at_least: float) -> DataFrame:
     """(label, size, block, other, uid, vec_id, v): the rows of labels with several blocks, once for each block they meet."""
-    rows = valid.join(large, ["label", "size"])
+    rows = valid.join(sent(large), ["label", "size"])
     lead = rows.select("uid", "v", "size").mapInPandas(_leading(basis_of), "uid long, lead double")
     rows = common.cut(rows.join(lead, "uid"))
     cuts = rows.groupBy("label", "size").agg(F.max("ranges").alias("k"), F.percentile_approx("lead", [i / RANGES for i in range(1, RANGES)], 10_000).alias("q"))
     # Every (RANGES / k)th of the quantiles, each only once: equal ones would leave ranges empty.
     cuts = cuts.select("label", "size", F.array_distinct(F.filter("q", lambda _, i: F.floor((i + 1) * F.col("k") / RANGES) > F.floor(i * F.col("k") / RANGES))).alias("q"))
-    rows = rows.join(cuts, ["label", "size"]).withColumn("range", F.size(F.filter("q", lambda c: c <= F.col("lead"))))
+    rows = rows.join(sent(cuts), ["label", "size"]).withColumn("range", F.size(F.filter("q", lambda c: c <= F.col("lead"))))
     whole = rows.groupBy("label", "size", "range").agg(F.count("*").alias("n"), F.min("lead").alias("least"), F.max("lead").alias("most"))
     whole = whole.withColumn("parts", F.ceil(F.col("n") * F.col("size") / BLOCK_NUMBERS).cast("int"))
     every = whole.groupBy("label", "size").agg(F.array_sort(F.collect_list(F.struct("range", "least", "most", "parts"))).alias("all"))
@@ -149,7 +151,7 @@ def _apart(valid: DataFrame, large: DataFrame, basis_of, at_least: float) -> Dat
     near = F.transform("all", lambda y, i: F.when((y["least"] <= own["most"] + reach) & (y["most"] >= own["least"] - reach), F.sequence(F.element_at("before", i + 1), F.element_at("before", i + 1) + y["parts"] - 1)))
     met = every.select("label", "size", "all", "before", F.explode(F.sequence(F.lit(0), F.size("all") - 1)).alias("place"))
     met = met.select("label", "size", own["range"].alias("range"), own["parts"].alias("parts"), F.col("before")[F.col("place")].alias("first"), F.flatten(F.filter(near, lambda x: x.isNotNull())).alias("others"))
-    dealt = rows.join(met, ["label", "size", "range"]).withColumn("block", (F.col("first") + F.pmod(F.xxhash64("uid"), F.col("parts"))).cast("int"))
+    dealt = rows.join(sent(met), ["label", "size", "range"]).withColumn("block", (F.col("first") + F.pmod(F.xxhash64("uid"), F.col("parts"))).cast("int"))
     return dealt.select("label", "size", "block", F.explode("others").alias("other"), "uid", "vec_id", "v")
 
 
@@ -175,8 +177,12 @@ def near_vectors(rows: DataFrame, at_least: float = 0.93) -> DataFrame:
     # Where a label's vectors are cut into ranges along the first axis; within a range, blocks are dealt by hash.
     blocks = F.ceil(F.col("n") * F.col("size") / BLOCK_NUMBERS).cast("int")
     large = groups.select("label", "size", "n", F.least(blocks, F.lit(RANGES)).alias("ranges")).where("ranges > 1")
-    small = valid.join(groups.where(blocks == 1).select("label", "size"), ["label", "size"]).select("label", "size", F.lit(0).alias("block"), F.lit(0).alias("other"), "uid", "vec_id", "v")
-    tiles = small.unionByName(_apart(valid, large, basis_of, at_least)) if not large.isEmpty() else small
+    large = common.cut(large)
+    several = large.count()
+    sent = F.broadcast if several <= BROADCAST_LABELS else lambda df: df
+    rest = valid.join(sent(large.select("label", "size")), ["label", "size"], "left_anti") if several else valid
+    small = rest.join(groups.where(blocks == 1).select("label", "size"), ["label", "size"]).select("label", "size", F.lit(0).alias("block"), F.lit(0).alias("other"), "uid", "vec_id", "v")
+    tiles = small.unionByName(_apart(valid, large, sent, basis_of, at_least)) if several else small
     tiles = tiles.select("label", "size", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "uid", "vec_id", "v")
     found = common.cut(tiles.groupBy("label", "size", "low", "high").applyInPandas(_tile(at_least, basis_of), "uid long, n long, a long, b long"))
     counts = found.groupBy("uid").agg(F.sum("n").alias("n"))
