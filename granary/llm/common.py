@@ -77,6 +77,38 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+# --- which rows are wanted -------------------------------------------------------------------------------------------
+
+#: Bits of a filter of ids (8 MB), whatever their number, and the hashes of an id.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 2
+
+
+def _slot(value: Column, i: int) -> Column:
+    return F.pmod(F.xxhash64(value, F.lit(i)), F.lit(FILTER_BITS))
+
+
+def likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` (long) is among ``ids`` (its only column), and a few more: for joins that want only those.
+
+    A Bloom filter of fixed size is built by the cluster and sent to all tasks, so that rows that the join would drop
+    aren't shuffled. Five million ids let 2 % of the others through; the more ids there are the more it lets through,
+    and it never drops a row that is wanted.
+    """
+    spark, name = rows.sparkSession, ids.columns[0]
+    slots = ids.select(F.explode(F.array(*[_slot(F.col(name), i) for i in range(FILTER_HASHES)])).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
+    every = spark.range(FILTER_BITS >> 6).join(words, F.col("id") == F.col("word"), "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    parts = every.groupBy(F.shiftright("id", 10).alias("part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"]).alias("bits"))
+    whole = parts.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "bits"))), lambda x: x["bits"])).alias(fresh(rows, "__filter")))
+    whole = cut(whole)
+    held = F.col(whole.columns[0])
+    inside = F.lit(True)
+    for i in range(FILTER_HASHES):
+        slot = _slot(F.col(column), i)
+        inside = inside & (F.lit(1) == F.call_function("shiftrightunsigned", F.get(held, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)))
+    return rows.join(F.broadcast(whole), inside, "inner").drop(held)  # one row on the right
+
+
 # --- words of a batch of texts, without a Python object for each -------------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)

@@ -205,7 +205,8 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     The only time that texts meet members: both are dealt by id, whatever their number. A document with several texts
     meets its member rows with each of them.
     """
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
+    members = common.cut(members)
+    texts = common.likely(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", members.select("rep"))
     joined = texts.join(members.hint("shuffle_hash"), F.col("rep") == F.col("doc_id"))
     return common.cut(joined.select(*members.columns, "text").mapInArrow(_gather, f"{_SETS}, shingles binary"))
 

@@ -127,6 +127,22 @@ def test_passages_of_repeated_rows_alone(spark):
     assert substring_dedup.repeated_passages(rows.where("doc_id = 1")).count() == 0
 
 
+def test_filter_of_ids(spark, monkeypatch):
+    """Every id that is wanted passes, whatever the filter's size; of the others few do while it is large enough."""
+    from granary.llm import common
+
+    rows = spark.range(-500, 20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("__filter"))
+    wanted = rows.where("doc_id % 7 = 0").select(F.col("doc_id").alias("x"))
+    want = {r["x"] for r in wanted.collect()}
+    got = common.likely(rows, "doc_id", wanted)
+    ids = {r["doc_id"] for r in got.collect()}
+    assert got.columns == rows.columns and want <= ids and len(ids) < len(want) + 10
+    assert common.likely(rows, "doc_id", wanted.limit(0)).count() == 0
+    monkeypatch.setattr(common, "FILTER_BITS", 1 << 12)
+    small = {r["doc_id"] for r in common.likely(rows, "doc_id", wanted).collect()}
+    assert want < small
+
+
 def test_held_out_rows(spark):
     ids = [r["doc_id"] for r in spark.range(0, 50).withColumnRenamed("id", "doc_id").where(quality.held_out("doc_id")).collect()]
     assert ids == [i for i in range(50) if zlib.crc32(str(i).encode()) % 4 == 2]
