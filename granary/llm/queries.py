@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import conversations, embedding_dedup, html_text, mixing, near_dup, nearest, packing, pii, quality, spelling, substring_dedup, urls
+from granary.llm import conversations, embedding_dedup, html_text, languages, mixing, near_dup, nearest, packing, pii, quality, spelling, substring_dedup, urls
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
@@ -87,6 +87,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language. Null texts and texts without letters: ``und`` with score 0. Rows without an id are never learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = languages.train(docs, ~languages.held_out("doc_id"))
+    return languages.predicted(docs, model, {"doc_id": F.col("doc_id"), "held_out": languages.held_out("doc_id")})
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired. Null roles and texts are a space; a conversation without turns left has an empty audit."""
     return conversations.repairs(conversations.damaged(table(spark, sf_dir, "conversations")))
@@ -96,7 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_substring_dedup, op5_near_duplicates, op6_quality, op7_main_text, op8_embedding_dedup, op9_packing,
-        op10_nearest, op11_spelling_variants, op13_conversation_repair,
+        op10_nearest, op11_spelling_variants, op12_language_id, op13_conversation_repair,
     )
 }
 
