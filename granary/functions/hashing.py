@@ -22,14 +22,15 @@ def split_by_key(key: Column, hex_digest: Column) -> Column:
     return split_by_hash(F.md5(F.concat(key, F.lit(":"), hex_digest).cast("binary")), 0.70, 0.20)
 
 
-def _half(hex16: Column, start: int) -> Column:
+def half(hex16: Column, start: int) -> Column:
+    """Eight hexadecimal digits from ``start`` on as a number."""
     return F.conv(F.substr(hex16, F.lit(start), F.lit(8)), 16, 10).cast("long")
 
 
 def hamming(a: Column, b: Column) -> Column:
     """Different bits of two hashes of 16 hexadecimal digits; for other texts 64, or 0 if they are equal."""
     shape = "^[0-9a-fA-F]{16}$"
-    bits = F.bit_count(_half(a, 1).bitwiseXOR(_half(b, 1))) + F.bit_count(_half(a, 9).bitwiseXOR(_half(b, 9)))
+    bits = F.bit_count(half(a, 1).bitwiseXOR(half(b, 1))) + F.bit_count(half(a, 9).bitwiseXOR(half(b, 9)))
     return F.when(a.rlike(shape) & b.rlike(shape), bits).when(a == b, F.lit(0)).otherwise(64).cast("int")
 
 
