@@ -106,7 +106,8 @@ def features(images: DataFrame, side: int = 48) -> DataFrame:
                 pixels = np.repeat(pixels, 3, axis=2) if n == 1 else pixels[:, :, 2::-1]  # stored blue first
                 out.append((resized(pixels, side) / 255).ravel().astype(np.float32))
                 keep.append(i)
-            yield rows.iloc[keep][others].assign(features=out)
+            found = rows.iloc[keep][others]
+            yield found.assign(features=pd.Series(out, index=found.index, dtype=object))  # also if there is none
 
     at = images.select(*others, F.col("image.height").alias("__h"), F.col("image.width").alias("__w"), F.col("image.nChannels").alias("__n"), F.col("image.data").alias("__data"))
     schema = images.select(*others).schema.add("features", T.ArrayType(T.FloatType()))

@@ -69,6 +69,11 @@ def _read(line: Column) -> dict[str, Column]:
     return {"five": F.size(t) == 5, "class_id": numbers.truncated_class(F.get(t, F.lit(0))), **values}
 
 
+def _outside(x: Column) -> Column:
+    """Whether a number lies outside [0, 1]. What isn't a number lies nowhere."""
+    return ~F.isnan(x) & ((x < 0) | (x > 1))
+
+
 def roundtrip(images: DataFrame, labels: DataFrame, manifest: DataFrame, rows_shown: int = 50, overlaps_shown: int = 100) -> dict[str, DataFrame]:
     """What came back of a batch of one class (class 0) that was sent out for annotation.
 
@@ -87,7 +92,7 @@ def roundtrip(images: DataFrame, labels: DataFrame, manifest: DataFrame, rows_sh
     good = lines.where(numeric)
     outside = F.lit(False)
     for c in ("xc", "yc", "w", "h"):
-        outside = outside | (F.col(c) < 0) | (F.col(c) > 1)
+        outside = outside | _outside(F.col(c))
     bad = {"malformed": lines.where(~F.coalesce(numeric, F.lit(False))), "out_of_range": good.where(outside), "other_class": good.where("class_id <> 0")}
     names = {"malformed": "malformed_rows", "out_of_range": "out_of_range_rows", "other_class": "nonzero_class_rows"}
     found = [_stems(images, labels), *(counted_finding(audit.where(F.col("finding") == k), rule) for k, rule in rules.items())]
@@ -134,7 +139,7 @@ def frozen_findings(images: DataFrame, labels: DataFrame, lineage: DataFrame, cl
         findings(lines.where("not five"), "malformed_label", "error", F.col("split"), subject),
         findings(five.where(~numeric), "non_numeric_label", "error", F.col("split"), subject),
         findings(read.where((F.col("class_id") < 0) | (F.col("class_id") >= classes)), "invalid_class_id", "error", F.col("split"), F.concat_ws(":", "path", F.col("class_id").cast("string")), F.col("class_id"), classes - 1),
-        findings(read.where(F.exists("values", lambda x: (x < 0) | (x > 1))), "out_of_range_label", "error", F.col("split"), subject),
+        findings(read.where(F.exists("values", _outside)), "out_of_range_label", "error", F.col("split"), subject),
         _stems(keyed(images), keyed(labels)), counted_finding(_repeated(lineage, "md5"), "duplicate_md5s"),
     )
 

@@ -228,12 +228,27 @@ def test_features_and_baseline(spark, tmp_path):
     assert len(rows) == 24 and all(len(r["features"]) == 12 for r in rows)
     for r in rows:
         assert (r["features"][0] > 0.5) == (r["label"] == "red") and abs(r["features"][1] - 40 / 255) < 1e-6
+    bad = images.where(number == "")
+    assert pixels.features(bad.repartition(3), side=2).collect() == [] and pixels.features(images.repartition(25, "image.origin"), side=2).count() == 24
     model = learning.train_baseline(found, rounds=20)
     truth = learning.predicted(model, found).select(F.col("label").alias("truth"), "predicted")
     assert metrics.overall(truth).first()["accuracy"] == 1.0
     assert np.allclose(pixels.resized(np.arange(16, dtype=np.uint8).reshape(4, 4, 1), 2)[:, :, 0], [[2.5, 4.5], [10.5, 12.5]])
 
 
+def test_coordinates_that_are_no_numbers(spark):
+    """Comparisons with them are false: they are neither malformed nor out of range, but what else is wrong still counts."""
+    lines = ["0 nan 0.2 0.3 0.4", "0 nan 0.2 1.5 0.4", "0 0.1 0.2 0.3 -NaN", "nan 0.1 0.2 0.3 0.4", "0 0.1 0.2 0.3 inf"]
+    labels = spark.createDataFrame([("train/labels/a__x.txt", "a", lines)], "path string, stem string, lines array<string>")
+    images = spark.createDataFrame([("train/images/a__x.jpg", "a", "a")], "path string, stem string, md5 string")
+    out = validation.roundtrip(images, labels, images.select("md5"))
+    assert sorted(r["line"] for r in out["out_of_range"].collect()) == ["0 0.1 0.2 0.3 inf", "0 nan 0.2 1.5 0.4"]
+    assert [r["line"] for r in out["malformed"].collect()] == ["nan 0.1 0.2 0.3 0.4"]
+    split = lambda rows: rows.withColumn("split", F.lit("train"))
+    found = validation.frozen_findings(split(images), split(labels), images.select("md5"), 2).collect()
+    assert sorted((r["rule"], r["subject"].split(":")[1]) for r in found) == [("non_numeric_label", lines[3]), ("out_of_range_label", lines[4]), ("out_of_range_label", lines[1])]
+
+
 def test_quality_run(spark):
     """Files with no, two and five boxes, one without a label file and one that can't be read."""
     images = spark.createDataFrame([("train", f"train/images/src__{k}__x.jpg") for k in "abcde"] + [("valid", "valid/images/q.jpg")], "split string, path string")
