@@ -6,12 +6,15 @@ import json
 import os
 import re
 import shutil
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.paths import SPLITS
+from granary.lineage import shared_folder
+from granary.sources import transactions
 
 
 def write_csv(rows: DataFrame, path: str, fields: list[str], by: str | None = None) -> None:
@@ -146,36 +149,26 @@ def rename_folders(pairs: list[tuple[str, str]], dry_run: bool = True) -> list[t
     return status
 
 
-def apply_plan(plan: DataFrame, dry_run: bool = True) -> DataFrame:
-    """A plan (action copy, move, write or delete; source; target; content) carried out, with ``status`` of each row.
+def apply_plan(plan: DataFrame, dry_run: bool = True, run: str | None = None) -> DataFrame:
+    """A plan (action copy, move, write or delete; source; target; content) carried out; returns (action, source, target, status).
 
-    Each task does its rows; the folders have to be mounted on all executors. A dry run only looks.
+    A dry run only looks. Else the plan is a transaction: it is read once, copies and texts are staged, and only when all
+    tasks have ended well are files put in place, moved and deleted. run: the folder of its journals, by which
+    ``transactions.resume`` ends or takes back what a driver left; by default one in the shared folder. The folders have
+    to be mounted on all executors.
     """
-
-    def run(batches):
-        for rows in batches:
-            status = []
-            for row in rows.to_dict("records"):
-                source, target = row.get("source"), row.get("target")
-                if row["action"] != "write" and not os.path.exists(source):
-                    status.append("missing_source")
-                    continue
-                if not dry_run:
-                    if row["action"] != "delete":
-                        os.makedirs(os.path.dirname(target), exist_ok=True)
-                    if row["action"] == "copy":
-                        shutil.copyfile(source, target)
-                    elif row["action"] == "move":
-                        os.replace(source, target)
-                    elif row["action"] == "delete":
-                        os.remove(source)
-                    else:
-                        Path(target).write_text(row["content"] or "", encoding="utf-8")
-                status.append("planned" if dry_run else "ok")
-            yield rows.assign(status=status)
-
-    whole = plan.select("action", *[F.col(c) if c in plan.columns else F.lit(None).cast("string").alias(c) for c in ("source", "target", "content")])
-    return whole.mapInPandas(run, "action string, source string, target string, content string, status string")
+    if dry_run:
+        def look(batches):
+            for rows in batches:
+                missing = [a != "write" and not os.path.exists(s) for a, s in zip(rows["action"], rows["source"], strict=True)]
+                yield rows.assign(status=["missing_source" if m else "planned" for m in missing])
+
+        whole = plan.select("action", *[F.col(c) if c in plan.columns else F.lit(None).cast("string").alias(c) for c in ("source", "target")])
+        return whole.mapInPandas(look, "action string, source string, target string, status string")
+    if run is None:
+        run = re.sub("^file:/+", "/", f"{shared_folder(plan.sparkSession)}/actions-{uuid.uuid4().hex}")
+    transactions.staged(plan, run)
+    return transactions.finish(plan.sparkSession, run)
 
 
 def prune_plan(files: DataFrame, patterns: list[str], root: str) -> DataFrame:
