@@ -11,14 +11,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.sources import pieces
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None, empty_if_missing: bool = False) -> DataFrame:
-    """All columns as text, absent values as "". Quoted line breaks, doubled quotes and a byte order mark are understood."""
+
+def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None, empty_if_missing: bool = False, ordered: bool = True) -> DataFrame:
+    """All columns as text, absent values as "". Quoted line breaks, doubled quotes and a byte order mark are understood.
+
+    Files are read in splits, whatever their quotes (``pieces.csv_records``). ordered: rows come sorted by file and place
+    (a sort by ranges); without it they come in any order.
+    Names are those of the first file's first record. No file, if that is allowed, and nothing in it: no rows.
+    """
+    import csv
+    import io
+
+    nothing = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ("empty",)]))
     if empty_if_missing and not os.path.exists(path):
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ("empty",)]))
-    rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", inferSchema=False)
-    rows = rows.toDF(*[c.lstrip("﻿") for c in rows.columns])
-    return rows.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in rows.columns])
+        return nothing
+    records = pieces.csv_records(spark, path)
+    first = records.where("head").orderBy("file").select("record").first()
+    if first is None:
+        return nothing
+    names = next(csv.reader(io.StringIO(first["record"], newline="")), [])
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    records = records.where("not head")
+    records = records.orderBy("file", "block", "place") if ordered else records
+    parsed = records.select(F.from_csv("record", schema, {"quote": '"', "escape": '"'}).alias("x"))
+    return parsed.select(*[F.coalesce(F.col(f"x.c{i}"), F.lit("")).alias(c) for i, c in enumerate(names)])
 
 
 def read_config(path: str) -> dict:
@@ -27,9 +45,8 @@ def read_config(path: str) -> dict:
 
 
 def read_coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The images, annotations and categories of a COCO document."""
-    whole = spark.read.json(path, multiLine=True)
-    return tuple(whole.select(F.explode(c).alias("x")).select("x.*") for c in ("images", "annotations", "categories"))
+    """The images, annotations and categories of a COCO document, which is read in splits."""
+    return pieces.json_arrays(spark, path, ("images", "annotations", "categories"))
 
 
 def read_runs(spark: SparkSession, files: dict[str, str], metrics: dict[str, str]) -> DataFrame:
@@ -150,7 +167,7 @@ def source_status(sources: DataFrame, class_map: DataFrame, found: DataFrame) ->
 def class_map_rows(rows: DataFrame, keep: str = "active") -> DataFrame:
     """Class-map rows that are active, or (not_excluded) anything but excluded; of a folder's rows the last one counts.
 
-    rows come from ``read_csv``, which never splits a file, so that their numbers are in the file's order.
+    rows come from ``read_csv``, in the files' order, so that their numbers are in the file's order.
     """
     status = F.lower(F.trim("status"))
     some = rows.where(status == "active") if keep == "active" else rows.where(status != "exclude")
