@@ -6,20 +6,67 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import boxes
+from granary.lineage import cut
 
 _BOX = ("xc", "yc", "w", "h")
 
 
+#: Cells of level l are 4**-l wide. Boxes wider than a quarter are on level 0, which is one cell; those of the last level may be as small as they like.
+LEVELS = 6
+
+
+def meeting(rows: DataFrame, group: list[str], key: str) -> DataFrame:
+    """(group, a, b): the pairs of boxes of a group that share an area, as structs of key, xc, yc, w and h, with a's key before b's.
+
+    A grid of several levels: a box is at home in the (at most four) cells that it touches on the level of its size, and
+    looks for larger ones in the cells that it touches there and on all coarser levels. A pair that meets in several cells
+    counts in the one with the lower corner of what both share. So boxes meet neighbours, not all of their group. Null
+    groups are one group; boxes without a width, a height or finite numbers share nothing. Keys are unique in a group.
+    """
+    finite = F.lit(True)
+    for c in _BOX:
+        finite = finite & ~F.isnan(c) & (F.abs(F.col(c)) != float("inf"))
+    side = F.greatest("w", "h")
+    level = F.lit(LEVELS - 1)
+    for n in range(LEVELS - 2, -1, -1):
+        level = F.when(side > F.lit(0.25 ** (n + 1)), n).otherwise(level)
+    corner = boxes.corners(*(F.col(c) for c in _BOX))
+    own = rows.where(finite & (F.col("w") > 0) & (F.col("h") > 0)).select(
+        *group, F.struct(F.col(key).alias("key"), *[F.col(c).cast("double").alias(c) for c in _BOX]).alias("box"), F.struct(*[corner[c].alias(c) for c in corner]).alias("at"), level.alias("level")
+    )
+
+    def cells(on: Column) -> Column:
+        scale = F.pow(F.lit(4.0), on)
+        along = lambda lo, hi: F.when(on == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array_distinct(F.array(F.floor(F.col(lo) * scale), F.floor(F.col(hi) * scale))))
+        return F.flatten(F.transform(along("at.x0", "at.x1"), lambda x: F.transform(along("at.y0", "at.y1"), lambda y: F.struct(on.cast("int").alias("level"), x.alias("x"), y.alias("y")))))
+
+    home = own.select(*group, F.col("box").alias("h"), F.col("at").alias("h_at"), F.explode(cells(F.col("level"))).alias("cell"))
+    looks = own.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("box").alias("p"), F.col("at").alias("p_at"), F.col("level").alias("p_level"), F.explode(F.flatten(F.transform(F.sequence(F.lit(0), "level"), cells))).alias("p_cell"))
+    same = F.col("cell") == F.col("p_cell")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    lower = lambda c: F.floor(F.greatest(f"h_at.{c}0", f"p_at.{c}0") * F.pow(F.lit(4.0), F.col("cell.level"))) == F.col(f"cell.{c}")
+    shares = (F.least("h_at.x1", "p_at.x1") > F.greatest("h_at.x0", "p_at.x0")) & (F.least("h_at.y1", "p_at.y1") > F.greatest("h_at.y0", "p_at.y0"))
+    once = (F.col("p_level") > F.col("cell.level")) | (F.col("h.key") < F.col("p.key"))
+    met = home.join(looks, same).where(once & shares & ((F.col("cell.level") == 0) | lower("x") & lower("y")))
+    first = F.col("h.key") < F.col("p.key")
+    return met.select(*group, F.when(first, F.col("h")).otherwise(F.col("p")).alias("a"), F.when(first, F.col("p")).otherwise(F.col("h")).alias("b"))
+
+
+def _measured(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns(boxes.overlap({c: F.col(f"a.{c}") for c in _BOX}, {c: F.col(f"b.{c}") for c in _BOX}))
+
+
 def overlapping(rows: DataFrame, group: list[str], iou: float = 0.85, coverage: float = 0.90) -> DataFrame:
-    """(group, a, b, measures): pairs of boxes a < b of a group, of which one of the measures is reached.
+    """(group, a, b, measures): pairs of boxes a < b of a group, of which one of the measures (thresholds above 0) is reached.
 
-    rows: group columns, box_id, xc, yc, w, h. An equality join on the group, with the rest as a condition.
+    rows: group columns, box_id (unique in its group), xc, yc, w, h. Null groups have no pairs.
     """
-    one = rows.select(*group, F.col("box_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in _BOX])
-    two = rows.select(*group, F.col("box_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in _BOX])
-    measures = boxes.overlap({c: F.col(f"a_{c}") for c in _BOX}, {c: F.col(f"b_{c}") for c in _BOX})
-    pairs = one.join(two, group).where("a < b").withColumns(measures)
-    return pairs.where((F.col("iou") >= iou) | (F.col("of_smaller") >= coverage)).select(*group, "a", "b", *measures)
+    known = rows
+    for g in group:
+        known = known.where(F.col(g).isNotNull())
+    pairs = _measured(meeting(known, group, "box_id")).where((F.col("iou") >= iou) | (F.col("of_smaller") >= coverage))
+    return pairs.select(*group, F.col("a.key").alias("a"), F.col("b.key").alias("b"), "iou", "of_smaller", "of_a", "of_b", "area_ratio")
 
 
 def deduplicated(rows: DataFrame, group: list[str], iou: float = 0.85, coverage: float = 0.90) -> DataFrame:
@@ -27,36 +74,44 @@ def deduplicated(rows: DataFrame, group: list[str], iou: float = 0.85, coverage:
 
     The first overlapping pair in list order (``seq``) loses its worse box, and the search starts anew: synthetic boxes
     lose, then those made for missing labels, then larger ones, then later ids. So the outcome depends on the order.
-    rows: group columns, box_id, seq, box_source, xc, yc, w, h. A group is an image's boxes of a class.
+    rows: group columns, box_id, seq, box_source, xc, yc, w, h. A group is an image's boxes of a class; seq and box_id
+    together are unique in it.
 
-    A loss only takes pairs away, so the pairs that still count are met in one walk over all overlapping ones in list
-    order; that walk is an aggregate over an array of the group's own pairs.
+    Who would lose a pair is known from the start; whether it comes to that depends on the pairs before it. A pair is
+    settled once neither of its boxes can lose an earlier one: its worse box goes, and with it all later pairs of that box.
+    Rounds of joins settle all such pairs at once, the first of all pairs at least.
     """
-    measures = lambda a, b: boxes.overlap({c: a[c] for c in _BOX}, {c: b[c] for c in _BOX})
-
-    def pair(a: Column, b: Column, i: Column, j: Column) -> Column:
-        m = measures(a, b)
-        why = F.when(m["iou"] >= iou, F.lit("iou_threshold")).when(m["of_smaller"] >= coverage, F.lit("coverage_threshold"))
-        loses = a["rank"] > b["rank"]
-        return F.struct(F.when(loses, i).otherwise(j).alias("goes"), F.when(loses, j).otherwise(i).alias("stays"), why.alias("why"))
-
     rank = F.struct(
         F.coalesce(F.col("box_source").startswith("synthetic"), F.lit(False)).alias("synthetic"), F.col("box_source").eqNullSafe("synthetic_missing_label").alias("missing"),
         (F.col("w") * F.col("h")).alias("area"), F.col("box_id").alias("id"),
     )
-    row = F.struct("seq", "box_id", *_BOX, rank.alias("rank"))
-    groups = rows.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("b"))
-    n = F.size("b")
-    later = lambda i: F.when(i + 1 < n, F.sequence(i + 1, n - 1)).otherwise(F.array().cast("array<int>"))
-    at = lambda i: F.get("b", i)
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.filter(F.transform(later(i), lambda j: pair(at(i), at(j), i, j)), lambda p: p["why"].isNotNull())))
-    lost = F.array().cast("array<struct<goes:int,stays:int,why:string>>")
-    gone = lambda acc, k: F.exists(acc, lambda x: x["goes"] == k)
-    walked = F.aggregate("pairs", lost, lambda acc, p: F.when(gone(acc, p["goes"]) | gone(acc, p["stays"]), acc).otherwise(F.concat(acc, F.array(p))))
-    groups = groups.withColumn("pairs", F.when(n > 1, pairs).otherwise(lost)).withColumn("lost", walked)
-    out = groups.select(*group, "b", "lost", F.posexplode("b").alias("i", "box"))
-    fate = F.get(F.filter("lost", lambda x: x["goes"] == F.col("i")), F.lit(0))
-    return out.withColumn("fate", fate).select(*group, F.col("box.box_id").alias("box_id"), F.col("fate").isNull().alias("kept"), F.get("b", F.col("fate.stays"))["box_id"].alias("kept_by"), F.col("fate.why").alias("reason"))
+    rows = rows.withColumn("__key", F.struct("seq", F.col("box_id").alias("id"), rank.alias("rank")))
+    why = F.when(F.col("iou") >= iou, F.lit("iou_threshold")).when(F.col("of_smaller") >= coverage, F.lit("coverage_threshold"))
+    pairs = _measured(meeting(rows, group, "__key")).withColumn("why", why).where("why is not null")
+    worse = F.col("a.key.rank") > F.col("b.key.rank")
+    box = lambda c: F.struct(F.col(f"{c}.key.seq").alias("seq"), F.col(f"{c}.key.id").alias("id"))
+    left = pairs.select(
+        F.struct(*group).alias("g") if group else F.lit(0).alias("g"), F.struct(box("a").alias("a"), box("b").alias("b")).alias("at"), F.when(worse, box("a")).otherwise(box("b")).alias("goes"),
+        F.when(worse, box("b")).otherwise(box("a")).alias("stays"), "why",
+    )
+    left = cut(left)
+    settled = left.limit(0)
+    while not left.isEmpty():
+        first = left.groupBy("g", F.col("goes").alias("box")).agg(F.min("at").alias("first"))
+        losing = first.select(F.col("g").alias("g1"), F.col("box").alias("box1"), F.col("first").alias("first1"))
+        keeping = first.select(F.col("g").alias("g2"), F.col("box").alias("box2"), F.col("first").alias("first2"))
+        now = left.join(losing, F.col("g").eqNullSafe(F.col("g1")) & (F.col("goes") == F.col("box1")) & (F.col("at") == F.col("first1")))
+        now = now.join(keeping, F.col("g").eqNullSafe(F.col("g2")) & (F.col("stays") == F.col("box2")), "left").where(F.col("first2").isNull() | (F.col("at") < F.col("first2")))
+        now = cut(now.select(*left.columns))
+        settled = settled.union(now)
+        gone = now.select(F.col("g").alias("g1"), F.col("goes").alias("box1"), F.col("at").alias("at1"))
+        left = left.join(gone, F.col("g").eqNullSafe(F.col("g1")) & (F.col("goes") == F.col("box1")), "left_anti")
+        left = left.join(gone, F.col("g").eqNullSafe(F.col("g1")) & (F.col("stays") == F.col("box1")) & (F.col("at") > F.col("at1")), "left_anti")
+        left = cut(left)
+    lost = settled.select(F.col("g").alias("__g"), F.col("goes").alias("__goes"), F.col("stays.id").alias("kept_by"), F.col("why").alias("reason"))
+    mine = F.struct(*group) if group else F.lit(0)
+    out = rows.join(lost, mine.eqNullSafe(F.col("__g")) & (F.struct("__key.seq", "__key.id") == F.col("__goes")), "left")
+    return out.select(*group, "box_id", F.col("__goes").isNull().alias("kept"), "kept_by", "reason")
 
 
 def merged_sources(rows: DataFrame, image: str, source_order: tuple[str, ...], loser: str, winner: str) -> DataFrame:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import hashing
 from granary.lineage import cut
+from granary.operators.ranks import numbered
 
 
 def ranked(assets: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
-    """assets with ``duplicate_rank`` within their content, and ``duplicate_role`` (the first is canonical)."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    assets = assets.withColumn("duplicate_rank", rank)
+    """assets with ``duplicate_rank`` within their content, and ``duplicate_role`` (the first is canonical). A content may have any number of copies."""
+    assets = numbered(assets, [key], order, "duplicate_rank").withColumn("duplicate_rank", F.col("duplicate_rank").cast("int"))
     return assets.withColumn("duplicate_role", F.when(F.col("duplicate_rank") == 1, F.lit("canonical")).otherwise("duplicate"))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import paths
+from granary.operators.ranks import numbered
 
 
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -58,8 +59,8 @@ def merged(base: DataFrame, incoming: DataFrame, content: str, order: list[Colum
 def numbered_on(new: DataFrame, existing: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """new with ``index``, going on from each group's largest one in existing (group, index)."""
     last = existing.groupBy(*group).agg(F.max("index").alias("__last"))
-    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return new.withColumn("__n", number).join(last, group, "left").withColumn("index", F.col("__n") + F.coalesce("__last", F.lit(0))).drop("__n", "__last")
+    new = numbered(new, group, order, "__n").withColumn("__n", F.col("__n").cast("int"))
+    return new.join(last, group, "left").withColumn("index", F.col("__n") + F.coalesce("__last", F.lit(0))).drop("__n", "__last")
 
 
 def unique_names(rows: DataFrame, name: str, order: list[Column], taken: DataFrame | None = None) -> DataFrame:
@@ -71,15 +72,15 @@ def unique_names(rows: DataFrame, name: str, order: list[Column], taken: DataFra
     All that a name needs to know of a numbered one is how many of its own rows come before that one's first.
     """
     stem, ending = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 2)
-    numbered = r"^(?s)(.+)__([1-9][0-9]{0,8})$"
+    with_number = r"^(?s)(.+)__([1-9][0-9]{0,8})$"
     rows = rows.withColumns({"__stem": stem, "__ending": ending, "__order": F.struct(*order)})
-    rows = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
+    rows = numbered(rows, [name], [F.col("__order")], "__rank").withColumn("__rank", F.col("__rank").cast("int"))
     known = rows.groupBy(F.col(name).alias("__name"), "__stem", "__ending").agg(F.min("__order").alias("first"), F.count("*").alias("n"))
     used = known.select("__name").limit(0) if taken is None else taken.select(F.col(name).alias("__name")).where(F.col("__name").isNotNull()).distinct()
     used = used.select("__name", F.regexp_extract("__name", r"^(.*?)(\.[^.]*)?$", 1).alias("__s"), F.regexp_extract("__name", r"^(.*?)(\.[^.]*)?$", 2).alias("__e"), F.lit(True).alias("used"))
     names = known.join(used, "__name", "full").select("__name", F.coalesce("__stem", "__s").alias("stem"), F.coalesce("__ending", "__e").alias("ending"), "first", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("used", F.lit(False)).alias("used"))
-    number = F.regexp_extract("stem", numbered, 2)
-    names = names.withColumns({"base": F.concat(F.regexp_extract("stem", numbered, 1), "ending"), "k": F.when(number != "", number.cast("int"))})
+    number = F.regexp_extract("stem", with_number, 2)
+    names = names.withColumns({"base": F.concat(F.regexp_extract("stem", with_number, 1), "ending"), "k": F.when(number != "", number.cast("int"))})
     # Of the rows of a base, how many come before the first of a numbered name (none, if that is in use from the start).
     claims = names.where("k >= 2").select(F.col("base").alias("__name"), "k", "used", "first", F.col("__name").alias("claim"))
     before = rows.select(F.col(name).alias("__name"), "__order").join(claims, "__name").where(~F.col("used") & (F.col("__order") < F.col("first")))

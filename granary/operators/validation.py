@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import boxes, numbers, paths
 from granary.operators import reconcile
+from granary.operators.boxes import meeting
 from granary.operators.qc import findings, united
 
 MANIFEST_PATHS = ("source_path", "source_manifest", "output_image", "output_label")
@@ -108,15 +109,13 @@ def label_overlaps(rows: DataFrame, coverage: float = 0.90) -> DataFrame:
     """(path, a, b, a_covered, b_covered, smaller_covered): pairs of boxes of one file of which one covers most of the other.
 
     rows: (path, at, xc, yc, w, h). a and b are numbers among the file's boxes, a < b; shares are rounded to six places.
-    An equality join on the file.
+    Coordinates that are no numbers cover nothing.
     """
     box = ("xc", "yc", "w", "h")
     numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1)
-    one = numbered.select("path", F.col("n").alias("a"), *[F.col(c).alias(f"a_{c}") for c in box])
-    two = numbered.select("path", F.col("n").alias("b"), *[F.col(c).alias(f"b_{c}") for c in box])
-    measures = boxes.covered({c: F.col(f"a_{c}") for c in box}, {c: F.col(f"b_{c}") for c in box})
-    pairs = one.join(two, "path").where("a < b").withColumns(measures).where((F.col("shared") > 0) & (F.greatest("a_covered", "b_covered", "smaller_covered") >= coverage))
-    return pairs.select("path", "a", "b", *[F.round(c, 6).alias(c) for c in ("a_covered", "b_covered", "smaller_covered")])
+    measures = boxes.covered({c: F.col(f"a.{c}") for c in box}, {c: F.col(f"b.{c}") for c in box})
+    pairs = meeting(numbered, ["path"], "n").withColumns(measures).where((F.col("shared") > 0) & (F.greatest("a_covered", "b_covered", "smaller_covered") >= coverage))
+    return pairs.select("path", F.col("a.key").alias("a"), F.col("b.key").alias("b"), *[F.round(c, 6).alias(c) for c in ("a_covered", "b_covered", "smaller_covered")])
 
 
 def capped(rows: DataFrame, order: list[str], most: int) -> DataFrame:
