@@ -210,6 +210,30 @@ def test_near_repeats_are_found(spark):
     assert len(hit) >= 0.9 * 300
 
 
+@pytest.mark.parametrize("sharers,least", [(2, 57), (6, 54)])
+def test_near_repeats_beside_texts_that_share_a_part(spark, sharers, least):
+    """60 pairs of texts share 60 words with one changed; others, with smaller and larger ids, share their first or last 47 only."""
+    rng = random.Random(1)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    text = lambda k: [word() for _ in range(k)]
+    rows, where = [], {}
+    for g in range(60):
+        passage = text(60)
+        edited = list(passage)
+        edited[rng.randrange(60)] = word()
+        for k, p in enumerate((passage, edited)):
+            before = text(rng.randint(20, 80))
+            rows.append((1000 * g + 400 + k, " ".join([*before, *p, *text(rng.randint(20, 80))])))
+            where[1000 * g + 400 + k] = (len(before), len(before) + 60)
+        for k in range(sharers):
+            rows.append((1000 * g + k + 900 * (k % 2), " ".join([*text(40), *(passage[:47] if k % 2 else passage[-47:]), *text(40)])))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hit = {r["doc_id"] for r in got if r["doc_id"] in where and min(r["end_word"], where[r["doc_id"]][1]) - max(r["start_word"], where[r["doc_id"]][0]) >= 40}
+    both = sum({1000 * g + 400, 1000 * g + 401} <= hit for g in range(60))
+    print("pairs found", both, "of 60")
+    assert both >= least
+
+
 def test_spans_of_many_groups_are_merged():
     rng = np.random.default_rng(1)
     group, low = np.sort(rng.integers(0, 40, 500)), rng.integers(0, 300, 500)
