@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import boxes as fb
-from granary.functions import hashing, labels, numbers, paths, policy
+from granary.functions import hashing, labels, numbers, paths, pixels, policy
 from granary.operators import accounting, actions, dedup, manifest, metrics, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
 
@@ -975,6 +975,27 @@ def mean_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.transform("embedding", lambda x: F.floor(x * 100))
     return _read(spark, sf_dir, "embeddings").select("vec_id", hashing.mean_hash(cells).alias("hash"))
 
+_GREY = "(floor(x::double * 1000)::bigint % 256 + 256) % 256"
+
+
+@query(f"""with pic as (select vec_id, (i // 16)::int as y, (i % 16)::int as x, v from (select vec_id, unnest(range(64)) as i, unnest(list_transform(embedding, lambda x: {_GREY})) as v from embeddings where vec_id % 7 <> 3)),
+    grid as (select n, o, i, (o + 0.5::double) * n / 8 as c, greatest(1::double, n / 8::double) as wide from (values (4), (16)) t(n), range(8) r(o), range(16) q(i) where i < n),
+    near as (select n, o, i, abs((i - c + 0.5::double) / wide) as d from grid where i >= trunc(greatest(0, c - 2 * wide + 0.5::double)) and i < trunc(c + 2 * wide + 0.5::double)),
+    value as (select n, o, i, case when d < 1 then (1.5::double * d - 2.5::double) * d * d + 1 when d < 2 then ((-0.5::double * d + 2.5::double) * d - 4) * d + 2 else 0 end as w from near),
+    even as (select n, o, i, w / sum(w) over (partition by n, o) as w from value), w as (select n, o, i, trunc(w * 4194304 + case when w < 0 then -0.5::double else 0.5::double end)::bigint as w from even),
+    a as (select vec_id, y, o as x, greatest(0, least(255, floor((sum(v * w) + 2097152)::double / 4194304)))::bigint as v from pic join w on w.n = 16 and w.i = pic.x group by vec_id, y, o),
+    b as (select vec_id, o as y, x, greatest(0, least(255, floor((sum(v * w) + 2097152)::double / 4194304)))::bigint as v from a join w on w.n = 4 and w.i = a.y group by vec_id, o, x),
+    m as (select vec_id, avg(v) as mean from b group by vec_id),
+    bits as (select vec_id, sum(case when v >= mean and y < 4 then 1::bigint << (31 - 8 * y - x)::int else 0 end)::bigint as hi, sum(case when v >= mean and y >= 4 then 1::bigint << (63 - 8 * y - x)::int else 0 end)::bigint as lo from b join m using (vec_id) group by vec_id)
+    select vec_id, lpad(lower(to_hex(hi)), 8, '0') || lpad(lower(to_hex(lo)), 8, '0') as hash from bits union all select vec_id, substr(sha1(vec_id::varchar), 1, 16) from embeddings where vec_id % 7 = 3""")
+def pixel_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of 4 x 16 grey pixels, made of vectors; some can't be decoded."""
+    grey = F.transform("embedding", lambda x: F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 1000), F.lit(256))), 2, "0"))
+    data = F.when(F.col("vec_id") % 7 != 3, F.unhex(F.array_join(grey, ""))).otherwise(F.lit("text").cast("binary"))
+    image = F.struct(F.lit(4).alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", image.alias("image"), F.sha1(F.col("vec_id").cast("string").cast("binary")).alias("sha1"))
+    return pixels.average_hashes(rows, "image", "sha1").select("vec_id", "hash")
+
 
 @query("select doc_id, quality, quality is not null as has_label from documents left join labels using (doc_id)")
 def attached_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
