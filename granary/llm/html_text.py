@@ -41,8 +41,8 @@ _BLOCK = frozenset(
     "thead title tr ul".split()
 )
 _DROP = frozenset(
-    "aside audio button canvas datalist dialog embed fieldset footer form frame frameset head iframe input label legend math menu nav noembed "
-    "noframes noscript object optgroup option script search select style svg template textarea title video xmp".split()
+    "aside audio button canvas datalist dialog embed footer form frame frameset head iframe input menu nav noembed "
+    "noframes noscript object optgroup option script search select style template textarea title video xmp".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What closes an open element of that name, if it is the innermost of its kind.
@@ -55,14 +55,33 @@ _CLOSED_BY = {
     "tr": frozenset({"tr", "tbody", "tfoot"}), "td": frozenset({"td", "th", "tr", "tbody", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
     "head": frozenset({"body"}),
 }
-#: Words in a class, id or role that say that an element isn't part of the article.
-_NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adbox|adslot|adsense|sponsor(?:ed)?|promos?|promotion|banners?|cookies?|cookiebar|consent|gdpr|notices?|"
-    r"notifications?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|login|sidebars?|side|aside|navs?|navbar|navigation|menus?|"
-    r"breadcrumbs?|pagination|pager|footers?|foot|mast-?head|site-?header|page-?header|topbar|toolbar|comments?|commentlist|replies|reply|disqus|"
-    r"respond|share|sharing|social|related|recommended|recommendations|widgets?|teasers?|search|skip-?link|copyright|legal|tags?|toc)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Names in a class or id that say that an element isn't part of the article, and those that say so outside of article elements only, where
+#: they may as well be what the article is about.
+_NOT_ARTICLE = frozenset(
+    "ad ads advert adverts advertisement advertisements adbox adslot adsense sponsor sponsored promo promos promotion banner banners cookie cookies cookiebar "
+    "consent gdpr notice notices notification notifications popup popups modal newsletter subscribe subscription signup sidebar sidebars aside nav navs navbar "
+    "navigation menu menus breadcrumb breadcrumbs pagination pager footer footers masthead topbar toolbar comment comments commentlist replies disqus "
+    "share sharing social related recommended recommendations teaser teasers".split()
 )
+_NOT_PAGE = frozenset("alert alerts modals overlay login side foot reply respond widget widgets search toc copyright legal tag tags skip".split())
+#: What such a name may be joined with by hyphens or underscores and still be one.
+_BESIDE = frozenset(
+    "area bar block bottom box btn button buttons col column container content form group head header heading icon icons inner inline item items label large left "
+    "link links list main mast message middle mobile outer page panel post posts primary right row secondary section site skyscraper slot small sticky text title "
+    "top unit wrap wrapper".split()
+)
+
+
+def _named(label: str, inside: bool) -> bool:
+    """Whether one of the names in a class or id says that the element isn't part of the article; inside: it lies in an article element."""
+    for name in label.lower().split():
+        parts = [x for x in re.split(r"[-_]+", name) if x and not x.isdigit()]
+        said = [x in _NOT_ARTICLE or not inside and x in _NOT_PAGE for x in parts]
+        if any(said) and all(y or x in _BESIDE for x, y in zip(parts, said, strict=True)):
+            return True
+    return False
+
+
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split())
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""\s*([^\s=>/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -141,7 +160,7 @@ class Page:
             return
         role = given.get("role", "").lower()
         main = name in ("article", "main") or role in ("article", "main")
-        dropped = parent.dropped or name in _DROP or role in _ROLES or (name not in ("html", "body", "article", "main") and bool(_NOT_ARTICLE.search(label)))
+        dropped = parent.dropped or name in _DROP or role in _ROLES or (name not in ("html", "body", "article", "main") and _named(label, parent.article))
         dropped = dropped or (name == "article" and bool(re.search(r"(?i)comment|teaser|promo", label))) or "hidden" in given or given.get("aria-hidden") == "true"
         heading_only = parent.heading_only or (name == "header" and parent.article)
         dropped = dropped or (name == "header" and not parent.article)
@@ -222,14 +241,18 @@ class Page:
             at = other + 1
 
     def text(self, slots: frozenset[str] = frozenset()) -> str:
-        """The article. slots: tokens of the host's boilerplate slots."""
+        """The article. slots: tokens of the host's boilerplate slots, with a "=" before those that say the same on all pages.
+
+        In an article element only the latter go: articles may hold more links than words. Such a slot may be most of a
+        page, but not all of it, as pages of one text are one page to the template; a page without an article element
+        keeps its text rather than lose all of it to links.
+        """
         own = [b for b in self.blocks if not b[4] and (b[3] or not self.has_article)]
         if slots:
-            inside = {t: any(t == s or t.startswith(s + "/") for s in slots) for t in {b[1] for b in own}}
+            some = tuple(s[1:] for s in slots if s.startswith("=")) if self.has_article else tuple(s.removeprefix("=") for s in slots)
+            inside = {t: any(t == s or t.startswith(s + "/") for s in some) for t in {b[1] for b in own}}
             left = [b for b in own if not inside[b[1]]]
-            letters = sum(len(b[0]) for b in left)
-            if 2 * letters >= sum(len(b[0]) for b in own) if self.has_article else letters:
-                own = left
+            own = left if left or self.has_article else own
         return "\n".join(b[0] for b in own)
 
     def content(self) -> bytes:
@@ -265,7 +288,7 @@ def host_of(url: str) -> F.Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slots): the tokens of the boilerplate slots of each host that has some. pages: (host, html)."""
+    """(host, slots): the tokens of the boilerplate slots of each host that has some ("=": the same words on all pages). pages: (host, html)."""
     common.small_batches(pages.sparkSession)
     seen = pages.mapInPandas(_observe, "host string, token string, content binary, n long, letters long, links long, words binary")
     # Pages with one text are one page: their rows are united before they are added up. Where such pages differ in
@@ -282,7 +305,7 @@ def templates(pages: DataFrame) -> DataFrame:
     same = (F.col("low") == F.col("high")) & (F.col("saying") == F.col("all_pages"))
     classes = tokens.groupBy("host", "v1", "v2", "pages").agg(
         F.count("*").alias("size"),
-        F.collect_list(F.when((F.col("letters") > 0) & ((F.col("links") * 2 > F.col("letters")) | same), F.col("token"))).alias("slots"),
+        F.collect_list(F.when((F.col("letters") > 0) & ((F.col("links") * 2 > F.col("letters")) | same), F.concat(F.when(same, "=").otherwise(""), "token"))).alias("slots"),
     )
     valid = classes.where(F.col("size") >= LEAST_TOKENS)
     return valid.groupBy("host").agg(F.flatten(F.collect_list("slots")).alias("slots")).where(F.size("slots") > 0)
