@@ -20,24 +20,29 @@ ROUNDS = 8
 DAYS, DAY_HIGH, DAY_LOW = 73_049, 271, 270
 
 #: What says that a secret follows; it is part of the match and stays as it is.
-_GIVEN = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
-#: A secret: 8 or more characters up to white space, a quote or an angle bracket, without punctuation at the end, with a letter and a digit.
-_SECRET = r"(?=[^\s\"'<>]*[A-Za-z])(?=[^\s\"'<>]*[0-9])[^\s\"'<>]{7,}[^\s\"'<>.,;:!?)\]}]"
+_NAMED = r"passwords?|passwd|pass[-_ ]?phrase|pwd|secret"
+_GIVEN = rf"(?i:{_NAMED}|(?<![a-z])pw|token|api[_-]?key|access[_-]?key)[\"']?(?:\s{{0,2}}[=:]\s{{0,2}}|\s{{1,2}}is:?\s{{1,2}})[\"']?"
+#: A secret: 6 or more characters up to white space, a quote or an angle bracket, without punctuation at the end, with a letter and a digit.
+_SECRET = r"(?=[^\s\"'<>]*[A-Za-z])(?=[^\s\"'<>]*[0-9])[^\s\"'<>]{5,}[^\s\"'<>.,;:!?)\]}]"
+#: After = or : and the name of a password, 12 or more characters are one whatever they are.
+_WORDY = rf"(?i:{_NAMED})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?[^\s\"'<>]{{11,}}[^\s\"'<>.,;:!?)\]}}]"
 #: Tokens that say themselves what they are; the part before the last sign of it stays.
-_PREFIX = r"(?:gh[opsur]_|github_pat_|glpat-|xox[abeoprs]-|[rs]k_(?:live|test)_)"
+_SHORT_PREFIX = r"(?:gh[opsur]_|github_pat_|glpat-|xox[abeoprs]-|[rs]k_(?:live|test)_|sk-(?:[a-z]{2,5}-)?|AIza|ya29\.)"
+_BEARER, _PEM = r"(?i:bearer)\s{1,2}", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+_PREFIX = rf"(?:{_SHORT_PREFIX}|eyJ|{_BEARER}|{_PEM})"
 #: How personal values look. Which of them a match is, and whether it is valid, is decided afterwards.
 SHAPES = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "key": r"(?<![\w])AKIA[0-9A-Z]{16}(?![\w])",
-    "secret": _GIVEN + _SECRET,
-    "token": rf"(?<![\w]){_PREFIX}[A-Za-z0-9_-]{{16,}}",
+    "secret": f"{_GIVEN}{_SECRET}|{_WORDY}",
+    "token": rf"(?<![\w])(?:{_SHORT_PREFIX}[A-Za-z0-9_-]{{16,}}|eyJ[A-Za-z0-9_-]{{6,}}(?:\.[A-Za-z0-9_-]{{6,}}){{1,2}}|{_BEARER}(?!eyJ)(?=[^\s]*[0-9])[A-Za-z0-9._~+/-]{{16,}}=*)|{_PEM}\s[A-Za-z0-9+/=\s]{{16,}}",
     "iban": r"(?<![\w])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w])",
     "phone": r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\w])|(?<![\w(])\([2-9][0-9]{2}\) ?[0-9]{3}[ .-][0-9]{4}(?![\w])"
     r"|(?<![\w.-])[2-9][0-9]{2}([-.])[2-9][0-9]{2}\1[0-9]{4}(?![\w-])",
-    "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-])",
+    "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])",
-    "card": r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|-[0-9])",
+    "card": r"(?<![\w.+-])(?:[0-9](?:[ -]?[0-9]){12,18}(?![\w]|-[0-9])|[0-9]{4}(?:\.[0-9]{4}){3}(?![\w]|[.-][0-9]))",
 }
 _ANY = "|".join(SHAPES.values())
 
@@ -68,8 +73,8 @@ def _mod97(s: Column) -> Column:
 
 
 def _day(s: Column) -> Column:
-    """The date of a match, or null: yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy."""
-    iso = F.when(s.rlike("^[0-9]{4}-"), s).otherwise(F.concat(F.substr(s, F.lit(7), F.lit(4)), F.lit("-"), F.substr(s, F.lit(4), F.lit(2)), F.lit("-"), F.substr(s, F.lit(1), F.lit(2))))
+    """The date of a match, or null: yyyy-mm-dd, yyyy/mm/dd, dd/mm/yyyy or dd.mm.yyyy."""
+    iso = F.when(s.rlike("^[0-9]{4}[-/]"), F.replace(s, F.lit("/"), F.lit("-"))).otherwise(F.concat(F.substr(s, F.lit(7), F.lit(4)), F.lit("-"), F.substr(s, F.lit(4), F.lit(2)), F.lit("-"), F.substr(s, F.lit(1), F.lit(2))))
     day = F.datediff(F.try_to_date(iso, "yyyy-MM-dd"), F.lit("1900-01-01").cast("date"))
     return F.when((day >= 0) & (day < DAYS), day)
 
@@ -86,11 +91,11 @@ def _kind(m: Column) -> Column:
         .when(m.contains("@"), F.lit("email"))
         .when(whole("AKIA[0-9A-Z]{16}"), F.lit("key"))
         .when(whole(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]{8,}") & F.length(plain).between(15, 34) & (_mod97(iban) == 1), F.lit("iban"))
-        .when(whole(r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"), F.when(_day(m).isNotNull(), F.lit("date")))
+        .when(whole(r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"), F.when(_day(m).isNotNull(), F.lit("date")))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(m.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), F.lit("ssn")))
         .when(whole(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), F.when(F.forall(octets, lambda o: o.cast("int") <= 255), F.lit("ip")))
         .when(m.rlike(r"^[+(]") | whole(r"[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}"), F.when(F.length(digits).between(8, 15), F.lit("phone")))
-        .when(whole("[0-9](?:[ -]?[0-9]){12,18}") & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]"), F.lit("card"))
+        .when(whole(r"[0-9](?:[ -]?[0-9]){12,18}|[0-9]{4}(?:\.[0-9]{4}){3}") & (_luhn(digits) % 10 == 0) & digits.rlike("[1-9]"), F.lit("card"))
     )
 
 
@@ -234,7 +239,7 @@ def _written(m: Column, kind: Column, symbols: Column) -> Column:
         .when(kind == "phone", _fill(m, "[0-9]", first))
         .when(kind == "ssn", _fill(m, "[0-9]", social))
         .when(kind == "ip", F.array_join(F.transform(symbols, lambda x: (x["v"] + x["b"]).cast("string")), "."))
-        .when(kind == "date", F.when(m.rlike("^[0-9]{4}-"), F.date_format(day, "yyyy-MM-dd")).when(m.contains("/"), F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy")))
+        .when(kind == "date", F.when(m.rlike("^[0-9]{4}-"), F.date_format(day, "yyyy-MM-dd")).when(m.rlike("^[0-9]{4}/"), F.date_format(day, "yyyy/MM/dd")).when(m.contains("/"), F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy")))
     )
 
 
@@ -324,8 +329,8 @@ def pseudonymised(docs: DataFrame, key: str, column: str = "text", found: str |
     """``docs`` with the personal values of ``column`` replaced; all columns stay, and no row is added or lost.
 
     key: what the permutations depend on; keep it secret. E-mail addresses (the part before the @), phone numbers,
-    payment cards, bank accounts, social security numbers, IPv4 addresses, calendar dates, access keys, and passwords and
-    tokens that are given as such, of any length and characters. Equal values get
+    payment cards, bank accounts, social security numbers, IPv4 addresses, calendar dates, access keys, private keys, web
+    tokens, and passwords and tokens that are given as such, of any length and characters. Equal values get
     equal pseudonyms, whatever separates their digits; a value never becomes one of another format. Texts without valid
     values, null and empty texts are unchanged to the letter. found: the name of a column to add, with an array of
     (kind, pseudonym) of what was replaced, in order (empty for null texts). Empty table: no rows.
@@ -334,7 +339,7 @@ def pseudonymised(docs: DataFrame, key: str, column: str = "text", found: str |
     text = F.col(f"`{column}`").cast("string")
     if not key:
         raise ValueError("a key is needed")
-    seen = text.rlike("[0-9@]")
+    seen = text.rlike(f"[0-9@]|(?i:{_NAMED})")
     gaps, _, written = pseudonyms(text, key)
     whole = docs.withColumn(at, F.when(seen, F.struct(gaps.alias("gaps"), written.alias("hits"))))
     hits = F.col(f"{at}.hits")
