@@ -22,8 +22,8 @@ DAYS, DAY_HIGH, DAY_LOW = 73_049, 271, 270
 #: What says that a secret follows; it is part of the match and stays as it is.
 _NAMED = r"passwords?|passwd|pass[-_ ]?phrase|pwd|secret"
 _GIVEN = rf"(?i:{_NAMED}|(?<![a-z])pw|token|api[_-]?key|access[_-]?key)[\"']?(?:\s{{0,2}}[=:]\s{{0,2}}|\s{{1,2}}is:?\s{{1,2}})[\"']?"
-#: A secret: 6 or more characters up to white space, a quote or an angle bracket, without punctuation at the end, with a letter and a digit.
-_SECRET = r"(?=[^\s\"'<>]*[A-Za-z])(?=[^\s\"'<>]*[0-9])[^\s\"'<>]{5,}[^\s\"'<>.,;:!?)\]}]"
+#: A secret: 7 or more characters up to white space, a quote or an angle bracket, without punctuation at the end, with a letter and a digit.
+_SECRET = r"(?=[^\s\"'<>]*[A-Za-z])(?=[^\s\"'<>]*[0-9])[^\s\"'<>]{6,}[^\s\"'<>.,;:!?)\]}]"
 #: After = or : and the name of a password, 12 or more characters are one whatever they are.
 _WORDY = rf"(?i:{_NAMED})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?[^\s\"'<>]{{11,}}[^\s\"'<>.,;:!?)\]}}]"
 #: Tokens that say themselves what they are; the part before the last sign of it stays.
