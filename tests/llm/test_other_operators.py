@@ -172,6 +172,27 @@ def test_html_template_slots(spark):
     assert all(got[i].startswith("Body") and "\n" not in got[i] for i in range(12)) and got[100].startswith("Same words\nBody")
 
 
+def test_articles_keep_what_they_are_about():
+    """Elements and names inside an article that aren't boilerplate by themselves, and some that are."""
+    page = lambda x: html_text.Page(f"<html><body><nav>menu</nav><article><p>one</p>{x}<p>two</p></article></body></html>").text()
+    kept = ["<math><mi>t</mi></math>", "<label>t</label>", "<svg><text>t</text></svg>", "<fieldset>t</fieldset>", *(f'<div class="{c}">t</div>' for c in ("legal", "side note", "tags", "alert", "share-price", "comment-free", "ad-hoc", "menu-prices")), '<p id="search-algorithms">t</p>']
+    assert [x for x in kept if page(x) != "one\nt\ntwo"] == []
+    gone = ["<form><label>t</label><fieldset>t</fieldset></form>", "<aside>t</aside>", "<footer>t</footer>", "<svg><title>t</title></svg>", *(f'<div class="x {c}">t</div>' for c in ("ad", "related-posts", "cookie-banner", "share-buttons", "site_footer", "Newsletter")), '<div id="comment-12">t</div>']
+    assert [x for x in gone if page(x) != "one\ntwo"] == []
+
+
+def test_a_host_without_names_is_cleaned_by_its_template(spark):
+    """Articles with the same notice in each, under classes that say nothing; what only some pages have stays."""
+    rng = random.Random(2)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    said = words(9)
+    page = lambda i, body: f"<html><body><article><div class=q7><p class=n>{said}</p></div><div class=z><p class=t>{body}</p>{f'<p class=some>more {i}</p>' if i % 3 == 0 else ''}</div></article></body></html>"
+    bodies = [words(15 + i) for i in range(10)]
+    rows = [(i, f"http://names.org/{i}", page(i, b)) for i, b in enumerate(bodies)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: b + (f"\nmore {i}" if i % 3 == 0 else "") for i, b in enumerate(bodies)}
+
+
 def vectors_with_copies(n=300, dims=24, seed=3):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dims))
