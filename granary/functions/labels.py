@@ -86,10 +86,14 @@ class Policy:
         if self.unknown not in ("ignore", "review"):
             raise ValueError(f"unknown labels can be ignored or reviewed, not {self.unknown!r}")
 
+    def normalized(self, label: Column) -> Column:
+        """A label as the policy's lists name it."""
+        name = F.regexp_replace(label, r"^\s+|\s+$", "") if self.trim else label
+        return F.lower(name) if self.lowercase else name
+
     def apply(self, label: Column) -> Column:
         """struct(action, target): map before ignore before review before unknown; a target outside the list is reviewed."""
-        name = F.regexp_replace(label, r"^\s+|\s+$", "") if self.trim else label
-        name = F.lower(name) if self.lowercase else name
+        name = self.normalized(label)
         target = lookup(name, self.mapping)
         known = target.isin(*self.targets)
         action = (

@@ -119,6 +119,15 @@ def orphans(pairs: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame
     return pairs.join(manifest.select(*keys).distinct(), keys, "left_anti")
 
 
+def assert_relative(rows: DataFrame, fields: list[str], order: list[Column | str]) -> None:
+    """Raise, with the first five of them in that order, if any of these fields holds an absolute path. Empty and null ones are fine."""
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("field"), F.trim(F.coalesce(F.col(f).cast("string"), F.lit(""))).alias("path")) for i, f in enumerate(fields)])
+    bad = rows.select(F.struct(*order).alias("at"), F.inline(entries)).where(F.col("path").startswith("/"))
+    first = bad.orderBy("at", "i").select("field", "path").limit(5).collect()
+    if first:
+        raise ValueError(f"paths must be relative: {', '.join(f'{r.field}={r.path}' for r in first)}")
+
+
 def existing(rows: DataFrame, files: DataFrame, path: str) -> DataFrame:
     """The rows whose file a listing (path) has: relative paths of images only."""
     good = paths.is_relative(F.trim(path)) & paths.is_image(F.trim(path))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import boxes, hashing, numbers, paths, policy
-from granary.functions.labels import Labelling
-from granary.operators import accounting, actions, dedup, qc, reconcile, review, split, validation
+from granary.functions.labels import Labelling, Policy
+from granary.operators import accounting, actions, dedup, manifest, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
+from granary.sources import sinks, tables
 
 
 @dataclass(frozen=True)
@@ -282,6 +283,40 @@ def merged_datasets(base: DataFrame, incoming: DataFrame, base_names: list[str],
     return {"rows": rows, "plan": copies("path", F.col("unique_name")).union(copies("label_path", paths.label_path(F.col("unique_name"))))}
 
 
+def mapped_categories(images: DataFrame, annotations: DataFrame, categories: DataFrame, mapping: Policy, supercategory: str = "") -> dict[str, DataFrame]:
+    """The tables of an annotated dataset (as ``tables.read_coco`` gives them) with the categories of a mapping policy.
+
+    Returns ``images`` that keep an annotation; ``annotations`` that are mapped, with the new category_id; ``categories``,
+    the targets numbered from 1; and ``counts`` (kind, label, n) of annotations by source label, target, and labels that
+    are ignored and to be reviewed. An annotation whose category isn't listed has the empty label.
+    """
+    names = categories.select(F.col("id").alias("category_id"), mapping.normalized(F.col("name")).alias("label"))
+    named = annotations.join(names, "category_id", "left").withColumn("label", F.coalesce("label", F.lit("")))
+    decided = named.withColumn("x", mapping.apply(F.col("label"))).select(*annotations.columns, "label", "x.action", "x.target")
+    ids = F.create_map(*[F.lit(x) for pair in zip(mapping.targets, range(1, len(mapping.targets) + 1), strict=True) for x in pair])
+    kept = decided.where("action = 'map'").withColumn("category_id", ids[F.col("target")].cast(annotations.schema["category_id"].dataType))
+    counted = lambda kind, rows, label: rows.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "label", "n")
+    counts = counted("source", decided, "label").union(counted("target", kept, "target"))
+    for action in ("ignore", "review"):
+        counts = counts.union(counted(action, decided.where(F.col("action") == action), "label"))
+    new = images.sparkSession.createDataFrame([(i, n, supercategory) for i, n in enumerate(mapping.targets, 1)], "id long, name string, supercategory string")
+    return {"images": manifest.kept_images(images, decided), "annotations": kept.select(*annotations.columns), "categories": new, "counts": counts}
+
+
+def map_document(spark: SparkSession, document: str, out: str, mapping: Policy, supercategory: str = "") -> dict:
+    """Map a COCO document, write the new one, and return the report: numbers of images and annotations, and counts of labels.
+
+    The document is read in splits; the report holds a row for each label.
+    """
+    images, annotations, categories = tables.read_coco(spark, document)
+    new = mapped_categories(images, annotations, categories, mapping, supercategory)
+    sinks.write_document({k: new[k] for k in ("images", "annotations", "categories")}, out)
+    by_kind = sinks.nested(new["counts"].groupBy("kind", "label").agg(F.sum("n").alias("n")), "kind", "label")
+    report = {"input_file": document, "output_file": out, "unknown_action": mapping.unknown, "input_images": images.count(), "input_annotations": annotations.count()}
+    report |= {"output_images": new["images"].count(), "output_annotations": new["annotations"].count()}
+    return report | {f"{name}_label_counts": by_kind.get(kind, {}) for name, kind in (("source", "source"), ("target", "target"), ("ignored", "ignore"), ("review", "review"))}
+
+
 def baseline_report(train: DataFrame, test: DataFrame, side: int = 48, rounds: int = 2000) -> dict[str, DataFrame]:
     """The baseline classifier, fitted on train and asked about test, both (image, label): its ``classes``, ``overall`` figures,
     ``confusion`` and ``worst`` confusions."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.paths import SPLITS
 from granary.lineage import shared_folder
+from granary.operators import ranks
 from granary.sources import transactions
 
 
@@ -44,6 +45,25 @@ def write_json(report: dict, path: str, sort_keys: bool = False) -> None:
     Path(path).write_text(json.dumps(report, indent=2, ensure_ascii=False, sort_keys=sort_keys), encoding="utf-8")
 
 
+def write_document(tables: dict[str, DataFrame], folder: str, info: dict | None = None) -> None:
+    """One JSON document with an array for each table, besides info and licenses, as the only part of a folder of text.
+
+    A line is an element. One task writes it, as it is one file, but holds a line at a time; rows are sorted by their text.
+    """
+    ends = [(0, 0, '{"info": ' + json.dumps(info or {}, ensure_ascii=False) + ', "licenses": []')]
+    lines = None
+    for i, (name, rows) in enumerate(tables.items(), 1):
+        ends += [(i, 0, f', {json.dumps(name)}: ['), (i, 2, "]")]
+        whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]) if rows.columns else F.struct(F.lit(0))
+        own = rows.select(F.lit(i).alias("table"), F.lit(1).alias("place"), F.to_json(whole).alias("value"))
+        lines = own if lines is None else lines.union(own)
+    marks = lines.sparkSession.createDataFrame([*ends, (len(tables) + 1, 0, "}")], "table int, place int, value string")
+    # All but a table's first row have a comma before them.
+    lines = ranks.numbered(lines, ["table"], ["value"], "k").withColumn("value", F.when(F.col("k") > 1, F.concat(F.lit(","), "value")).otherwise(F.col("value")))
+    every = lines.select("table", "place", "k", "value").union(marks.select("table", "place", F.lit(0).cast("long"), "value"))
+    every.orderBy("table", "place", "k").coalesce(1).select("value").write.text(folder)
+
+
 def counts(rows: DataFrame, *keys: str, by: str = "::", most: int = 100_000) -> dict[str, int]:
     """An aggregated table (keys, n) of at most ``most`` rows as an object of sorted names; more are an error."""
     found = rows.limit(most + 1).collect()
