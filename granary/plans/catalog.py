@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import boxes as fb
 from granary.functions import hashing, labels, numbers, paths, pixels, policy
-from granary.operators import accounting, actions, dedup, manifest, metrics, qc, reconcile, review, split, validation
+from granary.operators import accounting, actions, dedup, learning, manifest, metrics, qc, reconcile, review, split, validation
 from granary.operators import boxes as ob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -975,6 +975,14 @@ def mean_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.transform("embedding", lambda x: F.floor(x * 100))
     return _read(spark, sf_dir, "embeddings").select("vec_id", hashing.mean_hash(cells).alias("hash"))
 
+@query()
+def stochastic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class that stochastic steps on four fifths of the vectors say of all of them."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"), F.col("label").cast("string").alias("label"))
+    model = learning.train_stochastic(rows.where("vec_id % 5 <> 0"), "vec_id", epochs=5)
+    return learning.predicted_linear(model, rows).select("vec_id", "label", "predicted")
+
+
 _GREY = "(floor(x::double * 1000)::bigint % 256 + 256) % 256"
 
 
