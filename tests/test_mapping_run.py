@@ -16,12 +16,12 @@ def test_mapping_a_document(spark, tmp_path):
     whole = {"info": {"year": 2024}, "images": [{"id": i, "file_name": f"{i}.jpg"} for i in range(10)], "annotations": annotations, "categories": categories}
     (tmp_path / "in.json").write_text(json.dumps(whole))
     policy = Policy(targets=("phone", "laptop"), mapping={"phone": "phone", "laptop": "laptop", "lost": "no target"}, ignore=("cable",), review=("blurry",), unknown="review")
-    report = pipelines.map_document(spark, str(tmp_path / "in.json"), str(tmp_path / "out"), policy, "gadget")
+    report = pipelines.map_document(spark, str(tmp_path / "in.json"), str(tmp_path / "out"), policy, "thing")
     (part,) = Path(tmp_path / "out").glob("part-*")
     new = json.loads(part.read_text())
     kept = [a | {"category_id": {0: 1, 1: 2}[a["category_id"]]} for a in annotations if a["category_id"] in (0, 1)]
     assert sorted(new["annotations"], key=lambda a: a["id"]) == kept and sorted(x["id"] for x in new["images"]) == sorted({a["image_id"] for a in kept})
-    assert new["categories"] == [{"id": 1, "name": "phone", "supercategory": "gadget"}, {"id": 2, "name": "laptop", "supercategory": "gadget"}]
+    assert new["categories"] == [{"id": 1, "name": "phone", "supercategory": "thing"}, {"id": 2, "name": "laptop", "supercategory": "thing"}]
     names = {0: "phone", 1: "laptop", 2: "cable", 3: "blurry", 4: "odd", 5: "lost", 77: ""}
     count = lambda keep: {n: sum(names[a["category_id"]] == n for a in annotations) for n in sorted(names.values()) if keep(n)}
     assert report["source_label_counts"] == count(lambda n: True) and report["target_label_counts"] == count(lambda n: n in ("phone", "laptop"))
