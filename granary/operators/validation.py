@@ -108,14 +108,14 @@ def roundtrip(images: DataFrame, labels: DataFrame, manifest: DataFrame, rows_sh
 def label_overlaps(rows: DataFrame, coverage: float = 0.90) -> DataFrame:
     """(path, a, b, a_covered, b_covered, smaller_covered): pairs of boxes of one file of which one covers most of the other.
 
-    rows: (path, at, xc, yc, w, h). a and b are numbers among the file's boxes, a < b; shares are rounded to six places.
-    Coordinates that are no numbers cover nothing.
+    rows: (path, at, xc, yc, w, h). a and b are numbers among the file's boxes, a < b; shares are whole millionths: of
+    the binary product with a million, halves rounded up. Coordinates that are no numbers cover nothing.
     """
     box = ("xc", "yc", "w", "h")
     numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1)
     measures = boxes.covered({c: F.col(f"a.{c}") for c in box}, {c: F.col(f"b.{c}") for c in box})
     pairs = meeting(numbered, ["path"], "n").withColumns(measures).where((F.col("shared") > 0) & (F.greatest("a_covered", "b_covered", "smaller_covered") >= coverage))
-    return pairs.select("path", F.col("a.key").alias("a"), F.col("b.key").alias("b"), *[F.round(c, 6).alias(c) for c in ("a_covered", "b_covered", "smaller_covered")])
+    return pairs.select("path", F.col("a.key").alias("a"), F.col("b.key").alias("b"), *[(F.round(F.col(c) * 1_000_000) / 1_000_000).alias(c) for c in ("a_covered", "b_covered", "smaller_covered")])
 
 
 def capped(rows: DataFrame, order: list[str], most: int) -> DataFrame:

@@ -124,3 +124,10 @@ def test_running_numbers_and_names_of_one_key(spark):
     assert got.where("index <> id + 18").count() == 0
     names = reconcile.unique_names(rows, "name", [F.col("id")]).orderBy("id").limit(3).collect()
     assert [r["unique_name"] for r in names] == ["a.jpg", "a__2.jpg", "a__3.jpg"]
+
+
+def test_shares_of_overlaps_are_rounded_as_in_sql(spark):
+    """A share of 0.85006249999999990 is 850,063 millionths: SQL multiplies before it rounds."""
+    found = [("f", 0, 0.44, 0.43000000000000005, 0.5, 0.48), ("f", 1, 0.48, 0.42400000000000004, 0.45, 0.47)]
+    got = validation.label_overlaps(spark.createDataFrame(found, "path string, at int, xc double, yc double, w double, h double")).collect()
+    assert [round(r["a_covered"] * 1_000_000) for r in got] == [850063]
