@@ -99,7 +99,8 @@ def similar_pairs(hashes: DataFrame, id_column: str, hash_column: str, prefix: i
 
     Multi-index hashing: what follows the prefix is cut into ``bands``. Each row stands under its key in each band, and is
     looked up under all keys within the band's radius, so that rows that can't be near in any band never meet, whatever
-    the number of bits. A pair counts in the first band that it agrees in, so none is found twice. Texts that aren't 16
+    the number of bits. A pair counts in the first band that it agrees in, so none is found twice. Spark guesses sizes
+    from before rows are multiplied, so joins are told not to send a side to the driver for all. Texts that aren't 16
     hexadecimal digits are near to equal ones only; null hashes and ids are near to nothing.
     """
     bits = 64 - 4 * prefix
@@ -107,7 +108,7 @@ def similar_pairs(hashes: DataFrame, id_column: str, hash_column: str, prefix: i
     own = hashes.select(F.col(id_column).alias("a"), F.col(hash_column).alias("ha"), F.substr(F.col(hash_column), F.lit(1), F.lit(prefix)).alias("bucket"))
     shaped = F.col("ha").rlike("^[0-9a-fA-F]{16}$") & F.lit(bits > 0)
     odd = own.where(~shaped)
-    same = odd.join(odd.select(F.col("a").alias("b"), "ha"), "ha").where("a < b").select("a", "b", F.lit(0).alias("distance"))
+    same = odd.join(odd.select(F.col("a").alias("b"), "ha").hint("merge"), "ha").where("a < b").select("a", "b", F.lit(0).alias("distance"))
     text = hashing.bits_of(F.substr(F.col("ha"), F.lit(prefix + 1), F.lit(16)))
     own = own.where(shaped).withColumn("bits", text)
     own = own.withColumn("ka", F.array(*[F.conv(F.substr("bits", F.lit(s + 1), F.lit(w)), 2, 10).cast("long") for s, w, _ in plan])).drop("bits")
@@ -118,7 +119,7 @@ def similar_pairs(hashes: DataFrame, id_column: str, hash_column: str, prefix: i
 
     probes = F.array(*[keys(i, w, r) for i, (_, w, r) in enumerate(plan)])
     looked_up = own.select("a", "ha", "ka", "bucket", F.posexplode(probes).alias("band", "keys")).select("a", "ha", "ka", "bucket", "band", F.explode("keys").alias("key"))
-    met = looked_up.join(stored, ["bucket", "band", "key"]).where("a < b")
+    met = looked_up.join(stored.hint("merge"), ["bucket", "band", "key"]).where("a < b")
     before = F.lit(False)
     for i, (_, _, r) in enumerate(plan):
         agrees = F.bit_count(F.get("ka", F.lit(i)).bitwiseXOR(F.get("kb", F.lit(i)))) <= r
@@ -146,12 +147,12 @@ def leaders(hashes: DataFrame, id_column: str, hash_column: str, prefix: int = 4
     edges = cut(similar_pairs(first, "row", "hash", prefix, at_most).select("a", "b"))
     left, follows = edges, edges.select(F.col("b").alias("row")).limit(0)
     while not left.isEmpty():
-        leads = left.select("a").distinct().join(left.select(F.col("b").alias("a")), "a", "left_anti")
-        lost = cut(left.join(leads, "a", "left_semi").select("b").distinct())
+        leads = left.select("a").distinct().join(left.select(F.col("b").alias("a")).hint("merge"), "a", "left_anti")
+        lost = cut(left.join(leads.hint("merge"), "a", "left_semi").select("b").distinct())
         follows = follows.union(lost.withColumnRenamed("b", "row"))
-        settled = left.join(leads, "a", "left_anti").join(lost, "b", "left_anti")
-        left = cut(settled.join(lost.withColumnRenamed("b", "a"), "a", "left_anti").select("a", "b"))
-    led = edges.join(follows.withColumnRenamed("row", "a"), "a", "left_anti").groupBy(F.col("b").alias("row")).agg(F.min("a").alias("leader"))
+        settled = left.join(leads.hint("merge"), "a", "left_anti").join(lost.hint("merge"), "b", "left_anti")
+        left = cut(settled.join(lost.withColumnRenamed("b", "a").hint("merge"), "a", "left_anti").select("a", "b"))
+    led = edges.join(follows.withColumnRenamed("row", "a").hint("merge"), "a", "left_anti").groupBy(F.col("b").alias("row")).agg(F.min("a").alias("leader"))
     # A row that leads has no leader among its earlier neighbours.
-    groups = first.join(led, "row", "left").select("hash", F.concat(F.lit("near_"), F.substr(F.coalesce("leader.hash", "hash"), F.lit(1), F.lit(12))).alias("group_id"))
-    return rows.join(groups, "hash").select("id", "group_id")
+    groups = first.join(led.hint("merge"), "row", "left").select("hash", F.concat(F.lit("near_"), F.substr(F.coalesce("leader.hash", "hash"), F.lit(1), F.lit(12))).alias("group_id"))
+    return rows.join(groups.hint("merge"), "hash").select("id", "group_id")

@@ -91,3 +91,10 @@ def test_one_bucket_of_many_rows(spark):
     assert sizes["near_abcd00000000"] == 100_000 and 33_000 < len(sizes) <= 33_400
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark):
+    """Rows are multiplied before they meet, which Spark's guess of their size doesn't see: it sent all keys of all rows to the driver."""
+    hashes = spark.range(300).select("id", F.substr(F.md5(F.col("id").cast("string").cast("binary")), F.lit(1), F.lit(16)).alias("hash"))
+    for found in (dedup.similar_pairs(hashes, "id", "hash", 2, 24), dedup.leaders(hashes, "id", "hash", 2, 24)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
