@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: A decimal literal; Spark's cast alone also takes type suffixes and hexadecimal floats.
-DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-NON_FINITE = r"(?i)^[+-]?(inf|infinity|nan)$"
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NON_FINITE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
+
+
+def named(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)``, where x is worked out once, however often f names it. Inside lambdas Spark works each mention out anew."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def to_number(text: Column) -> Column:
     """A decimal literal, infinity or not-a-number as double; null for any other text."""
-    t = F.regexp_replace(text, r"^\s+|\s+$", "")
-    odd = F.regexp_replace(F.lower(t), r"^[+-]", "")
-    special = F.when(odd == "nan", F.lit(float("nan"))).when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(t.rlike(DECIMAL), t.try_cast("double")).when(t.rlike(NON_FINITE), special)
+    special = F.when(F.lower(text).contains("nan"), F.lit(float("nan"))).when(text.contains("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double")).when(text.rlike(NON_FINITE), special)
 
 
 def finite(text: Column) -> Column:
     """``to_number``, null also for infinity and not-a-number."""
-    x = to_number(text)
-    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+    return named(F.when(text.rlike(DECIMAL), text.try_cast("double")), lambda x: F.when(F.abs(x) != float("inf"), x))
 
 
 def number_or_zero(text: Column) -> Column:
@@ -35,8 +39,7 @@ def whole_or_zero(text: Column) -> Column:
 
 def truncated_class(text: Column) -> Column:
     """A class id that may be written as a decimal: cut towards zero."""
-    x = finite(text)
-    return F.when(F.abs(x) < 2**31, x.cast("int"))
+    return named(finite(text), lambda x: F.when(F.abs(x) < 2**31, x.cast("int")))
 
 
 def strict_class(text: Column) -> Column:
@@ -46,8 +49,7 @@ def strict_class(text: Column) -> Column:
 
 def integral_class(text: Column, tolerance: float = 1e-9) -> Column:
     """A class id that may be written as a decimal, but must be whole."""
-    x = finite(text)
-    return F.when((F.abs(x - F.rint(x)) <= tolerance) & (F.abs(x) < 2**31), F.rint(x).cast("int"))
+    return named(finite(text), lambda x: F.when((F.abs(x - F.rint(x)) <= tolerance) & (F.abs(x) < 2**31), F.rint(x).cast("int")))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -150,3 +150,18 @@ def test_tables_and_files(spark, tmp_path):
     assert [r["status"] for r in sinks.apply_plan(plan, dry_run=False).collect()] == ["ok", "missing_source"] and (tmp_path / "n/b.csv").exists()
     os.makedirs(tmp_path / "old")
     assert sinks.rename_folders([(str(tmp_path / "old"), str(tmp_path / "new")), (str(tmp_path / "p"), str(tmp_path / "q"))], False) == [(str(tmp_path / "old"), str(tmp_path / "new"), "planned"), (str(tmp_path / "p"), str(tmp_path / "q"), "missing")]
+
+
+def worked_out(spark, column, what):
+    plan = spark.createDataFrame([], "line string").select(column.alias("x"))._jdf.queryExecution().analyzed().toString()
+    return plan.count(what)
+
+
+def test_a_token_is_read_once(spark):
+    """Inside lambdas each mention of an expression is worked out anew: a class id was matched sixteen times."""
+    assert worked_out(spark, numbers.truncated_class(F.col("line")), "RLIKE") + worked_out(spark, numbers.truncated_class(F.col("line")), "regexp_replace") <= 1
+    assert worked_out(spark, numbers.integral_class(F.col("line")), "RLIKE") <= 1
+    texts = [(" 1.5\t", 1.5), ("1e400", None), ("inf", None), (" -NaN ", None), ("1d", None), ("0x1p3", None), ("", None), (".5", 0.5), ("5.", 5.0), (None, None), ("1 2", None)]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, line string").select("i", numbers.finite(F.col("line")).alias("x"), numbers.to_number(F.col("line")).alias("y")).orderBy("i").collect()
+    assert [r["x"] for r in rows] == [x for _, x in texts]
+    assert rows[1]["y"] == rows[2]["y"] == float("inf") and rows[3]["y"] != rows[3]["y"] and [r["y"] for r in rows[4:7]] == [None] * 3
