@@ -28,7 +28,10 @@ def is_seed(line: Column) -> Column:
 
 def classify(line: Column) -> Column:
     """empty, box (5 finite numbers), polygon (a class and 3 or more points) or malformed."""
-    t = tokens(line)
+    return numbers.named(tokens(line), _kind)
+
+
+def _kind(t: Column) -> Column:
     good = F.forall(t, lambda x: numbers.finite(x).isNotNull())
     return (
         F.when(F.size(t) == 0, F.lit("empty"))
@@ -41,26 +44,33 @@ def classify(line: Column) -> Column:
 
 def parsed(line: Column) -> Column:
     """struct(class_id, xc, yc, w, h) of a line of five numbers, all four within [0, 1]; else null."""
-    t = tokens(line)
-    at = lambda i: numbers.finite(F.get(t, F.lit(i)))
-    class_id = numbers.truncated_class(F.get(t, F.lit(0)))
-    valid = (F.size(t) == 5) & class_id.isNotNull()
-    for i in range(1, 5):
-        valid = valid & F.coalesce(at(i).between(0, 1), F.lit(False))
-    return F.when(valid, F.struct(class_id.alias("class_id"), at(1).alias("xc"), at(2).alias("yc"), at(3).alias("w"), at(4).alias("h")))
+
+    def box(t: Column, class_id: Column) -> Column:
+        inside = lambda x: F.coalesce(x.between(0, 1), F.lit(False))
+        made = lambda v: F.struct(class_id.alias("class_id"), *[F.get(v, F.lit(i)).alias(c) for i, c in enumerate(("xc", "yc", "w", "h"))])
+        return numbers.named(F.transform(F.slice(t, 2, 4), numbers.finite), lambda v: F.when(class_id.isNotNull() & F.forall(v, inside), made(v)))
+
+    read = lambda t: numbers.named(numbers.truncated_class(F.get(t, F.lit(0))), lambda class_id: box(t, class_id))
+    return numbers.named(tokens(line), lambda t: F.when(F.size(t) == 5, read(t)))
 
 
 def polygon_box(line: Column) -> Column:
     """struct(class_id, xc, yc, w, h): the tight box of a polygon's points, cut to [0, 1]; null if nothing is left of it."""
-    t = tokens(line)
-    class_id = numbers.integral_class(F.get(t, F.lit(0)))
-    points = F.transform(F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0))), lambda x: numbers.finite(x))
+    return numbers.named(tokens(line), lambda t: F.when(_kind(t) == "polygon", _tight(t)))
+
+
+def _tight(t: Column) -> Column:
     cut = lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
-    axis = lambda k, f: cut(f(F.filter(points, lambda _, i: i % 2 == k)))
-    x0, x1, y0, y1 = axis(0, F.array_min), axis(0, F.array_max), axis(1, F.array_min), axis(1, F.array_max)
-    box = F.struct(class_id.alias("class_id"), ((x0 + x1) / 2).alias("xc"), ((y0 + y1) / 2).alias("yc"), (x1 - x0).alias("w"), (y1 - y0).alias("h"))
-    good = (classify(line) == "polygon") & class_id.isNotNull() & (x1 - x0 > 0) & (y1 - y0 > 0)
-    return F.when(good, box)
+
+    def box(at: Column) -> Column:
+        axis = lambda k, f: cut(f(F.filter(at["points"], lambda _, i: i % 2 == k)))
+        ends = F.struct(axis(0, F.array_min).alias("x0"), axis(0, F.array_max).alias("x1"), axis(1, F.array_min).alias("y0"), axis(1, F.array_max).alias("y1"))
+        return numbers.named(ends, lambda e: F.when(at["class_id"].isNotNull() & (e["x1"] - e["x0"] > 0) & (e["y1"] - e["y0"] > 0), F.struct(
+            at["class_id"].alias("class_id"), ((e["x0"] + e["x1"]) / 2).alias("xc"), ((e["y0"] + e["y1"]) / 2).alias("yc"), (e["x1"] - e["x0"]).alias("w"), (e["y1"] - e["y0"]).alias("h"),
+        )))
+
+    points = F.transform(F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0))), lambda x: numbers.finite(x))
+    return numbers.named(F.struct(numbers.integral_class(F.get(t, F.lit(0))).alias("class_id"), points.alias("points")), box)
 
 
 def corners(xc: Column, yc: Column, w: Column, h: Column) -> dict[str, Column]:

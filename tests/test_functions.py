@@ -165,3 +165,20 @@ def test_a_token_is_read_once(spark):
     rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, line string").select("i", numbers.finite(F.col("line")).alias("x"), numbers.to_number(F.col("line")).alias("y")).orderBy("i").collect()
     assert [r["x"] for r in rows] == [x for _, x in texts]
     assert rows[1]["y"] == rows[2]["y"] == float("inf") and rows[3]["y"] != rows[3]["y"] and [r["y"] for r in rows[4:7]] == [None] * 3
+
+
+def test_a_line_is_cut_once(spark):
+    """A line was cut into tokens again at each mention of one, up to a hundred times."""
+    for read in (boxes.parsed, boxes.polygon_box, boxes.classify):
+        assert worked_out(spark, read(F.col("line")), "split(") == 1
+
+
+def test_boxes_are_not_worked_out_for_a_filter(spark):
+    """Spark infers of a plain explode that its array isn't empty, and works the array out once more to know."""
+    from granary.operators import boxes as ob
+
+    found = spark.createDataFrame([], "md5 string, source_id string, path string, content string")
+    rows = spark.createDataFrame([], "image string, id int, xc double, yc double, w double, h double")
+    for plan in (ob.review_rows(found), ob.meeting(rows, ["image"], "id")):
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in text.splitlines() if "Filter" in x and "transform(" in x]
