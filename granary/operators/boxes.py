@@ -167,7 +167,8 @@ def review_rows(files: DataFrame) -> DataFrame:
     none = F.coalesce(F.size("found"), F.lit(0)) <= 0
     made = F.when(F.col("content").isNull(), F.lit("synthetic_missing_label")).otherwise("synthetic_full_image")
     rows = files.withColumns({"status": status, "box_source": F.when(none, made).otherwise("label"), "found": F.when(none, F.array(full)).otherwise(F.col("found"))})
-    rows = rows.select("md5", "source_id", "path", "status", "box_source", F.posexplode("found").alias("box_index", "box"))
+    # Never empty; of the plainer function Spark infers a filter that works out the boxes once more.
+    rows = rows.select("md5", "source_id", "path", "status", "box_source", F.posexplode_outer("found").alias("box_index", "box"))
     identity = F.concat_ws("__", "md5", "source_id", F.concat(F.lit("box"), F.lpad(F.col("box_index").cast("string"), 4, "0")))
     return rows.select("md5", "source_id", "path", "status", "box_source", "box_index", identity.alias("review_box_id"), "box.*")
 
