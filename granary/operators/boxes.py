@@ -40,8 +40,10 @@ def meeting(rows: DataFrame, group: list[str], key: str) -> DataFrame:
         along = lambda lo, hi: F.when(on == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array_distinct(F.array(F.floor(F.col(lo) * scale), F.floor(F.col(hi) * scale))))
         return F.flatten(F.transform(along("at.x0", "at.x1"), lambda x: F.transform(along("at.y0", "at.y1"), lambda y: F.struct(on.cast("int").alias("level"), x.alias("x"), y.alias("y")))))
 
-    home = own.select(*group, F.col("box").alias("h"), F.col("at").alias("h_at"), F.explode(cells(F.col("level"))).alias("cell"))
-    looks = own.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("box").alias("p"), F.col("at").alias("p_at"), F.col("level").alias("p_level"), F.explode(F.flatten(F.transform(F.sequence(F.lit(0), "level"), cells))).alias("p_cell"))
+    # Most boxes of photographs are large, and on level 0 there is one cell. Cells are never empty; of the plainer function Spark infers a filter that works them out once more.
+    whole = F.array(F.struct(F.lit(0).alias("level"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y")))
+    home = own.select(*group, F.col("box").alias("h"), F.col("at").alias("h_at"), F.explode_outer(F.when(F.col("level") == 0, whole).otherwise(cells(F.col("level")))).alias("cell"))
+    looks = own.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("box").alias("p"), F.col("at").alias("p_at"), F.col("level").alias("p_level"), F.explode_outer(F.when(F.col("level") == 0, whole).otherwise(F.flatten(F.transform(F.sequence(F.lit(0), "level"), cells)))).alias("p_cell"))
     same = F.col("cell") == F.col("p_cell")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
