@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.labels import Policy
 from granary.functions.paths import path_order
+from granary.operators.ranks import dealt
 
 
 def digest(files: DataFrame) -> DataFrame:
@@ -39,9 +40,10 @@ def streamed_digest(files: DataFrame) -> str:
 def mapped_annotations(annotations: DataFrame, categories: DataFrame, policy: Policy) -> DataFrame:
     """annotations (category_id, ...) with what the policy says of their category's name: ``action`` and ``target``."""
     decided = categories.select(F.col("id").alias("category_id"), policy.apply(F.col("name")).alias("x"))
-    return annotations.join(decided, "category_id", "left").select(*annotations.columns, F.coalesce("x.action", F.lit(policy.unknown)).alias("action"), F.col("x.target").alias("target"))
+    # A row a class goes to all tasks: dealt by category, all annotations of one would be sorted by one task.
+    return annotations.join(F.broadcast(decided), "category_id", "left").select(*annotations.columns, F.coalesce("x.action", F.lit(policy.unknown)).alias("action"), F.col("x.target").alias("target"))
 
 
 def kept_images(images: DataFrame, annotations: DataFrame) -> DataFrame:
     """Images with at least one mapped annotation."""
-    return images.join(annotations.where("action = 'map'").select(F.col("image_id").alias("id")).distinct(), "id", "left_semi")
+    return dealt(images, "id").join(dealt(annotations.where("action = 'map'").select(F.col("image_id").alias("id")), "id"), "id", "left_semi")

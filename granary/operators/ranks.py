@@ -1,4 +1,4 @@
-"""Row numbers inside groups of any size and in any order."""
+"""Row numbers inside groups of any size and in any order, and rows dealt by key."""
 
 from __future__ import annotations
 
@@ -27,3 +27,12 @@ def numbered(rows: DataFrame, groups: list[str], order: list[Column | str], out:
     for i, k in enumerate(inside):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     return own.join(starts, same).withColumn(out, F.col("__before") + F.col("__in")).drop("__range", "__in", "__before", *[f"__k{i}" for i in range(len(inside))])
+
+
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """rows by their key, in all of the session's shuffle partitions.
+
+    Keys alone compress so well that Spark, which goes by compressed bytes, would put many partitions into one task,
+    which then sorts and holds all of their rows.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

@@ -131,3 +131,19 @@ def test_shares_of_overlaps_are_rounded_as_in_sql(spark):
     found = [("f", 0, 0.44, 0.43000000000000005, 0.5, 0.48), ("f", 1, 0.48, 0.42400000000000004, 0.45, 0.47)]
     got = validation.label_overlaps(spark.createDataFrame(found, "path string, at int, xc double, yc double, w double, h double")).collect()
     assert [round(r["a_covered"] * 1_000_000) for r in got] == [850063]
+
+
+def test_keys_are_dealt_over_all_partitions(spark):
+    """Bare keys compress so well that Spark put most of them into one task; and annotations of a class met in one."""
+    from granary.functions import labels
+    from granary.operators import manifest
+
+    plan = lambda found: found._jdf.queryExecution().executedPlan().toString()
+    keys = spark.createDataFrame([(1,), (1,), (2,), (None,)], "key long")
+    found = reconcile.sides(keys, spark.createDataFrame([(2,), (3,)], "key long"), "key")
+    assert plan(found).count("REPARTITION_BY_NUM") == 4 and "ENSURE_REQUIREMENTS" not in plan(found)
+    assert sorted(map(tuple, found.collect()), key=repr) == [(1, "images_without_labels"), (3, "labels_without_images"), (None, "images_without_labels")]
+    annotations, categories = spark.createDataFrame([(5, 1), (5, 1), (6, 2), (7, 9)], "image_id long, category_id int"), spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    mapped = manifest.mapped_annotations(annotations, categories, labels.Policy(targets=("a",), mapping={"a": "a"}))
+    assert "BroadcastHashJoin" in plan(mapped) and "Exchange hashpartitioning" not in plan(mapped)
+    assert manifest.kept_images(spark.createDataFrame([(5,), (6,), (7,)], "id long"), mapped).collect() == [(5,)]
