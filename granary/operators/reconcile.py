@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import paths
-from granary.operators.ranks import numbered
+from granary.operators.ranks import dealt, numbered
 
 
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """The keys of left that right lacks."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    return dealt(left.select(key), key).distinct().join(dealt(right.select(key), key), key, "left_anti")
 
 
 def sides(images: DataFrame, labels: DataFrame, key: str) -> DataFrame:
