@@ -234,6 +234,52 @@ def test_near_repeats_beside_texts_that_share_a_part(spark, sharers, least):
     assert both >= least
 
 
+@pytest.mark.parametrize("block", [512, 5])
+def test_near_repeats_beside_any_number_of_texts(spark, monkeypatch, block):
+    """As above, beside twenty texts that share a part; also where keys are dealt in blocks of few texts."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rng = random.Random(1)
+    text = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    rows, where = [], {}
+    for g in range(60):
+        passage = text(60)
+        edited = list(passage)
+        edited[rng.randrange(60)] = text(1)[0]
+        for k, p in enumerate((passage, edited)):
+            before = text(rng.randint(20, 80))
+            rows.append((1000 * g + 400 + k, " ".join([*before, *p, *text(rng.randint(20, 80))])))
+            where[1000 * g + 400 + k] = (len(before), len(before) + 60)
+        for k in range(20):
+            rows.append((1000 * g + k + 900 * (k % 2), " ".join([*text(40), *(passage[:47] if k % 2 else passage[-47:]), *text(40)])))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hit = {r["doc_id"] for r in got if r["doc_id"] in where and min(r["end_word"], where[r["doc_id"]][1]) - max(r["start_word"], where[r["doc_id"]][0]) >= 40}
+    both = sum({1000 * g + 400, 1000 * g + 401} <= hit for g in range(60))
+    print("pairs found", both, "of 60")
+    assert both >= 58
+
+
+def test_couples_are_all_overlapping_windows():
+    """Held against all pairs of windows; what is left out lies in another couple of the same keys, distance and bits."""
+    rng = np.random.default_rng(6)
+    n, least = 300, 8
+    doc, c, f, opened = np.sort(rng.integers(0, 4, n)), rng.integers(100, 180, n), rng.integers(0, 4, n), rng.integers(0, 2, n)
+    before, after = rng.integers(0, 20, n), rng.integers(0, 20, n)
+    key, at = (rng.integers(0, 5, n) << 2) | f, (f << 61) | (c << 32) | (before << 16) | after
+    got = defaultdict(set)
+    for couple, d, distance, low, high, bits in zip(*(x.tolist() for x in substring_dedup.couples_of(doc, key, at, opened, least)), strict=True):
+        got[couple, d, distance, bits].add((low, high))
+    want = defaultdict(set)
+    for a in range(n):
+        for b in range(n):
+            low, high = max(c[a] - before[a], c[b] - before[b]), min(c[a] + after[a], c[b] + after[b])
+            if doc[a] == doc[b] and f[a] < f[b] and high - low + 1 >= least and low <= min(c[a], c[b]) and max(c[a], c[b]) <= high:
+                couple = int(common.mix(common.mix(key[a : a + 1].view(np.uint64)) ^ key[b : b + 1].view(np.uint64)).view(np.int64)[0])
+                want[couple, doc[a], c[b] - c[a], opened[a] + 2 * opened[b]].add((low, high))
+    assert set(got) == set(want)
+    for k, spans in want.items():
+        assert got[k] <= spans and all(any(low <= x[0] and x[1] <= high for low, high in got[k]) for x in spans)
+
+
 def test_spans_of_many_groups_are_merged():
     rng = np.random.default_rng(1)
     group, low = np.sort(rng.integers(0, 40, 500)), rng.integers(0, 300, 500)
