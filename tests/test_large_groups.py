@@ -1,12 +1,14 @@
 """Groups that hold most or all rows: ranks by ranges, boxes by grids, against plain versions."""
 
+import hashlib
 import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from granary.operators import boxes, dedup, ranks, reconcile, validation
+from granary.functions import sha256
+from granary.operators import boxes, dedup, manifest, ranks, reconcile, validation
 
 BOX = "image string, box_id string, seq int, box_source string, xc double, yc double, w double, h double"
 
@@ -147,3 +149,32 @@ def test_keys_are_dealt_over_all_partitions(spark):
     mapped = manifest.mapped_annotations(annotations, categories, labels.Policy(targets=("a",), mapping={"a": "a"}))
     assert "BroadcastHashJoin" in plan(mapped) and "Exchange hashpartitioning" not in plan(mapped)
     assert manifest.kept_images(spark.createDataFrame([(5,), (6,), (7,)], "id long"), mapped).collect() == [(5,)]
+
+
+def test_digests_of_folders_of_any_size(spark, monkeypatch):
+    """Folders over many pieces, read in rounds, beside small ones, and in one folder alone."""
+    rows = [(f"{folder}/{i}.png", hashlib.sha256(f"{folder}{i}".encode()).hexdigest()) for folder, n in (("a", 60), ("a/b", 1), ("c", 30), ("d", 3), ("e", 60)) for i in range(n)]
+    rows += [("top.png", "00"), ("a/é.png", "11"), (None, "22")]
+    want = {}
+    for path, digest in sorted(r for r in rows if r[0]):
+        want.setdefault("/".join(path.split("/")[:-1]), []).append(path + digest)
+    want = {k: (len(x), hashlib.sha256("".join(x).encode()).hexdigest()) for k, x in want.items()} | {None: (1, hashlib.sha256(b"").hexdigest())}
+    files = spark.createDataFrame(rows, "path string, sha256 string").repartition(3)
+    for bits, size in ((17, 1 << 20), (3, 1500), (4, 1)):
+        monkeypatch.setattr(manifest, "PIECE_BITS", bits)
+        monkeypatch.setattr(manifest, "ROUND_BYTES", size)
+        got = {r["folder"]: (r["files"], r["sha256"]) for r in manifest.folder_digests(files).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("openssl", [True, False])
+def test_hashes_are_taken_up_again(monkeypatch, openssl):
+    if not openssl:
+        monkeypatch.setattr(sha256, "_openssl", lambda: None)
+    rng = random.Random(3)
+    for _ in range(40):
+        state, whole = sha256.START, b""
+        for _ in range(rng.randint(0, 6)):
+            data = rng.randbytes(rng.choice((0, 1, 55, 56, 63, 64, 65, 300)))
+            state, whole = sha256.read_on(state, data), whole + data
+        assert sha256.hex_digest(state) == hashlib.sha256(whole).hexdigest()
