@@ -280,6 +280,27 @@ def test_couples_are_all_overlapping_windows():
         assert got[k] <= spans and all(any(low <= x[0] and x[1] <= high for low, high in got[k]) for x in spans)
 
 
+def test_open_windows_that_hold_a_passage_are_reachable():
+    """Held against ``passages`` itself, in texts of few and of many words: no window around a passage is left out."""
+    rng = np.random.default_rng(4)
+    held = 0
+    for words in (6, 40, 400):
+        for _ in range(60):
+            a = rng.integers(0, words, 60).astype(np.uint32)
+            b = np.concatenate([rng.integers(0, words, 10), a]).astype(np.uint32)
+            b[rng.integers(0, 70, rng.integers(1, 12))] = rng.integers(0, words, 1)
+            counts = dict(zip(*(x.tolist() for x in np.unique(b, return_counts=True)), strict=True))
+            alone = np.array([(a == x).sum() == 1 for x in a])
+            lacking = np.cumsum([0, *(counts[x] == 1 and x not in set(a.tolist()) for x in b.tolist())])
+            places = [np.flatnonzero(b == x) for x in a]
+            before, after = (np.array([[lacking[p[k]] if len(p) else 0] for p in places]) for k in (0, -1))
+            got = substring_dedup.passages(a, substring_dedup.Other([0], [b]), 12, 80)
+            opens = np.array([(at, s, e - 1) for s, e, *_ in got for at in range(s, e)]).reshape(-1, 3)
+            assert substring_dedup.reachable(np.array([[len(p) > 0] for p in places]), alone, before, after, opens, 12, 80).all()
+            held += len(opens)
+    assert held > 1000
+
+
 def test_spans_of_many_groups_are_merged():
     rng = np.random.default_rng(1)
     group, low = np.sort(rng.integers(0, 40, 500)), rng.integers(0, 300, 500)
