@@ -301,6 +301,20 @@ def test_open_windows_that_hold_a_passage_are_reachable():
     assert held > 1000
 
 
+def test_tiles_write_no_pairs(spark):
+    """Near-copies of one text whose first words nothing explains: rows follow the texts, not their pairs."""
+    rng = random.Random(3)
+    text = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    base, rows = text(300), []
+    for i in range(60):
+        copy = list(base)
+        for at in [*range(0, 60, 9), *rng.sample(range(60, 300), 8)]:
+            copy[at + rng.randrange(3) if at < 60 else at] = text(1)[0]
+        rows.append((i, " ".join(copy)))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == set(range(60)) and len(got) < 60 * 59 // 2
+
+
 def test_spans_of_many_groups_are_merged():
     rng = np.random.default_rng(1)
     group, low = np.sort(rng.integers(0, 40, 500)), rng.integers(0, 300, 500)
