@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +281,32 @@ def test_couples_are_all_overlapping_windows():
         assert got[k] <= spans and all(any(low <= x[0] and x[1] <= high for low, high in got[k]) for x in spans)
 
 
+def test_crossing_windows_cost_what_is_found():
+    """Held against all pairs; windows that reach far but hold no other one's minimum cost next to nothing (before: minutes)."""
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 50, 300):
+        first, last = np.arange(n) - rng.integers(0, 9, n), np.minimum(np.arange(n) + rng.integers(0, 40, n), n - 1)
+        got = [x for a, b in substring_dedup.crossing(first, last) for x in zip(a.tolist(), b.tolist(), strict=True)]
+        assert sorted(got) == [(a, b) for a in range(n) for b in range(a + 1, n) if b <= last[a] and first[b] <= a]
+    n = 60_000
+    at = (rng.integers(0, 4, n) << 61) | (np.arange(n) << 32) | 0xFFFF
+    began = time.process_time()
+    found = substring_dedup.couples_of(np.zeros(n, dtype=np.int64), np.arange(n) << 2, at, np.ones(n, dtype=np.int64), 8)
+    assert not len(found[0]) and time.process_time() - began < 10
+
+
+def test_nearest_smaller_entries():
+    """Held against a plain search: random entries, equal ones, long rises before a fall, and groups."""
+    rng = np.random.default_rng(9)
+    for values in (rng.integers(0, 1000, 200), rng.integers(0, 4, 200), np.append(np.arange(150), 0), np.append(np.arange(150)[::-1], 500), np.zeros(0, dtype=np.int64)):
+        n = len(values)
+        group = np.sort(rng.integers(0, 3, n))
+        before, after = substring_dedup._nearest_smaller(values.astype(np.uint64), np.searchsorted(group, group))
+        for i in range(n):
+            assert before[i] == max((k for k in range(i) if group[k] == group[i] and values[k] <= values[i]), default=-1)
+            assert after[i] == min((k for k in range(i + 1, n) if group[k] == group[i] and values[k] < values[i]), default=-1)
+
+
 def test_open_windows_that_hold_a_passage_are_reachable():
     """Held against ``passages`` itself, in texts of few and of many words: no window around a passage is left out."""
     rng = np.random.default_rng(4)
