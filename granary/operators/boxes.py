@@ -13,6 +13,8 @@ _BOX = ("xc", "yc", "w", "h")
 
 #: Cells of level l are 4**-l wide. Boxes wider than a quarter are on level 0, which is one cell; those of the last level may be as small as they like.
 LEVELS = 6
+#: Boxes of a group that are compared where they are collected; larger groups meet on the grid.
+GROUP_BOXES = 64
 
 
 def meeting(rows: DataFrame, group: list[str], key: str) -> DataFrame:
@@ -79,15 +81,66 @@ def deduplicated(rows: DataFrame, group: list[str], iou: float = 0.85, coverage:
     rows: group columns, box_id, seq, box_source, xc, yc, w, h. A group is an image's boxes of a class; seq and box_id
     together are unique in it.
 
-    Who would lose a pair is known from the start; whether it comes to that depends on the pairs before it. A pair is
-    settled once neither of its boxes can lose an earlier one: its worse box goes, and with it all later pairs of that box.
-    Rounds of joins settle all such pairs at once, the first of all pairs at least.
+    Nearly all groups are small: their boxes are collected once, and settled there pair by pair. Groups of more than
+    ``GROUP_BOXES`` meet on a grid and are settled in rounds.
     """
     rank = F.struct(
         F.coalesce(F.col("box_source").startswith("synthetic"), F.lit(False)).alias("synthetic"), F.col("box_source").eqNullSafe("synthetic_missing_label").alias("missing"),
         (F.col("w") * F.col("h")).alias("area"), F.col("box_id").alias("id"),
     )
     rows = rows.withColumn("__key", F.struct("seq", F.col("box_id").alias("id"), rank.alias("rank")))
+    of = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)] or [F.lit(0).alias("__g0")]
+    large = cut(rows.groupBy(*of).count().where(F.col("count") > GROUP_BOXES).drop("count"))
+    if large.isEmpty():
+        return _collected(rows, group, iou, coverage)
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    small = _collected(rows.join(large, same, "left_anti"), group, iou, coverage)
+    return small.union(_in_rounds(rows.join(large, same, "left_semi"), group, iou, coverage))
+
+
+def _collected(rows: DataFrame, group: list[str], iou: float, coverage: float) -> DataFrame:
+    """``deduplicated`` of small groups. A pair in list order counts if neither of its boxes has gone by then."""
+    box = F.struct("__key", *[F.col(c).cast("double").alias(c) for c in _BOX])
+    groups = rows.groupBy(*group).agg(F.array_sort(F.collect_list(box)).alias("__boxes"))
+
+    def why(a: Column, b: Column) -> Column:
+        p, q = ({c: x[c] for c in _BOX} for x in (a, b))
+        sound = F.lit(True)
+        for x in (*p.values(), *q.values()):
+            sound = sound & ~F.isnan(x) & (F.abs(x) != float("inf"))
+        for x in (p, q):
+            sound = sound & (x["w"] > 0) & (x["h"] > 0)
+        one, two = boxes.corners(**p), boxes.corners(**q)
+        for c in "xy":
+            sound = sound & (F.least(one[f"{c}1"], two[f"{c}1"]) > F.greatest(one[f"{c}0"], two[f"{c}0"]))
+        m = boxes.overlap(p, q)
+        return F.when(sound & (m["iou"] >= iou), F.lit("iou_threshold")).when(sound & (m["of_smaller"] >= coverage), F.lit("coverage_threshold"))
+
+    def pair(a: Column, i: Column, b: Column, j: Column) -> Column:
+        worse = a["__key"]["rank"] > b["__key"]["rank"]
+        return F.struct(F.when(worse, i).otherwise(j).alias("goes"), F.when(worse, j).otherwise(i).alias("stays"), why(a, b).alias("why"))
+
+    every = F.col("__boxes")
+    after = lambda a, i: F.transform(F.slice(every, i + F.lit(2), F.size(every)), lambda b, k: pair(a, i, b, i + k + F.lit(1)))
+    pairs = F.filter(F.flatten(F.transform(every, after)), lambda x: x["why"].isNotNull())
+    settled = lambda lost, x: F.when(F.exists(lost, lambda y: (y["goes"] == x["goes"]) | (y["goes"] == x["stays"])), lost).otherwise(F.concat(lost, F.array(x)))
+    lost = F.aggregate(pairs, F.array().cast("array<struct<goes:int,stays:int,why:string>>"), settled)
+    groups = groups.select(*group, "__boxes", lost.alias("__lost"))
+    out = groups.select(*group, "__boxes", "__lost", F.posexplode_outer("__boxes").alias("__at", "__box"))
+    mine = F.get(F.filter("__lost", lambda x: x["goes"] == F.col("__at")), F.lit(0))
+    out = out.select(*group, F.col("__box.__key.id").alias("box_id"), mine.alias("__mine"), "__boxes")
+    return out.select(*group, "box_id", F.col("__mine").isNull().alias("kept"), F.get("__boxes", F.col("__mine.stays"))["__key"]["id"].alias("kept_by"), F.col("__mine.why").alias("reason"))
+
+
+def _in_rounds(rows: DataFrame, group: list[str], iou: float, coverage: float) -> DataFrame:
+    """``deduplicated`` of groups of any size.
+
+    Who would lose a pair is known from the start; whether it comes to that depends on the pairs before it. A pair is
+    settled once neither of its boxes can lose an earlier one: its worse box goes, and with it all later pairs of that box.
+    Rounds of joins settle all such pairs at once, the first of all pairs at least.
+    """
     why = F.when(F.col("iou") >= iou, F.lit("iou_threshold")).when(F.col("of_smaller") >= coverage, F.lit("coverage_threshold"))
     pairs = _measured(meeting(rows, group, "__key")).withColumn("why", why).where("why is not null")
     worse = F.col("a.key.rank") > F.col("b.key.rank")

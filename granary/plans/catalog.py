@@ -448,12 +448,14 @@ _BOXES = """d as (select distinct l_orderkey as image, l_returnflag as class, l_
     b as (select *, 'src' || (l_suppkey % 3) as source_id, row_number() over (order by image, class, l_suppkey, xc, yc, w, h) as box_id from d)"""
 
 
-def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _boxes(spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """by: columns that boxes are dealt by once, where what follows groups by them."""
     items = _read(spark, sf_dir, "lineitem")
     rows = items.select(
         F.col("l_orderkey").alias("image"), F.col("l_returnflag").alias("class"), "l_suppkey", F.round(F.col("l_quantity") / 50, 6).alias("xc"),
         (F.lit(0.4) + ((F.col("l_suppkey") % 100) / 100) / 5).alias("yc"), F.round(F.lit(0.4) + F.col("l_discount"), 6).alias("w"), F.round(F.lit(0.4) + F.col("l_tax"), 6).alias("h"),
-    ).distinct()
+    )
+    rows = (rows.repartition(*by) if by else rows).distinct()
     # An id that needs no order over all rows: its parts, as text.
     box_id = F.concat_ws("/", "image", "class", "l_suppkey", *[F.format_number(c, 6) for c in ("xc", "yc", "w", "h")])
     return rows.select("image", "class", F.concat(F.lit("src"), F.col("l_suppkey") % 3).alias("source_id"), box_id.alias("box_id"), "xc", "yc", "w", "h")
@@ -486,7 +488,7 @@ def box_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
       select image, class, list_filter(pairs, lambda x: x.goes <> loss.goes and x.stays <> loss.goes) as pairs from r) where len(pairs) > 0)
     select t.image, t.class, t.id as box_id, loss is null as kept, loss.stays as kept_by, loss.why as reason from t left join r on r.image = t.image and r.class = t.class and r.loss.goes = t.id""")
 def box_dedupe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _boxes(spark, sf_dir).withColumns({"seq": F.col("box_id"), "box_source": F.when(F.col("source_id") == "src0", F.lit("synthetic_full_image")).otherwise("label")})
+    rows = _boxes(spark, sf_dir, ("image", "class")).withColumns({"seq": F.col("box_id"), "box_source": F.when(F.col("source_id") == "src0", F.lit("synthetic_full_image")).otherwise("label")})
     return ob.deduplicated(rows, ["image", "class"])
 
 

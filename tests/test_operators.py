@@ -64,6 +64,31 @@ def _plain_greedy(rows, iou=0.85, coverage=0.9):
             return {r[0] for r in active}
 
 
+def test_greedy_boxes_of_small_groups_meet_where_they_are(spark, monkeypatch):
+    """Small groups send no pairs anywhere; groups of either size have the results of the plain version, also null ones."""
+    import random
+
+    rng, rows = random.Random(5), []
+    for image in [*(f"i{k}" for k in range(12)), None]:
+        for k in range(rng.choice([1, 2, 3, 5, 9])):
+            rows.append((image, "c", f"b{k}", rng.randrange(3), rng.choice(["label", None, "synthetic_missing_label"]), round(rng.uniform(0.45, 0.55), 3), 0.5, round(rng.uniform(0.3, 0.5), 3), 0.4))
+    rows += [("odd", "c", "b0", 0, "label", 0.5, 0.5, float("nan"), 0.4), ("odd", "c", "b1", 0, "label", 0.5, 0.5, 0.4, None), ("odd", "c", "b2", 0, "label", 0.5, 0.5, 0.4, 0.4), ("odd", "c", "b3", 0, "label", 0.5, 0.5, 0.0, 0.4)]
+    schema = "image string, class string, box_id string, seq int, box_source string, xc double, yc double, w double, h double"
+    docs = spark.createDataFrame(rows, schema)
+    found = []
+    for most in (4, 0, 64):
+        monkeypatch.setattr(boxes, "GROUP_BOXES", most)
+        if most == 64:
+            monkeypatch.setattr(boxes, "meeting", None)
+        got = boxes.deduplicated(docs, ["image", "class"]).collect()
+        found.append(sorted(map(tuple, got), key=str))
+        assert len(got) == len(rows) and not any(r["image"] == "odd" and not r["kept"] for r in got)
+        for image in {r[0] for r in rows} - {"odd"}:
+            own = [(r[2], r[4] or "", *r[5:]) for r in sorted((r for r in rows if r[0] == image), key=lambda r: (r[3], r[2]))]
+            assert {r["box_id"] for r in got if r["image"] == image and r["kept"]} == _plain_greedy(own)
+    assert found[0] == found[1] == found[2] and any(r[4] for r in found[0])
+
+
 def test_greedy_boxes(spark):
     import random
 
